@@ -436,3 +436,190 @@ FROM documents ORDER BY full_path LIMIT 1000""")
 def q_bounded_batch(spark, root):
     recs = recordings.document_recordings(t(spark, root, "documents"))
     return reports.bounded_batch(recs.select("full_path", "length"), 1000)
+
+
+# --- enrichment (gold) and evaluation ------------------------------------------
+ENRICH_TS = "2024-02-03 00:00:00"
+
+
+def _sq(s: str) -> str:
+    return s.replace("'", "''")
+
+
+def _gold_sql() -> str:
+    lex = ", ".join([f"('{_sq(k)}', {v}, 0)" for k, v in sorted(enrich.POSITIVE_TERMS.items())]
+                    + [f"('{_sq(k)}', 0, {v})" for k, v in sorted(enrich.NEGATIVE_TERMS.items())])
+    toks = r"regexp_split_to_array(lower({x}), '[^\p{{L}}]+')"
+    return f"""
+WITH tr AS (
+  SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
+         processing_timestamp, TIMESTAMP '{RUN_TS}' AS ingestion_timestamp
+  FROM {CALLS_A} WHERE transcription_text IS NOT NULL),
+lex(term, pw, nw) AS (VALUES {lex}),
+tok AS (SELECT parent_folder, filename, unnest({toks.format(x="transcription_text")}) AS w FROM tr),
+hits AS (
+  SELECT tr.parent_folder, tr.filename,
+         CAST(coalesce(sum(lex.pw), 0) AS INTEGER) AS pos_hits,
+         CAST(coalesce(sum(lex.nw), 0) AS INTEGER) AS neg_hits
+  FROM tr LEFT JOIN tok ON tok.parent_folder = tr.parent_folder AND tok.filename = tr.filename
+          LEFT JOIN lex ON lex.term = tok.w
+  GROUP BY tr.parent_folder, tr.filename),
+lab AS (
+  SELECT *, CASE WHEN pos_hits = 0 AND neg_hits = 0 THEN 'neutral'
+                 WHEN pos_hits > 0 AND neg_hits > 0 AND pos_hits < neg_hits * 2
+                      AND neg_hits < pos_hits * 2 THEN 'mixed'
+                 WHEN pos_hits > neg_hits THEN 'positive' ELSE 'negative' END AS sentiment
+  FROM hits),
+ss AS (
+  SELECT parent_folder, filename,
+         list_filter(list_transform(regexp_extract_all(transcription_text, '{enrich.SENTENCE_PATTERN}'),
+                                    lambda x: trim(x)), lambda x: x <> '') AS sents
+  FROM tr),
+s AS (SELECT parent_folder, filename, unnest(sents) AS sent, generate_subscripts(sents, 1) - 1 AS si FROM ss),
+ct AS (
+  SELECT parent_folder, filename, si,
+         unnest(list_filter({toks.format(x="sent")}, lambda w: length(w) >= {enrich.CONTENT_MIN_LEN})) AS w
+  FROM s),
+tf AS (SELECT parent_folder, filename, w, count(*) AS c FROM ct GROUP BY ALL),
+sc AS (
+  SELECT s.parent_folder, s.filename, s.si, s.sent, coalesce(sum(tf.c), 0) AS score
+  FROM s LEFT JOIN ct ON ct.parent_folder = s.parent_folder AND ct.filename = s.filename AND ct.si = s.si
+         LEFT JOIN tf ON tf.parent_folder = ct.parent_folder AND tf.filename = ct.filename AND tf.w = ct.w
+  GROUP BY s.parent_folder, s.filename, s.si, s.sent),
+rk AS (SELECT *, row_number() OVER (PARTITION BY parent_folder, filename ORDER BY score DESC, si) AS rn FROM sc),
+summ AS (
+  SELECT parent_folder, filename,
+         string_agg(sent, ' ' ORDER BY si) FILTER (WHERE rn <= {enrich.SUMMARY_SENTENCES}) AS summary,
+         max(CASE WHEN rn = 1 THEN sent END) AS conversation_summary
+  FROM rk GROUP BY parent_folder, filename),
+topic AS (
+  SELECT parent_folder, filename, string_agg(w, ', ' ORDER BY c DESC, w) AS main_topics
+  FROM (SELECT *, row_number() OVER (PARTITION BY parent_folder, filename ORDER BY c DESC, w) AS rn FROM tf)
+  WHERE rn <= {enrich.TOPIC_COUNT} GROUP BY parent_folder, filename),
+feat AS (
+  SELECT tr.parent_folder, tr.filename,
+         length(transcription_text) - length(replace(transcription_text, '?', '')) AS q,
+         len(list_filter({toks.format(x="transcription_text")}, lambda w: w <> '')) AS nw,
+         len(ss.sents) AS ns,
+         regexp_extract_all(transcription_text, '{_sq(enrich.NAME_INTRO_PATTERN)}', 1) AS names
+  FROM tr JOIN ss ON ss.parent_folder = tr.parent_folder AND ss.filename = tr.filename),
+gold AS (
+  SELECT tr.*, lab.sentiment, summ.summary,
+         coalesce(feat.names[1], 'Speaker 1') AS speaker_1,
+         coalesce(list_filter(feat.names, lambda x: x <> feat.names[1])[1], 'Speaker 2') AS speaker_2,
+         coalesce(topic.main_topics, '') AS main_topics,
+         CASE WHEN lab.sentiment = 'negative' THEN 'tense'
+              WHEN lab.sentiment = 'positive' THEN 'friendly'
+              WHEN lab.sentiment = 'mixed' THEN 'mixed'
+              WHEN feat.q >= {enrich.TONE_QUESTIONS} THEN 'inquisitive'
+              WHEN feat.nw >= feat.ns * {enrich.TONE_FORMAL_WORDS} THEN 'formal'
+              ELSE 'casual' END AS conversation_tone,
+         summ.conversation_summary,
+         TIMESTAMP '{ENRICH_TS}' AS enriched_timestamp
+  FROM tr
+  JOIN lab ON lab.parent_folder = tr.parent_folder AND lab.filename = tr.filename
+  JOIN feat ON feat.parent_folder = tr.parent_folder AND feat.filename = tr.filename
+  LEFT JOIN summ ON summ.parent_folder = tr.parent_folder AND summ.filename = tr.filename
+  LEFT JOIN topic ON topic.parent_folder = tr.parent_folder AND topic.filename = tr.filename)"""
+
+
+GOLD = _gold_sql()
+
+
+def _transcripts_a(spark, root) -> DataFrame:
+    return pipeline.to_transcripts(_calls(spark, root), RUN_TS)
+
+
+def _gold(spark, root) -> DataFrame:
+    return enrich.enrich(_transcripts_a(spark, root), _ts(ENRICH_TS))
+
+
+@register("sentiment", f"""{GOLD}
+SELECT lab.parent_folder, lab.filename, pos_hits, neg_hits, sentiment FROM lab""")
+def q_sentiment(spark, root):
+    tr = _transcripts_a(spark, root).filter(F.col("transcription_text").isNotNull())
+    return enrich.with_sentiment(tr, keep_scores=True).select(
+        "parent_folder", "filename", "pos_hits", "neg_hits", "sentiment")
+
+
+@register("sentiment_distribution", f"""{GOLD}
+SELECT sentiment, count(*) AS count FROM gold GROUP BY sentiment ORDER BY count DESC, sentiment""")
+def q_sentiment_distribution(spark, root):
+    return reports.distribution(_gold(spark, root), "sentiment")
+
+
+@register("summary", f"{GOLD} SELECT parent_folder, filename, summary FROM gold")
+def q_summary(spark, root):
+    return _gold(spark, root).select("parent_folder", "filename", "summary")
+
+
+@register("enrich_gold", f"{GOLD} SELECT * FROM gold")
+def q_enrich_gold(spark, root):
+    return _gold(spark, root)
+
+
+@register("tone_distribution", f"""{GOLD}
+SELECT conversation_tone, count(*) AS count FROM gold GROUP BY 1 ORDER BY count DESC, conversation_tone""")
+def q_tone_distribution(spark, root):
+    return reports.distribution(_gold(spark, root), "conversation_tone")
+
+
+_SCORES_SQL = f"""{GOLD},
+sco AS (
+  SELECT parent_folder, filename,
+         list_filter(string_split(coalesce(main_topics, ''), ', '), lambda x: x <> '') AS tl,
+         list_filter({r"regexp_split_to_array(lower(coalesce(summary, '')), '[^\p{L}]+')"}, lambda w: w <> '') AS sw
+  FROM gold),
+cov AS (
+  SELECT parent_folder, filename,
+         CASE WHEN len(tl) > 0 THEN len(list_filter(tl, lambda x: list_contains(sw, lower(x)))) / len(tl)
+              ELSE 0.0 END AS cov,
+         CASE WHEN len(list_filter(sw, lambda w: list_contains([{", ".join(f"'{w}'" for w in sorted(set(evaluate.DENY_TERMS)))}], w))) = 0
+              THEN 1.0 ELSE 0.0 END AS safe
+  FROM sco),
+scores AS (
+  SELECT parent_folder, filename, 'captures_main_topics' AS scorer, cov AS score, cov >= {evaluate.COVERAGE_PASS} AS passed FROM cov
+  UNION ALL
+  SELECT parent_folder, filename, 'safety' AS scorer, safe AS score, safe >= 1.0 AS passed FROM cov)"""
+
+
+@register("eval_records", f"""{GOLD}
+SELECT parent_folder, filename, MAP {{'transcript': transcription_text}} AS inputs, summary AS outputs FROM gold""")
+def q_eval_records(spark, root):
+    return evaluate.eval_records(_gold(spark, root))
+
+
+@register("eval_scores", f"{_SCORES_SQL} SELECT * FROM scores")
+def q_eval_scores(spark, root):
+    return evaluate.score(_gold(spark, root))
+
+
+@register("eval_metrics", f"""{_SCORES_SQL}
+SELECT scorer, count(*) AS n_records, round(avg(score), 6) AS mean_score,
+       count(*) FILTER (WHERE passed) AS n_passed,
+       count(*) FILTER (WHERE passed) / count(*) AS pass_rate
+FROM scores GROUP BY scorer""")
+def q_eval_metrics(spark, root):
+    return evaluate.metrics(evaluate.score(_gold(spark, root)))
+
+
+@register("eval_sample", f"""{GOLD}
+SELECT parent_folder, filename, MAP {{'transcript': transcription_text}} AS inputs, summary AS outputs
+FROM gold ORDER BY md5(parent_folder || '/' || filename) LIMIT 10""")
+def q_eval_sample(spark, root):
+    return evaluate.hash_sample(evaluate.eval_records(_gold(spark, root)), 10)
+
+
+@register("safety_vs_labels", f"""
+WITH d AS (
+  SELECT l.toxic,
+         len(list_filter(regexp_split_to_array(lower(d.text), '[^\\p{{L}}]+'),
+             lambda w: list_contains([{", ".join(f"'{w}'" for w in sorted(set(evaluate.DENY_TERMS)))}], w))) > 0 AS flagged
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id)
+SELECT toxic, flagged, count(*) AS docs FROM d GROUP BY toxic, flagged""")
+def q_safety_vs_labels(spark, root):
+    docs = t(spark, root, "documents").select("doc_id", "text")
+    labels = t(spark, root, "labels").select("doc_id", "toxic")
+    flagged = docs.join(labels, "doc_id").select(
+        "toxic", (evaluate.deny_hits(F.col("text")) > 0).alias("flagged"))
+    return flagged.groupBy("toxic", "flagged").agg(F.count(F.lit(1)).alias("docs"))
