@@ -623,3 +623,30 @@ def q_safety_vs_labels(spark, root):
     flagged = docs.join(labels, "doc_id").select(
         "toxic", (evaluate.deny_hits(F.col("text")) > 0).alias("flagged"))
     return flagged.groupBy("toxic", "flagged").agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- audio: embeddings read as 8 kHz recordings -> 16 kHz chunks ---------------
+AUDIO_SPEC = ChunkSpec(max_len=5, overlap=1)     # milliseconds
+
+
+@register("audio_chunks", f"""
+WITH a AS (
+  SELECT vec_id, label, 2 * len(embedding) AS n_out FROM embeddings),
+b AS (
+  SELECT vec_id, label, CAST(round(n_out / 16.0) AS BIGINT) AS length_ms FROM a),
+c AS (
+  SELECT *, CASE WHEN length_ms <= {AUDIO_SPEC.max_len} THEN 1
+                 ELSE CAST(floor(length_ms / {AUDIO_SPEC.step}) AS BIGINT) + 1 END AS n FROM b)
+SELECT vec_id, printf('vec_%d.wav', vec_id) AS filename, printf('label_%d', label) AS parent_folder,
+       8000 AS source_rate, length_ms, CAST(n AS INTEGER) AS num_chunks, i AS chunk_idx,
+       i * {AUDIO_SPEC.step} AS chunk_start,
+       least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) AS chunk_end,
+       44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS wav_bytes
+FROM c, unnest(range(n)) AS r(i)""")
+def q_audio_chunks(spark, root):
+    from parley.sources import audio
+    recs = recordings.embedding_recordings(t(spark, root, "embeddings"))
+    chunks = audio.audio_chunks(audio.normalize_audio(recs), AUDIO_SPEC)
+    return chunks.select("vec_id", "filename", "parent_folder", "source_rate", "length_ms",
+                         "num_chunks", "chunk_idx", "chunk_start", "chunk_end",
+                         F.octet_length("wav").alias("wav_bytes"))

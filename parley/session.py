@@ -20,8 +20,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Large audio / text payloads: keep Arrow batches bounded in bytes.
+    # Large audio / text payloads: keep Arrow batches bounded in rows and bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 

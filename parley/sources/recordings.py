@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions import paths
+from parley.functions import paths, pcm, wav
 
 CALL_ROOT = "/recordings"
 TEAMS = 10  # calls are filed under team_0 .. team_9 by conversation id
@@ -49,3 +49,16 @@ def page_recordings(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", F.col("url").alias("path"),
                         F.octet_length("html").cast("long").alias("length")).transform(
         paths.with_path_parts)
+
+
+EMBEDDING_SAMPLE_RATE = 8_000   # vectors are read as 8 kHz telephone audio
+
+
+def embedding_recordings(embeddings: DataFrame, rate: int = EMBEDDING_SAMPLE_RATE) -> DataFrame:
+    """Embedding vectors as short mono recordings: samples -> PCM16 -> WAV
+    bytes (``content``), filed under ``/embeddings/label_{label}/``."""
+    full = F.format_string("/embeddings/label_%d/vec_%d.wav", F.col("label"), F.col("vec_id"))
+    content = wav.wav_file(wav.pcm16_bytes(pcm.pcm16("embedding")), rate)
+    return (embeddings.select("vec_id", full.alias("path"), content.alias("content"))
+            .withColumn("length", F.octet_length("content").cast("long"))
+            .transform(paths.with_path_parts))
