@@ -80,3 +80,17 @@ def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
     src = conform(src, target.columns)
     kept = target.join(src.select(*keys), keys, "left_anti")
     return kept.unionByName(src)
+
+
+def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
+    """One row per key: the one with the greatest ``order_col`` (latest wins).
+
+    ``max_by`` over a struct of the row is a partial aggregate: each task
+    keeps one candidate per key, so a hot key never gathers its rows in one
+    task.  Ties on ``order_col`` resolve to the larger row value.
+    """
+    others = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(c) for c in others])
+    order = F.struct(F.col(order_col), row)
+    best = df.groupBy(*keys).agg(F.max_by(row, order).alias("_row"))
+    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
