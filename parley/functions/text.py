@@ -66,3 +66,20 @@ def tokens(c: str | Column, min_len: int = 1) -> Column:
     """Lower-cased letter runs of ``c`` as an array (empty strings removed)."""
     arr = F.split(F.lower(_col(c)), TOKEN_PATTERN)
     return F.filter(arr, lambda t: F.length(t) >= F.lit(max(min_len, 1)))
+
+
+# Instruction placed before a transcript when an analysis model is used.
+ANALYSIS_PROMPT = (
+    "You will read the transcript of a phone call between two people.\n"
+    "Name both speakers if the transcript says their names, otherwise call them "
+    "Speaker 1 and Speaker 2; list the main topics; describe the overall tone; "
+    "and summarise the call briefly.\n\nTranscript:\n")
+
+
+def build_prompt(text: str | Column, prompt: str = ANALYSIS_PROMPT) -> Column:
+    """Prompt + transcript as a column expression (NULL text gives NULL).
+
+    Built with ``concat`` rather than spliced into SQL text, so quotes in
+    the prompt or transcript cannot break a statement.
+    """
+    return F.concat(F.lit(prompt), _col(text))

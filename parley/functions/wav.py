@@ -44,3 +44,9 @@ def wav_header(data_bytes: Column, sample_rate: int | Column, channels: int = 1)
 def wav_file(pcm: Column, sample_rate: int | Column, channels: int = 1) -> Column:
     """WAV bytes for PCM16 ``pcm`` bytes."""
     return F.concat(wav_header(F.octet_length(pcm).cast("long"), sample_rate, channels), pcm)
+
+
+def silence_wav(seconds: float = 1.0, sample_rate: int = 16_000) -> Column:
+    """A mono PCM16 WAV of zeros, e.g. a warm-up payload for an endpoint."""
+    n = int(round(seconds * sample_rate))
+    return wav_file(F.unhex(F.lit("00" * (2 * n))), sample_rate)

@@ -135,7 +135,7 @@ def _call_partition(client: Client, payload_col: str, guard_col: str,
 def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "payload",
                  size_col: str | None = None, idx_col: str = "chunk_idx",
                  n_col: str = "num_chunks", limits: SizeLimits = SizeLimits(),
-                 keep_payload: bool = False,
+                 keep_payload: bool = False, parallelism: int | None = None,
                  exception_chars: int = config.PREPROCESS_ERROR_CHARS) -> DataFrame:
     """Call ``client`` once per chunk that passes the size guard.
 
@@ -145,11 +145,17 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     response whose transcription is JSON null counts as a failed chunk.
     Filters placed before this operator are applied before any call;
     Catalyst cannot push them through the Python step.
+
+    ``parallelism``: spread chunks round-robin over that many tasks before
+    calling (a remote endpoint is latency-bound, so more concurrent callers
+    than scan splits can pay off); the default keeps the input partitioning.
     """
     size = F.col(size_col) if size_col else tfn.byte_length(payload_col)
     guarded = (chunks
                .withColumn("request_bytes", tfn.payload_size(size, limits.envelope_bytes))
                .withColumn("_guard", size_guard(size, F.col(idx_col), F.col(n_col), limits)))
+    if parallelism:
+        guarded = guarded.repartition(parallelism)
     out_schema = T.StructType(guarded.schema.fields + [
         T.StructField("_status", T.IntegerType(), True),
         T.StructField("_body", T.StringType(), True)])

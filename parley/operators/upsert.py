@@ -64,6 +64,11 @@ def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
                 check_unique: bool = True) -> DataFrame:
     """Result of upserting ``source`` into ``target`` on ``keys``.
 
+    One pass over each side: the source is aggregated per key (row count
+    for the cardinality rule plus the row itself, combined map-side) and
+    full-outer-joined with the target on the same hash partitioning.  A
+    matched or new key takes the source row; other target rows stay.
+
     ``on_error="overwrite"`` (reference behaviour): a failed re-run row
     replaces a good one, so its text becomes NULL.  ``"keep_good"``: source
     rows with a non-null ``error_col`` only insert new keys and never
@@ -71,15 +76,28 @@ def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
     """
     if on_error not in ("overwrite", "keep_good"):
         raise ValueError(on_error)
-    src = assert_unique_keys(source, keys) if check_unique else source
-    if on_error == "keep_good" and error_col in src.columns:
-        existing = target.select(*keys).withColumn("_in_target", F.lit(True))
-        src = (src.join(existing, keys, "left")
-                  .filter(~(F.col(error_col).isNotNull() & F.coalesce(F.col("_in_target"), F.lit(False))))
-                  .drop("_in_target"))
-    src = conform(src, target.columns)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    return kept.unionByName(src)
+    cols = [c for c in target.columns if c not in keys]
+    conform(source, target.columns)  # INSERT * needs every target column
+    carry = cols + ([error_col] if on_error == "keep_good" and error_col in source.columns
+                    and error_col not in cols else [])
+    row = F.struct(*[F.col(c) for c in carry])
+    src = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_src_rows"),
+                                    F.any_value(row).alias("_src"))
+    if check_unique:
+        msg = F.concat(F.lit("MERGE_CARDINALITY_VIOLATION: more than one source row for key "),
+                       F.to_json(F.struct(*[F.col(k) for k in keys])))
+        src = src.filter(F.when(F.col("_src_rows") > F.lit(1), F.raise_error(msg))
+                          .otherwise(F.lit(True)))
+    tgt = target.withColumn("_in_target", F.lit(True))
+    joined = tgt.join(src.drop("_src_rows"), keys, "full_outer")
+    use_src = F.col("_src").isNotNull()
+    if on_error == "keep_good" and error_col in source.columns:
+        failed = F.col(f"_src.{error_col}").isNotNull()
+        use_src = use_src & ~(failed & F.coalesce(F.col("_in_target"), F.lit(False)))
+    picked = [F.when(use_src, F.col(f"_src.{c}")).otherwise(F.col(c)).alias(c) for c in cols]
+    # A new key whose failed row was skipped has no row on either side.
+    present = use_src | F.col("_in_target").isNotNull()
+    return joined.filter(present).select(*keys, *picked).select(*target.columns)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:

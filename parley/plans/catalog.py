@@ -650,3 +650,11 @@ def q_audio_chunks(spark, root):
     return chunks.select("vec_id", "filename", "parent_folder", "source_rate", "length_ms",
                          "num_chunks", "chunk_idx", "chunk_start", "chunk_end",
                          F.octet_length("wav").alias("wav_bytes"))
+
+
+@register("build_prompt", f"""
+SELECT parent_folder, filename, '{_sq(tfn.ANALYSIS_PROMPT)}' || transcription_text AS prompt
+FROM {CALLS_A} WHERE transcription_text IS NOT NULL""")
+def q_build_prompt(spark, root):
+    res = _calls(spark, root).filter(F.col("transcription_text").isNotNull())
+    return res.select("parent_folder", "filename", tfn.build_prompt("transcription_text").alias("prompt"))

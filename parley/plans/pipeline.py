@@ -95,3 +95,77 @@ def to_transcripts(results: DataFrame, ingestion_ts=None) -> DataFrame:
     """Project stage-2 rows to the durable transcript schema (drops
     ``file_id`` and ``error_message``) with an ingestion timestamp."""
     return results.withColumn("ingestion_timestamp", _ts(ingestion_ts)).select(*TRANSCRIPT_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Stage jobs: each reads a table, writes a table.  Tables between stages
+# cut lineage, so a lost executor recomputes from the last stage, and a
+# remote call never runs twice for one row within a job.
+# ---------------------------------------------------------------------------
+def run_preprocess_calls(spark, conversations: DataFrame, run_id: str, schema: str = "calls") -> str:
+    """Stage 1 for recorded calls: chunk listing (one chunk per turn)."""
+    from parley.sinks import writers
+    from parley.sources import recordings as rec
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    name = writers.stage_table_name(f"{schema}.chunks", run_id)
+    rec.call_chunks(conversations).write.mode("overwrite").saveAsTable(name)
+    return name
+
+
+def run_transcribe(spark, chunks_table: str, client, run_id: str, *, limits: SizeLimits = SizeLimits(),
+                   run_ts=None, schema: str = "calls", fanout: int = ra.DEFAULT_FANOUT,
+                   parallelism: int | None = None) -> str:
+    """Stage 2: infer every chunk, reassemble per call, write all rows."""
+    from parley.sinks import writers
+    from parley.sources import recordings as rec
+    chunks = spark.table(chunks_table).select(
+        "conv_id", "chunk_idx", "payload", ra.block_of(F.col("chunk_idx"), fanout).alias("_block"))
+    counts = ra.block_counts(chunks, "conv_id", "chunk_idx", fanout)
+    chunks = (chunks.join(counts, ["conv_id", "_block"])
+                    .withColumn("chunk_chars", F.char_length("payload").cast("long")))
+    inferred = inference.infer_chunks(chunks, client, limits=limits, parallelism=parallelism)
+    merged = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
+                           block_col="_block")
+    results = merged.select(*rec.call_keys(),
+                            (F.col("sum_chunk_chars") / F.lit(CHARS_PER_SECOND)).alias("duration_seconds"),
+                            "num_chunks", "transcription_text",
+                            _ts(run_ts).alias("processing_timestamp"), "error_message")
+    name = writers.stage_table_name(f"{schema}.transcription_results", run_id)
+    writers.overwrite_stage(results, name)
+    return name
+
+
+def run_merge(spark, results_table: str, target_table: str, *, ingestion_ts=None,
+              on_error: str = "overwrite", cleanup: list[str] | None = None) -> None:
+    """Stage 3: upsert the stage results into the durable table, then drop
+    the stage tables."""
+    from parley.sinks import writers
+    writers.ensure_transcripts_table(spark, target_table)
+    source = spark.table(results_table).withColumn("ingestion_timestamp", _ts(ingestion_ts))
+    writers.merge_into_table(spark, target_table, source, KEYS, on_error=on_error)
+    if cleanup:
+        writers.drop_tables(spark, cleanup)
+
+
+def run_enrich(spark, source_table: str, gold_table: str, *, run_ts=None,
+               eval_table: str | None = None) -> int:
+    """Stage 4: enrich, materialise gold once, score it, append.
+
+    Returns the number of source rows; an empty source exits early.
+    """
+    from parley.operators import enrich as en, evaluate as ev
+    from parley.sinks import writers
+    source = spark.table(source_table)
+    if source.isEmpty():
+        return 0
+    gold = en.enrich(source, _ts(run_ts))
+    # Materialise once: previews, scores and the write all read the same
+    # rows instead of re-running the enrichment.
+    staged = writers.stage_table_name(gold_table, "staging")
+    gold.write.mode("overwrite").saveAsTable(staged)
+    gold = spark.table(staged)
+    if eval_table:
+        ev.metrics(ev.score(gold)).write.mode("overwrite").saveAsTable(eval_table)
+    writers.create_or_append(gold, gold_table)
+    writers.drop_tables(spark, [staged])
+    return spark.table(source_table).count()
