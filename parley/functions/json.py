@@ -52,6 +52,42 @@ def contract_violations(json_col: str | Column) -> Column:
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+# One parse of a response body; maps keep a JSON-null field apart from a
+# missing one.
+RESPONSE_SCHEMA = ("struct<predictions: array<map<string, string>>, "
+                   "dataframe_records: array<map<string, string>>>")
+
+
+def parse_response(body: str | Column) -> Column:
+    return F.from_json(_col(body), RESPONSE_SCHEMA)
+
+
+def _first_record(parsed: Column, env: str) -> Column:
+    return F.try_element_at(parsed[env], F.lit(1))
+
+
+def has_envelope(parsed: Column) -> Column:
+    return F.coalesce(parsed["predictions"].isNotNull() | parsed["dataframe_records"].isNotNull(),
+                      F.lit(False))
+
+
+def transcription_of(parsed: Column) -> Column:
+    """Decode a parsed 200 response (see :func:`response_transcription`)."""
+    def from_env(env: str) -> Column:
+        first = _first_record(parsed, env)
+        return F.when(F.coalesce(F.map_contains_key(first, F.lit("transcription")), F.lit(False)),
+                      F.try_element_at(first, F.lit("transcription"))).otherwise(F.lit(""))
+
+    return (F.when(parsed["predictions"].isNotNull(), from_env("predictions"))
+             .when(parsed["dataframe_records"].isNotNull(), from_env("dataframe_records")))
+
+
+def model_error_of(parsed: Column) -> Column:
+    """The model's own ``error`` field of the first record, if any."""
+    return F.coalesce(F.try_element_at(_first_record(parsed, "predictions"), F.lit("error")),
+                      F.try_element_at(_first_record(parsed, "dataframe_records"), F.lit("error")))
+
+
 def response_transcription(body: str | Column) -> Column:
     """Decode a 200 response.
 
@@ -60,24 +96,11 @@ def response_transcription(body: str | Column) -> Column:
     the field gives ``""``; no envelope gives NULL (nothing appended).
     JSON null in the field stays NULL.
     """
-    b = _col(body)
-    keys = F.json_object_keys(b)
-
-    def from_env(env: str) -> Column:
-        first = F.get_json_object(b, f"$.{env}[0]")
-        has_field = F.array_contains(F.json_object_keys(first), "transcription")
-        return F.when(F.coalesce(has_field, F.lit(False)),
-                      F.get_json_object(b, f"$.{env}[0].transcription")).otherwise(F.lit(""))
-
-    return (F.when(F.array_contains(keys, "predictions"), from_env("predictions"))
-             .when(F.array_contains(keys, "dataframe_records"), from_env("dataframe_records")))
+    return transcription_of(parse_response(body))
 
 
 def response_model_error(body: str | Column) -> Column:
-    """The model's own ``error`` field of the first record, if any."""
-    b = _col(body)
-    return F.coalesce(F.get_json_object(b, "$.predictions[0].error"),
-                      F.get_json_object(b, "$.dataframe_records[0].error"))
+    return model_error_of(parse_response(body))
 
 
 def endpoint_error(status: str | Column, body: str | Column) -> Column:

@@ -64,10 +64,27 @@ def _literal_map(d: dict[str, int]) -> Column:
     return F.create_map(*items)
 
 
-def _weighted_hits(tokens: Column, terms: dict[str, int]) -> Column:
-    m = _literal_map(terms)
-    return F.aggregate(tokens, F.lit(0),
-                       lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0)))
+def _word_regex(words) -> str:
+    """Whole lower-cased tokens equal to one of ``words``: a letter run
+    bounded by non-letters, i.e. exactly the tokens of :func:`tokens`."""
+    import re
+    alt = "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w)))
+    return rf"(?<!\p{{L}})(?:{alt})(?!\p{{L}})"
+
+
+def _weighted_hits(text: Column, terms: dict[str, int]) -> Column:
+    """Sum of weights of lexicon tokens in ``text``.
+
+    One regex count per weight class over the lower-cased text: equal to
+    looking every token up in the lexicon, but a single codegen'd scan
+    instead of a per-token higher-order function.
+    """
+    lowered = F.lower(text)
+    total = F.lit(0)
+    for w in sorted(set(terms.values())):
+        words = [t for t, v in terms.items() if v == w]
+        total = total + F.regexp_count(lowered, F.lit(_word_regex(words))) * F.lit(w)
+    return F.coalesce(total.cast("int"), F.lit(0))
 
 
 def sentiment_label(pos: Column, neg: Column) -> Column:
@@ -87,9 +104,9 @@ def with_sentiment(df: DataFrame, text_col: str = "transcription_text",
     The lexicon is a fixed, small literal map evaluated per row inside
     codegen: no broadcast, join or shuffle.
     """
-    toks = tfn.tokens(text_col)
-    out = (df.withColumn("pos_hits", _weighted_hits(toks, positive))
-             .withColumn("neg_hits", _weighted_hits(toks, negative))
+    text = F.col(text_col)
+    out = (df.withColumn("pos_hits", _weighted_hits(text, positive))
+             .withColumn("neg_hits", _weighted_hits(text, negative))
              .withColumn("sentiment", F.when(F.col(text_col).isNotNull(),
                                              sentiment_label(F.col("pos_hits"), F.col("neg_hits")))))
     return out if keep_scores else out.drop("pos_hits", "neg_hits")
@@ -164,7 +181,7 @@ def speaker_names(text: str | Column) -> tuple[Column, Column]:
 
 def tone(sentiment: Column, text: Column, n_sents: Column) -> Column:
     questions = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
-    n_words = F.size(tfn.tokens(text))
+    n_words = F.regexp_count(text, F.lit(r"\p{L}+"))   # = number of tokens
     return (F.when(sentiment == "negative", F.lit("tense"))
              .when(sentiment == "positive", F.lit("friendly"))
              .when(sentiment == "mixed", F.lit("mixed"))

@@ -112,7 +112,7 @@ Client = Callable[[object], tuple[int, str]]
 # the operator
 # --------------------------------------------------------------------------
 def _call_partition(client: Client, payload_col: str, guard_col: str,
-                    exception_chars: int):
+                    exception_chars: int, return_payload: bool):
     def run(batches):
         for pdf in batches:
             status = pd.array([pd.NA] * len(pdf), dtype="Int32")
@@ -128,7 +128,8 @@ def _call_partition(client: Client, payload_col: str, guard_col: str,
                 except Exception as e:  # row-level capture: job continues
                     status[i] = STATUS_EXCEPTION
                     body[i] = f"EXCEPTION: {str(e)[:exception_chars]}"
-            yield pdf.assign(_status=status, _body=body)
+            out = pdf if return_payload else pdf.drop(columns=[payload_col])
+            yield out.assign(_status=status, _body=body)
     return run
 
 
@@ -156,30 +157,32 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
                .withColumn("_guard", size_guard(size, F.col(idx_col), F.col(n_col), limits)))
     if parallelism:
         guarded = guarded.repartition(parallelism)
-    out_schema = T.StructType(guarded.schema.fields + [
+    # The payload goes to Python but only comes back when asked for: the
+    # larger half of the Arrow traffic is avoided.
+    passed = [f for f in guarded.schema.fields if keep_payload or f.name != payload_col]
+    out_schema = T.StructType(passed + [
         T.StructField("_status", T.IntegerType(), True),
         T.StructField("_body", T.StringType(), True)])
     called = guarded.mapInPandas(
-        _call_partition(client, payload_col, "_guard", exception_chars), out_schema)
+        _call_partition(client, payload_col, "_guard", exception_chars, keep_payload), out_schema)
     ok = F.col("_status") == F.lit(200)
-    decoded = jfn.response_transcription("_body")
-    keys = F.json_object_keys("_body")
-    has_envelope = F.coalesce(F.array_contains(keys, F.lit("predictions"))
-                              | F.array_contains(keys, F.lit("dataframe_records")), F.lit(False))
+    parsed = F.col("_resp")
+    decoded = jfn.transcription_of(parsed)
     text = F.when(ok, decoded)
     err = (F.when(F.col("_guard").isNotNull(), F.col("_guard"))
             .when(F.col("_status") == F.lit(STATUS_EXCEPTION), F.col("_body"))
             .when(~ok, jfn.endpoint_error("_status", "_body"))
-            .when(has_envelope & decoded.isNull(),
+            .when(jfn.has_envelope(parsed) & decoded.isNull(),
                   F.concat(F.lit("ENDPOINT_ERROR: MODEL_ERROR - "),
-                           F.left(F.coalesce(jfn.response_model_error("_body"),
-                                             F.lit("null transcription")),
+                           F.left(F.coalesce(jfn.model_error_of(parsed), F.lit("null transcription")),
                                   F.lit(config.ENDPOINT_MESSAGE_CHARS)))))
+    # Parse each 200 body once; every field below reads the parsed value.
+    called = called.withColumn("_resp", F.when(ok, jfn.parse_response("_body")))
     out = (called.withColumn("status", F.col("_status"))
                  .withColumn("chunk_text", text)
                  .withColumn("chunk_error", err)
-                 .drop("_status", "_body", "_guard"))
-    return out if keep_payload else out.drop(payload_col)
+                 .drop("_status", "_body", "_guard", "_resp"))
+    return out
 
 
 def request_log(inferred: DataFrame, run_ts: datetime | Column, key_cols=("file_id",)) -> DataFrame:
