@@ -49,8 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (unit tests) is a fresh scratch
-    folder taken.
+    as is; a cluster without one is a configuration error, because a
+    machine-local folder would not survive the loss of that machine.  Only
+    a local-mode session (unit tests) with nothing configured gets a fresh
+    scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
         configured = tempfile.mkdtemp(prefix="parley-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
