@@ -658,3 +658,51 @@ FROM {CALLS_A} WHERE transcription_text IS NOT NULL""")
 def q_build_prompt(spark, root):
     res = _calls(spark, root).filter(F.col("transcription_text").isNotNull())
     return res.select("parent_folder", "filename", tfn.build_prompt("transcription_text").alias("prompt"))
+
+
+# --- response / error envelopes built from the tables, then decoded -----------
+def _response_bodies(conv: DataFrame) -> DataFrame:
+    """A 200 body per turn: user turns answer in a ``predictions`` envelope
+    (the opening turn without the field), assistant turns in
+    ``dataframe_records``, system turns in neither."""
+    rec = F.struct(F.col("text").alias("transcription"))
+    empty = F.struct(F.lit(None).cast("string").alias("error"))
+    body = (F.when((F.col("role") == "user") & (F.col("turn") == 0),
+                   F.to_json(F.struct(F.array(empty).alias("predictions"))))
+             .when(F.col("role") == "user", F.to_json(F.struct(F.array(rec).alias("predictions"))))
+             .when(F.col("role") == "assistant",
+                   F.to_json(F.struct(F.array(rec).alias("dataframe_records"))))
+             .otherwise(F.to_json(F.struct(F.col("turn").alias("other")))))
+    return conv.select("conv_id", "turn", body.alias("body"))
+
+
+@register("response_decode", """
+SELECT conv_id, turn,
+       CASE WHEN role = 'user' AND turn = 0 THEN ''
+            WHEN role IN ('user', 'assistant') THEN text END AS transcription
+FROM conversations""")
+def q_response_decode(spark, root):
+    bodies = _response_bodies(t(spark, root, "conversations"))
+    return bodies.select("conv_id", "turn", jfn.response_transcription("body").alias("transcription"))
+
+
+@register("error_decode", """
+SELECT event_id,
+       CASE WHEN event_type = 'error'
+              THEN 'ENDPOINT_ERROR: HTTP_503 - ' || left('upstream ' || CAST(user_id AS VARCHAR) || ' unavailable', 100)
+            WHEN event_type = 'signup'
+              THEN 'ENDPOINT_ERROR: UNKNOWN - ' || left('rejected ' || props, 100)
+            ELSE 'ENDPOINT_ERROR: ' || upper(event_type) || '_FAILED - '
+                 || left('value ' || printf('%.2f', value), 100) END AS error
+FROM events""")
+def q_error_decode(spark, root):
+    ev = t(spark, root, "events").select("event_id", "event_type", "user_id", "value", "props")
+    status = F.when(F.col("event_type") == "error", F.lit(503)).otherwise(F.lit(400))
+    body = (F.when(F.col("event_type") == "error",
+                   F.concat(F.lit("upstream "), F.col("user_id").cast("string"), F.lit(" unavailable")))
+             .when(F.col("event_type") == "signup",
+                   F.to_json(F.struct(F.concat(F.lit("rejected "), F.col("props")).alias("message"))))
+             .otherwise(F.to_json(F.struct(
+                 F.concat(F.upper("event_type"), F.lit("_FAILED")).alias("error_code"),
+                 F.format_string("value %.2f", F.col("value")).alias("message")))))
+    return ev.select("event_id", jfn.endpoint_error(status, body).alias("error"))
