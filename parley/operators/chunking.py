@@ -23,7 +23,7 @@ def chunk_bounds(length: Column, spec: ChunkSpec) -> Column:
     the previous one; ``spec.drop_empty`` removes empty chunks.
     """
     n = chunk_count(length, spec)
-    idx = F.sequence(F.lit(0), n - F.lit(1))
+    idx = F.sequence(F.lit(0).cast("long"), (n - F.lit(1)).cast("long"))
 
     def bound(i):
         start = (i.cast("long") * F.lit(spec.step)).cast("long")

@@ -253,7 +253,7 @@ SELECT source AS parent_folder, printf('doc_%d.wav', doc_id) AS filename,
        source || '_' || printf('doc_%d_wav', doc_id) AS file_id,
        len / 15.0 AS duration_seconds, num_chunks, chunk_paths,
        CAST(NULL AS VARCHAR) AS error_message,
-       len(string_split(chunk_paths, '|')) AS decoded_chunks
+       CAST(len(string_split(chunk_paths, '|')) AS INTEGER) AS decoded_chunks
 FROM d""")
 def q_preprocess_documents(spark, root):
     meta = writers.chunk_manifest(recordings.document_recordings(t(spark, root, "documents")),
@@ -277,7 +277,7 @@ def q_payload_size(spark, root):
 
 
 @register("inventory", """
-SELECT count(*) AS files, sum(strlen(text)) AS total_bytes,
+SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
        printf('%.2f', coalesce(sum(strlen(text)), 0) / 1048576.0) AS total_mb
 FROM documents""")
 def q_inventory(spark, root):
@@ -641,7 +641,7 @@ SELECT vec_id, printf('vec_%d.wav', vec_id) AS filename, printf('label_%d', labe
        8000 AS source_rate, length_ms, CAST(n AS INTEGER) AS num_chunks, i AS chunk_idx,
        i * {AUDIO_SPEC.step} AS chunk_start,
        least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) AS chunk_end,
-       44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS wav_bytes
+       CAST(44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS INTEGER) AS wav_bytes
 FROM c, unnest(range(n)) AS r(i)""")
 def q_audio_chunks(spark, root):
     from parley.sources import audio

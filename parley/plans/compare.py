@@ -77,3 +77,29 @@ def diff(spark_side, duck_side, digits: int = 9, show: int = 3) -> str | None:
     if bad:
         return f"{len(bad)} rows differ, e.g. " + "; ".join(f"spark={a!r} duckdb={b!r}" for a, b in bad[:show])
     return None
+
+
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+                  "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+                  "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                  "date": "DATE", "binary": "BLOB"}
+
+
+def spark_type_as_duckdb(dt) -> str:
+    from pyspark.sql import types as T
+    if isinstance(dt, T.ArrayType):
+        return spark_type_as_duckdb(dt.elementType) + "[]"
+    if isinstance(dt, T.MapType):
+        return f"MAP({spark_type_as_duckdb(dt.keyType)}, {spark_type_as_duckdb(dt.valueType)})"
+    if isinstance(dt, T.StructType):
+        inner = ", ".join(f"{f.name} {spark_type_as_duckdb(f.dataType)}" for f in dt.fields)
+        return f"STRUCT({inner})"
+    return _SPARK_TO_DUCK.get(dt.simpleString(), dt.simpleString().upper())
+
+
+def schema_diff(spark_df, con, sql: str) -> str | None:
+    """None when column names and types agree (DuckDB naming)."""
+    duck = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    mine = {f.name: spark_type_as_duckdb(f.dataType) for f in spark_df.schema.fields}
+    bad = {k: (mine.get(k), duck.get(k)) for k in set(mine) | set(duck) if mine.get(k) != duck.get(k)}
+    return None if not bad else f"schema differs (spark, duckdb): {bad}"

@@ -147,7 +147,7 @@ def clustered(df: DataFrame, keys: list[str], num_partitions: int | None = None)
 
 # ---- stage-1 chunk manifests and payloads ----------------------------------
 def chunk_paths(file_id: Column, n: Column, root: str = CHUNK_ROOT) -> Column:
-    idx = F.sequence(F.lit(0), n - F.lit(1))
+    idx = F.sequence(F.lit(0).cast("long"), (n - F.lit(1)).cast("long"))
     return F.array_join(F.transform(idx, lambda i: F.format_string(f"{root}/%s_chunk%d.wav",
                                                                    file_id, i)), "|")
 

@@ -24,7 +24,7 @@ for name, fn in qs.items():
         d = compare.duckdb_rows(con, os_[name])
     except Exception as e:
         print(f"FAIL {name}: duckdb error {str(e)[:600]}"); bad += 1; continue
-    r = compare.diff(s, d)
+    r = compare.diff(s, d) or compare.schema_diff(df, con, os_[name])
     if r: bad += 1
     print(f"{'OK  ' if not r else 'DIFF'} {name}: {len(s[1])} rows ({t1-t0:.1f}s) {r or ''}"[:1500])
 print("bad", bad)
