@@ -4,8 +4,8 @@ Plain Parquet tables have no row-level MERGE, so :func:`merge_into_table`
 rewrites only the partitions the source touches: the merged rows of those
 partitions are checkpointed to the shared checkpoint folder (cutting the
 lineage back to the files being replaced) and then written with dynamic
-partition overwrite.  When the table's format supports MERGE, Spark's
-``mergeInto`` is used instead.
+partition overwrite.  For a table format with row-level MERGE, Spark's
+``mergeInto`` can be used instead (``row_level_merge=True``).
 """
 
 from __future__ import annotations
@@ -74,21 +74,16 @@ def enforce_not_null(df: DataFrame, cols=NOT_NULL_COLUMNS) -> DataFrame:
     return df.filter(F.when(cond, F.raise_error(msg)).otherwise(F.lit(True)))
 
 
-def _supports_merge(spark: SparkSession, table: str) -> bool:
-    try:
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    except Exception:
-        return False
-    provider = next((r[1] for r in rows if r[0] == "Provider"), "") or ""
-    return provider.lower() in ("delta", "iceberg")
-
-
 def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: list[str], *,
                      partition_col: str | None = "parent_folder", on_error: str = "overwrite",
-                     error_col: str = "error_message") -> None:
-    """Upsert ``source`` into ``table`` on ``keys`` (K4 / J1-J4)."""
+                     error_col: str = "error_message", row_level_merge: bool = False) -> None:
+    """Upsert ``source`` into ``table`` on ``keys`` (K4 / J1-J4).
+
+    ``row_level_merge=True`` is for tables whose format implements MERGE
+    (row-level operations); Spark's ``mergeInto`` then updates in place.
+    """
     target = spark.table(table)
-    if _supports_merge(spark, table) and on_error == "overwrite":
+    if row_level_merge and on_error == "overwrite":
         src = up.assert_unique_keys(source, keys)
         cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
         updates = {c: F.col(f"s.{c}") for c in target.columns if c not in keys}
