@@ -85,9 +85,9 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
     target = spark.table(table)
     if row_level_merge and on_error == "overwrite":
         src = up.assert_unique_keys(source, keys)
-        cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+        cond = " AND ".join(f"{table}.{k} = s.{k}" for k in keys)
         updates = {c: F.col(f"s.{c}") for c in target.columns if c not in keys}
-        (src.alias("s").mergeInto(table, F.expr(cond.replace("t.", f"{table}.")))
+        (src.alias("s").mergeInto(table, F.expr(cond))
             .whenMatched().update(updates).whenNotMatched().insertAll().merge())
         return
     if partition_col and partition_col in keys:
