@@ -126,6 +126,8 @@ _RANK_SCHEMA = T.StructType([
 
 
 def _rank_rows(sent_tokens: pd.Series, k: int, n_topics: int) -> pd.DataFrame:
+    """Per row: ``sent_tokens`` holds one line per sentence, its content
+    tokens separated by single spaces (letters only, so ``split`` is exact)."""
     tops, topics, bests = [], [], []
     for row in sent_tokens:
         if row is None:
@@ -133,7 +135,7 @@ def _rank_rows(sent_tokens: pd.Series, k: int, n_topics: int) -> pd.DataFrame:
             topics.append(None)
             bests.append(None)
             continue
-        sents = [list(s) if s is not None else [] for s in row]
+        sents = [line.split(" ") if line else [] for line in row.split("\n")]
         cnt = Counter(tok for s in sents for tok in s)
         scores = [sum(cnt[tok] for tok in s) for s in sents]
         best = sorted(range(len(sents)), key=lambda i: (-scores[i], i))[:k]
@@ -151,6 +153,17 @@ def _make_ranker(k: int, n_topics: int):
     return rank
 
 
+def content_token_lines(sents: Column) -> Column:
+    """Sentences -> one string: per sentence its content tokens (lower-cased
+    letter runs of at least ``CONTENT_MIN_LEN``) joined by spaces, sentences
+    joined by newlines.  A flat string crosses to Python far cheaper than
+    nested arrays."""
+    pattern = rf"\p{{L}}{{{CONTENT_MIN_LEN},}}"
+    per_sentence = F.transform(sents, lambda s: F.array_join(
+        F.regexp_extract_all(F.lower(s), F.lit(pattern), 0), " "))
+    return F.when(F.size(sents) > 0, F.array_join(per_sentence, "\n"))
+
+
 def with_text_stats(df: DataFrame, text_col: str = "transcription_text",
                     k: int = SUMMARY_SENTENCES, n_topics: int = TOPIC_COUNT) -> DataFrame:
     """Adds ``_sents`` (array), ``_stats`` (top sentence positions, topics).
@@ -159,10 +172,14 @@ def with_text_stats(df: DataFrame, text_col: str = "transcription_text",
     of one row happens in Python, on Arrow batches.
     """
     sents = sentences(text_col)
-    sent_tokens = F.transform(sents, lambda s: tfn.tokens(s, CONTENT_MIN_LEN))
     ranker = _make_ranker(k, n_topics)
-    return (df.withColumn("_sents", sents)
-              .withColumn("_stats", ranker(sent_tokens)))
+    with_sents = df.withColumn("_sents", sents)
+    stats = ranker(content_token_lines(F.col("_sents")))
+    # No sentences: no summary, no topics.
+    return with_sents.withColumn("_stats", F.when(F.size("_sents") > 0, stats).otherwise(
+        F.struct(F.array().cast("array<int>").alias("top_sentences"),
+                 F.array().cast("array<string>").alias("topics"),
+                 F.lit(None).cast("int").alias("best_sentence"))))
 
 
 def _pick(sents: Column, positions: Column, sep: str = " ") -> Column:
