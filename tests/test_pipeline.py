@@ -116,3 +116,22 @@ def test_merge_requires_target_columns(spark):
     source = spark.createDataFrame([("a", "1")], "k1 string, k2 string")
     with pytest.raises(ValueError):
         merge_keyed(target, source, ["k1", "k2"])
+
+
+def test_concurrent_calls_keep_order(spark):
+    import time as _t
+
+    class Slow:
+        def __call__(self, payload):
+            _t.sleep(0.01 * (len(payload) % 3))
+            if payload.startswith("bad"):
+                raise ValueError("no")
+            return 200, '{"predictions": [{"transcription": "%s"}]}' % payload
+
+    rows = [("f", i, 60, ("bad" if i % 7 == 0 else "p") + str(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, chunk_idx long, num_chunks int, payload string")
+    seq = {r.chunk_idx: (r.chunk_text, r.chunk_error) for r in inference.infer_chunks(df, Slow()).collect()}
+    par = {r.chunk_idx: (r.chunk_text, r.chunk_error)
+           for r in inference.infer_chunks(df, Slow(), concurrency=8, parallelism=3).collect()}
+    assert seq == par
+    assert seq[1] == ("p1", None) and seq[7] == (None, "EXCEPTION: no")
