@@ -81,11 +81,13 @@ def file_id_collisions(files: DataFrame, id_col: str = "file_id",
                        keys=("parent_folder", "filename")) -> DataFrame:
     """Surrogate ids shared by different ``(folder, name)`` pairs.
 
-    Bounded aggregates only (distinct count, smallest and largest pair), so
-    an id held by a huge number of rows never builds a large group value.
+    Duplicates collapse first in a hash aggregate on ``(id, pair)`` (partial,
+    map-side), so a hot id costs one row per distinct pair; the per-id step
+    then keeps only bounded values: pair count, smallest and largest pair.
     """
     pair = F.concat_ws("/", *[F.col(k) for k in keys])
-    return (files.groupBy(id_col)
-                 .agg(F.count_distinct(pair).alias("n_pairs"),
-                      F.min(pair).alias("first_pair"), F.max(pair).alias("last_pair"))
+    pairs = files.groupBy(F.col(id_col), pair.alias("_pair")).agg(F.count(F.lit(1)).alias("_n"))
+    return (pairs.groupBy(id_col)
+                 .agg(F.count(F.lit(1)).alias("n_pairs"),
+                      F.min("_pair").alias("first_pair"), F.max("_pair").alias("last_pair"))
                  .filter(F.col("n_pairs") > F.lit(1)))

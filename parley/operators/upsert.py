@@ -51,12 +51,16 @@ def assert_unique_keys(source: DataFrame, keys: list[str]) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: list[str], detail: str | None = None) -> DataFrame:
     """Keys held by more than one row, with their row count and, for
     ``detail`` (e.g. the full path), the number of distinct values and the
-    smallest and largest – bounded per key however hot it is."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    if detail:
-        aggs += [F.count_distinct(detail).alias(f"n_{detail}"),
-                 F.min(detail).alias(f"first_{detail}"), F.max(detail).alias(f"last_{detail}")]
-    return df.groupBy(*keys).agg(*aggs).filter(F.col("n_rows") > F.lit(1))
+    smallest and largest – bounded per key however hot it is.  Rows first
+    collapse per ``(keys, detail)`` in a partial hash aggregate."""
+    if not detail:
+        return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+                  .filter(F.col("n_rows") > F.lit(1)))
+    per = df.groupBy(*keys, detail).agg(F.count(F.lit(1)).alias("_n"))
+    return (per.groupBy(*keys)
+               .agg(F.sum("_n").alias("n_rows"), F.count(F.lit(1)).alias(f"n_{detail}"),
+                    F.min(detail).alias(f"first_{detail}"), F.max(detail).alias(f"last_{detail}"))
+               .filter(F.col("n_rows") > F.lit(1)))
 
 
 def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
