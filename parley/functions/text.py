@@ -47,9 +47,10 @@ def mib(nbytes: str | Column) -> Column:
     return _col(nbytes) / F.lit(1024.0 * 1024.0)
 
 
-def format_mib(nbytes: str | Column) -> Column:
-    """``12.34`` – two decimals, as the size messages print them."""
-    return F.format_string("%.2f", mib(nbytes))
+def format_mib(nbytes: str | Column, decimals: int = 2) -> Column:
+    """``12.34`` – two decimals as the size messages print them (the file
+    inventory prints one)."""
+    return F.format_string(f"%.{decimals}f", mib(nbytes))
 
 
 def encode_list(arr: str | Column, sep: str = config.CHUNK_PATH_SEPARATOR) -> Column:

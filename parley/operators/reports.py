@@ -49,7 +49,7 @@ def inventory(files: DataFrame, path_col: str = "full_path", size_col: str = "le
     sel = files.filter(cond)
     return sel.agg(F.count(F.lit(1)).alias("files"),
                    F.sum(size_col).alias("total_bytes"),
-                   tfn.format_mib(F.coalesce(F.sum(size_col), F.lit(0))).alias("total_mb"))
+                   tfn.format_mib(F.coalesce(F.sum(size_col), F.lit(0)), 1).alias("total_mb"))
 
 
 def latest(df: DataFrame, n: int, ts_col: str, keys=("parent_folder", "filename"),

@@ -278,7 +278,7 @@ def q_payload_size(spark, root):
 
 @register("inventory", """
 SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
-       printf('%.2f', coalesce(sum(strlen(text)), 0) / 1048576.0) AS total_mb
+       printf('%.1f', coalesce(sum(strlen(text)), 0) / 1048576.0) AS total_mb
 FROM documents""")
 def q_inventory(spark, root):
     recs = recordings.document_recordings(t(spark, root, "documents"))
