@@ -33,6 +33,7 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
                text_col: str = "chunk_text", error_col: str = "chunk_error",
                sums: list[str] = (), firsts: list[str] = (),
                fanout: int | None = DEFAULT_FANOUT, block_col: str | None = None,
+               blocks_only: bool = False,
                text_sep: str = config.TEXT_SEPARATOR, error_sep: str = config.ERROR_SEPARATOR,
                error_chars: int = config.FILE_ERROR_CHARS) -> DataFrame:
     """Group chunks by ``keys``; adds ``num_chunks, transcription_text,
@@ -42,6 +43,11 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
     ``block_col`` names an existing ``chunk_idx // fanout`` column (e.g. from
     :func:`block_counts`), so a join on ``(key, block)`` before this step and
     the first aggregation share one hash partitioning.
+
+    ``blocks_only`` stops after the first level and returns one ordered row
+    per ``(key, block)`` (``first_chunk``, ``num_chunks``, text, error): for
+    a recording too large to hold its transcript in one row, consumers read
+    the blocks in ``first_chunk`` order instead.
     """
     order, text, err = F.col(order_col), F.col(text_col), F.col(error_col)
     if fanout:
@@ -52,6 +58,13 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
             _ordered_join(order, err, error_sep).alias("_err"),
             *[F.sum(c).alias(f"_s_{c}") for c in sums],
             *[F.min(c).alias(f"_f_{c}") for c in firsts]))
+        if blocks_only:
+            return part.select(*keys, F.col("_first").alias("first_chunk"),
+                               F.col("_n").cast("int").alias("num_chunks"),
+                               F.col("_text").alias("transcription_text"),
+                               F.col("_err").alias("error_message"),
+                               *[F.col(f"_s_{c}").alias(f"sum_{c}") for c in sums],
+                               *[F.col(f"_f_{c}").alias(c) for c in firsts])
         first = F.col("_first")
         aggs = [F.sum("_n").cast("int").alias("num_chunks"),
                 _ordered_join(first, F.col("_text"), text_sep).alias("transcription_text"),

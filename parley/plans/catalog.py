@@ -366,7 +366,8 @@ def q_contract_violations(spark, root):
 def _upsert_inputs(spark, root):
     conv = t(spark, root, "conversations")
     target = pipeline.to_transcripts(pipeline.successes(_calls(spark, root, conv=conv)), RUN_TS)
-    rerun_calls = conv.join(conv.filter(F.col("role") == "system").select("conv_id"),
+    # distinct: one row per call on the build side, however many turns it has
+    rerun_calls = conv.join(conv.filter(F.col("role") == "system").select("conv_id").distinct(),
                             "conv_id", "left_semi")
     source = _calls(spark, root, RERUN_LIMITS, CALL_REQUEST_LIMIT, RERUN_TS, conv=rerun_calls)
     source = source.withColumn("ingestion_timestamp", _ts(RERUN_TS))

@@ -56,3 +56,11 @@ def test_block_counts_cover_every_block(spark):
     a = sorted(r._block for r in bc if r.k == "a")
     assert a == list(range(10)) and all(r.num_chunks == 143 for r in bc if r.k == "a")
     assert [r._block for r in bc if r.k == "b"] == [0]
+
+
+def test_blocks_only_concatenate_to_full(spark):
+    rows = [("hot", i, f"w{i}", None) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, chunk_idx long, chunk_text string, chunk_error string")
+    blocks = reassemble.reassemble(df, ["k"], fanout=64, blocks_only=True).orderBy("first_chunk").collect()
+    assert len(blocks) == 16 and sum(b.num_chunks for b in blocks) == 1000
+    assert " ".join(b.transcription_text for b in blocks) == " ".join(f"w{i}" for i in range(1000))
