@@ -169,3 +169,67 @@ def run_enrich(spark, source_table: str, gold_table: str, *, run_ts=None,
     writers.create_or_append(gold, gold_table)
     writers.drop_tables(spark, [staged])
     return spark.table(source_table).count()
+
+
+# ---------------------------------------------------------------------------
+# Audio recordings: discover -> normalise -> chunk payload table -> transcribe
+# ---------------------------------------------------------------------------
+AUDIO_META_COLUMNS = ["parent_folder", "filename", "full_path", "file_id"]
+
+
+def run_preprocess_audio(spark, root: str, run_id: str, *, spec: ChunkSpec = ChunkSpec(),
+                         max_files: int | None = None, schema: str = "calls") -> tuple[str, str]:
+    """Stage 1 for audio files under ``root``.
+
+    Writes (a) the per-file metadata table (duration, chunk count, chunk
+    names, error; success rows only) and (b) the chunk payload table with
+    one WAV per chunk as a binary column.  ``max_files`` bounds a run to the
+    first files by path.  Returns both table names.
+    """
+    from parley.sinks import writers
+    from parley.sources import audio
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    files = audio.read_audio(spark, root)
+    if max_files:
+        files = files.join(audio.list_audio(spark, root).orderBy("path").limit(max_files)
+                           .select("path"), "path", "left_semi")
+    norm_name = writers.stage_table_name(f"{schema}.normalized_audio", run_id)
+    # Decode once; both outputs read the stored result.
+    audio.normalize_audio(files).write.mode("overwrite").saveAsTable(norm_name)
+    norm = spark.table(norm_name)
+    meta = norm.select(*AUDIO_META_COLUMNS, "duration_seconds",
+                       chunking.chunk_count(F.col("length_ms"), spec).alias("num_chunks"),
+                       "error_message")
+    meta = meta.withColumn("chunk_paths", F.when(
+        F.col("error_message").isNull(), writers.chunk_paths(F.col("file_id"), F.col("num_chunks"))))
+    meta_name = writers.stage_table_name(f"{schema}.preprocessing_metadata", run_id)
+    writers.overwrite_stage(meta.select(*AUDIO_META_COLUMNS, "duration_seconds", "num_chunks",
+                                        "chunk_paths", "error_message"), meta_name, success_only=True)
+    chunks = audio.audio_chunks(norm, spec).select(
+        *AUDIO_META_COLUMNS, "duration_seconds", "num_chunks", "chunk_idx",
+        F.col("wav").alias("payload"))
+    payload_name = writers.stage_table_name(f"{schema}.chunk_payloads", run_id)
+    chunks.write.mode("overwrite").saveAsTable(payload_name)
+    spark.sql(f"DROP TABLE IF EXISTS {norm_name}")
+    return meta_name, payload_name
+
+
+def run_transcribe_audio(spark, payload_table: str, client, run_id: str, *,
+                         limits: SizeLimits = SizeLimits(), run_ts=None, schema: str = "calls",
+                         fanout: int = ra.DEFAULT_FANOUT, parallelism: int | None = None,
+                         concurrency: int = 1) -> str:
+    """Stage 2 for audio: every WAV chunk through the size guard and the
+    client, reassembled per file in chunk order; all rows written."""
+    from parley.sinks import writers
+    chunks = spark.table(payload_table).withColumn("_size", F.octet_length("payload").cast("long"))
+    inferred = inference.infer_chunks(chunks, client, size_col="_size", limits=limits,
+                                      parallelism=parallelism, concurrency=concurrency)
+    merged = ra.reassemble(inferred, ["file_id"],
+                           firsts=["parent_folder", "filename", "full_path", "duration_seconds"],
+                           fanout=fanout)
+    results = merged.select(*AUDIO_META_COLUMNS, "duration_seconds", "num_chunks",
+                            "transcription_text", _ts(run_ts).alias("processing_timestamp"),
+                            "error_message")
+    name = writers.stage_table_name(f"{schema}.transcription_results", run_id)
+    writers.overwrite_stage(results, name)
+    return name

@@ -94,3 +94,40 @@ def test_write_chunk_payloads(spark):
     assert back.count() == chunks.count()
     p = back.filter(F.col("chunk_idx") == 0).select("chunk_path").orderBy("chunk_path").first()[0]
     assert p.endswith("_chunk0.wav")
+
+
+class SampleCounter:
+    """Stand-in ASR: 'transcribes' a WAV chunk as its frame count."""
+
+    def __call__(self, payload):
+        with wave.open(io.BytesIO(bytes(payload)), "rb") as w:
+            n = w.getnframes()
+        return 200, '{"predictions": [{"transcription": "frames %d"}]}' % n
+
+
+def test_audio_stage_jobs(spark):
+    import sys
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    from parley.config import SizeLimits
+    from parley.plans import pipeline
+    root = _tree()
+    meta, payloads = pipeline.run_preprocess_audio(spark, root, "a1", spec=ChunkSpec(700, 100))
+    m = {r.filename: r for r in spark.table(meta).collect()}
+    assert set(m) == {"call_1.wav", "call_2.wav"}                # errors stay out of stage 1
+    assert m["call_1.wav"].num_chunks == 4 and m["call_1.wav"].chunk_paths.count("|") == 3
+    res = pipeline.run_transcribe_audio(spark, payloads, SampleCounter(), "a1",
+                                        limits=SizeLimits(max_payload_bytes=40_000),
+                                        run_ts="2024-01-01 00:00:00", concurrency=4)
+    out = {r.filename: r for r in spark.table(res).collect()}
+    # 700 ms chunks = 22444 B WAV -> payload 29973 B: within limits; 1 s file -> 2 chunks
+    assert out["call_1.wav"].transcription_text == "frames 11200 frames 11200 frames 11200 frames 3200"
+    assert out["call_2.wav"].transcription_text == "frames 11200 frames 6400"
+    assert out["call_1.wav"].error_message is None
+    tight = pipeline.run_transcribe_audio(spark, payloads, SampleCounter(), "a2",
+                                          limits=SizeLimits(max_payload_bytes=20_000))
+    t = {r.filename: r for r in spark.table(tight).collect()}
+    assert t["call_1.wav"].error_message.startswith("CHUNK_TOO_LARGE: Chunk 1/4 is 0.02 MB")
+    assert t["call_1.wav"].transcription_text == "frames 3200"
+    limited, _ = pipeline.run_preprocess_audio(spark, root, "a3", max_files=1)
+    assert spark.table(limited).count() == 1
