@@ -59,3 +59,19 @@ def test_build_prompt_and_silence(spark):
 
 def test_current_user(spark):
     assert tables.current_user(spark)
+
+
+def test_cli_merge_enrich_report(spark, capsys):
+    from parley.__main__ import main
+    conv = tables.read_table(spark, SF_SMALL, "conversations")
+    chunks = pipeline.run_preprocess_calls(spark, conv, "cli1")
+    results = pipeline.run_transcribe(spark, chunks, inference.EchoClient(1800), "cli1",
+                                      limits=SizeLimits(max_payload_bytes=2048))
+    assert main(["merge", "--results", results, "--target", "calls.cli_transcripts",
+                 "--cleanup", chunks], spark=spark) == 0
+    assert main(["enrich", "--source", "calls.cli_transcripts", "--gold", "calls.cli_gold"],
+                spark=spark) == 0
+    assert main(["report", "errors", "--table", results], spark=spark) == 0
+    assert main(["report", "sentiment", "--table", "calls.cli_gold"], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "error_type" in out and "sentiment" in out and "merged into calls.cli_transcripts" in out
