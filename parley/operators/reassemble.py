@@ -10,6 +10,13 @@ Skew: a recording may hold a very large share of all chunks.  With
 fanout)`` block — spreading a hot key over many tasks, with map-side
 partial aggregation — and only the ordered block strings meet in the
 final per-key step.
+
+The price is a second shuffle of the concatenated text for every key.  It
+is deliberately not skipped for single-block keys: splitting the keys into
+two branches makes Catalyst prune the branches differently, the shared
+first-level exchange is then no longer reused, and the step below it (the
+remote inference call) would run twice.  Text is small next to the audio
+it came from, so the second shuffle is the cheaper side of that trade.
 """
 
 from __future__ import annotations
