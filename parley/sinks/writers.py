@@ -90,12 +90,15 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
         (src.alias("s").mergeInto(table, F.expr(cond))
             .whenMatched().update(updates).whenNotMatched().insertAll().merge())
         return
+    ensure_checkpoint_dir(spark)
+    # The source feeds two branches below (touched partitions, merge); pin it
+    # once so an upstream remote call or decode never runs twice.
+    source = source.checkpoint(eager=True)
     if partition_col and partition_col in keys:
         touched = source.select(partition_col).distinct()
         target = target.join(touched, partition_col, "left_semi")
     merged = up.merge_keyed(target, source, keys, on_error=on_error, error_col=error_col)
     merged = enforce_not_null(merged).select(*spark.table(table).columns)
-    ensure_checkpoint_dir(spark)
     # Materialise in the shared checkpoint folder: the write below no longer
     # reads the files it replaces, and a lost executor recomputes from here.
     frozen = merged.checkpoint(eager=True)
