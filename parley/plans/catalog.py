@@ -707,3 +707,25 @@ def q_error_decode(spark, root):
                  F.concat(F.upper("event_type"), F.lit("_FAILED")).alias("error_code"),
                  F.format_string("value %.2f", F.col("value")).alias("message")))))
     return ev.select("event_id", jfn.endpoint_error(status, body).alias("error"))
+
+
+@register("latest_per_call", f"""{_UPSERT_CTE},
+both_runs AS (
+  SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
+         processing_timestamp, error_message
+  FROM {CALLS_A}
+  UNION ALL
+  SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
+         processing_timestamp, error_message FROM source)
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY parent_folder, filename
+                               ORDER BY processing_timestamp DESC) AS rn FROM both_runs)
+WHERE rn = 1""")
+def q_latest_per_call(spark, root):
+    """Two runs' rows for the same calls, one row per call: the latest run
+    wins (how a stream resolves a key seen twice in one micro-batch)."""
+    _, source = _upsert_inputs(spark, root)
+    cols = ["parent_folder", "filename", "full_path", "duration_seconds", "num_chunks",
+            "transcription_text", "processing_timestamp", "error_message"]
+    both = _calls(spark, root).select(*cols).unionByName(source.select(*cols))
+    return upsert.latest_per_key(both, pipeline.KEYS, "processing_timestamp")
