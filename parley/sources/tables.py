@@ -13,10 +13,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table_path(root: str, name: str) -> str:
     """``root/name.parquet`` if it exists, else the folder ``root/name``."""
-    single = os.path.join(root, f"{name}.parquet")
-    if root.startswith(("s3", "gs", "abfs", "hdfs", "dbfs")) or os.path.exists(single):
+    root = root.rstrip("/")
+    single = f"{root}/{name}.parquet"
+    if "://" in root or root.startswith("file:") or os.path.exists(single):
         return single
-    return os.path.join(root, name)
+    return f"{root}/{name}"
 
 
 def read_table(spark: SparkSession, root: str, name: str,
