@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from parley import config
 from parley.functions import json as jfn
-from parley.functions import text as tfn
+from parley.functions.time import run_timestamp
 
 # ---- fixed values ----------------------------------------------------------
 # Sentiment lexicon (en, de, fr, es): term -> weight.
@@ -57,13 +57,6 @@ TONE_FORMAL_WORDS = 15       # >= 15 words per sentence on average: formal
 # ----------------------------------------------------------------------------
 
 
-def _literal_map(d: dict[str, int]) -> Column:
-    items = []
-    for k in sorted(d):
-        items += [F.lit(k), F.lit(int(d[k]))]
-    return F.create_map(*items)
-
-
 def _word_regex(words) -> str:
     """Whole lower-cased tokens equal to one of ``words``: a letter run
     bounded by non-letters, i.e. exactly the tokens of :func:`tokens`."""
@@ -226,6 +219,6 @@ def enrich(transcripts: DataFrame, run_ts: Column | None = None,
     df = (df.withColumn("summary", _pick(sents, top))
             .withColumn("conversation_analysis", analysis))
     df = jfn.parse_analysis(df, "conversation_analysis")
-    ts = run_ts if run_ts is not None else F.current_timestamp()
+    ts = run_timestamp(run_ts)
     return df.select(*cols, "sentiment", "summary", *jfn.ANALYSIS_FIELDS,
                      ts.alias("enriched_timestamp"))

@@ -6,12 +6,13 @@ materialise stage tables between them.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.config import ChunkSpec, SizeLimits
+from parley.functions.time import run_timestamp
 from parley.operators import chunking, inference, reassemble as ra
 from parley.sources import recordings
 
@@ -27,13 +28,7 @@ KEYS = ["parent_folder", "filename"]
 
 
 def _ts(ts: datetime | str | Column | None) -> Column:
-    if isinstance(ts, Column):
-        return ts
-    if ts is None:
-        ts = datetime.now(tz=timezone.utc).replace(tzinfo=None)
-    if isinstance(ts, datetime):
-        ts = ts.strftime("%Y-%m-%d %H:%M:%S.%f")
-    return F.to_timestamp_ntz(F.lit(ts))
+    return run_timestamp(ts)
 
 
 def infer_calls(conversations: DataFrame, client, limits: SizeLimits = SizeLimits(),

@@ -1,6 +1,5 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from parley.config import ChunkSpec
 from parley.operators import chunking

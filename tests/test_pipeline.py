@@ -1,9 +1,7 @@
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from parley.config import SizeLimits
-from parley.operators import inference, reassemble, upsert
+from parley.operators import inference, reassemble
 from parley.operators.upsert import merge_keyed
 
 

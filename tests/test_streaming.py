@@ -3,7 +3,6 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from parley.plans import pipeline
 from parley.streaming import ingest
 from parley.operators import upsert
 
