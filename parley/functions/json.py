@@ -25,11 +25,9 @@ def parse_analysis(df: DataFrame, json_col: str = "conversation_analysis",
     Malformed JSON gives a struct of NULLs, NULL input gives NULL fields;
     non-string scalars are kept as their JSON text.
     """
-    parsed = df.withColumn("_analysis", F.from_json(F.col(json_col), ANALYSIS_SCHEMA))
-    for f in ANALYSIS_FIELDS:
-        parsed = parsed.withColumn(f, F.col(f"_analysis.{f}"))
-    drops = ["_analysis"] + ([json_col] if drop_source else [])
-    return parsed.drop(*drops)
+    keep = [c for c in df.columns if c not in ANALYSIS_FIELDS and not (drop_source and c == json_col)]
+    parsed = df.select(*keep, F.from_json(F.col(json_col), ANALYSIS_SCHEMA).alias("_analysis"))
+    return parsed.select(*keep, *[F.col(f"_analysis.{f}").alias(f) for f in ANALYSIS_FIELDS])
 
 
 def field_json_type(json_col: str | Column, field: str) -> Column:

@@ -98,10 +98,9 @@ def with_sentiment(df: DataFrame, text_col: str = "transcription_text",
     codegen: no broadcast, join or shuffle.
     """
     text = F.col(text_col)
-    out = (df.withColumn("pos_hits", _weighted_hits(text, positive))
-             .withColumn("neg_hits", _weighted_hits(text, negative))
-             .withColumn("sentiment", F.when(F.col(text_col).isNotNull(),
-                                             sentiment_label(F.col("pos_hits"), F.col("neg_hits")))))
+    pos, neg = _weighted_hits(text, positive), _weighted_hits(text, negative)
+    out = df.withColumns({"pos_hits": pos, "neg_hits": neg}).withColumn(
+        "sentiment", F.when(text.isNotNull(), sentiment_label(F.col("pos_hits"), F.col("neg_hits"))))
     return out if keep_scores else out.drop("pos_hits", "neg_hits")
 
 
@@ -216,8 +215,7 @@ def enrich(transcripts: DataFrame, run_ts: Column | None = None,
         tone(F.col("sentiment"), F.col(text_col), F.size(sents)).alias("conversation_tone"),
         F.try_element_at(sents, F.col("_stats.best_sentence") + F.lit(1)).alias(
             "conversation_summary")))
-    df = (df.withColumn("summary", _pick(sents, top))
-            .withColumn("conversation_analysis", analysis))
+    df = df.withColumns({"summary": _pick(sents, top), "conversation_analysis": analysis})
     df = jfn.parse_analysis(df, "conversation_analysis")
     ts = run_timestamp(run_ts)
     return df.select(*cols, "sentiment", "summary", *jfn.ANALYSIS_FIELDS,

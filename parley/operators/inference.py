@@ -167,9 +167,9 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     row order).  Size both against the endpoint's rate limit.
     """
     size = F.col(size_col) if size_col else tfn.byte_length(payload_col)
-    guarded = (chunks
-               .withColumn("request_bytes", tfn.payload_size(size, limits.envelope_bytes))
-               .withColumn("_guard", size_guard(size, F.col(idx_col), F.col(n_col), limits)))
+    guarded = chunks.withColumns({
+        "request_bytes": tfn.payload_size(size, limits.envelope_bytes),
+        "_guard": size_guard(size, F.col(idx_col), F.col(n_col), limits)})
     if parallelism:
         guarded = guarded.repartition(parallelism)
     # The payload goes to Python but only comes back when asked for: the
@@ -194,9 +194,7 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
                                   F.lit(config.ENDPOINT_MESSAGE_CHARS)))))
     # Parse each 200 body once; every field below reads the parsed value.
     called = called.withColumn("_resp", F.when(ok, jfn.parse_response("_body")))
-    out = (called.withColumn("status", F.col("_status"))
-                 .withColumn("chunk_text", text)
-                 .withColumn("chunk_error", err)
+    out = (called.withColumns({"status": F.col("_status"), "chunk_text": text, "chunk_error": err})
                  .drop("_status", "_body", "_guard", "_resp"))
     return out
 
