@@ -38,6 +38,24 @@ DEFAULT_SPEAKERS = ("Speaker 1", "Speaker 2")
 RATE_LIMIT_CALLS_PER_MINUTE = 1000
 # Audio file extensions picked up by discovery (case-sensitive).
 AUDIO_GLOB = "*.{mp3,wav}"
+# Message formats.
+CHUNK_TOO_LARGE_FORMAT = "CHUNK_TOO_LARGE: Chunk %d/%d is %s MB"
+PAYLOAD_TOO_LARGE_FORMAT = "PAYLOAD_TOO_LARGE: %s MB"
+ENDPOINT_ERROR_PREFIX = "ENDPOINT_ERROR: "
+ENDPOINT_ERROR_SEPARATOR = " - "
+HTTP_CODE_PREFIX = "HTTP_"
+UNKNOWN_ERROR_CODE = "UNKNOWN"
+EXCEPTION_PREFIX = "EXCEPTION: "
+# Request and response envelopes of the speech endpoint.
+REQUEST_ENVELOPE = "dataframe_records"
+AUDIO_FIELD = "audio_base64"
+RESPONSE_ENVELOPES = ("predictions", "dataframe_records")
+TRANSCRIPTION_FIELD = "transcription"
+ERROR_CODE_FIELD = "error_code"
+MESSAGE_FIELD = "message"
+# File names.
+RECORDING_NAME_FORMAT = "conversation_%03d.wav"
+CHUNK_FILE_FORMAT = "%s_chunk%d.wav"
 # --------------------------------------------------------------------------
 
 

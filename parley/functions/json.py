@@ -52,8 +52,8 @@ def contract_violations(json_col: str | Column) -> Column:
 
 # One parse of a response body; maps keep a JSON-null field apart from a
 # missing one.
-RESPONSE_SCHEMA = ("struct<predictions: array<map<string, string>>, "
-                   "dataframe_records: array<map<string, string>>>")
+RESPONSE_SCHEMA = ", ".join(f"{env}: array<map<string, string>>"
+                            for env in config.RESPONSE_ENVELOPES).join(("struct<", ">"))
 
 
 def parse_response(body: str | Column) -> Column:
@@ -65,25 +65,28 @@ def _first_record(parsed: Column, env: str) -> Column:
 
 
 def has_envelope(parsed: Column) -> Column:
-    return F.coalesce(parsed["predictions"].isNotNull() | parsed["dataframe_records"].isNotNull(),
-                      F.lit(False))
+    present = [parsed[env].isNotNull() for env in config.RESPONSE_ENVELOPES]
+    return F.coalesce(present[0] | present[1], F.lit(False))
 
 
 def transcription_of(parsed: Column) -> Column:
     """Decode a parsed 200 response (see :func:`response_transcription`)."""
+    field = F.lit(config.TRANSCRIPTION_FIELD)
+
     def from_env(env: str) -> Column:
         first = _first_record(parsed, env)
-        return F.when(F.coalesce(F.map_contains_key(first, F.lit("transcription")), F.lit(False)),
-                      F.try_element_at(first, F.lit("transcription"))).otherwise(F.lit(""))
+        return F.when(F.coalesce(F.map_contains_key(first, field), F.lit(False)),
+                      F.try_element_at(first, field)).otherwise(F.lit(""))
 
-    return (F.when(parsed["predictions"].isNotNull(), from_env("predictions"))
-             .when(parsed["dataframe_records"].isNotNull(), from_env("dataframe_records")))
+    first_env, second_env = config.RESPONSE_ENVELOPES
+    return (F.when(parsed[first_env].isNotNull(), from_env(first_env))
+             .when(parsed[second_env].isNotNull(), from_env(second_env)))
 
 
 def model_error_of(parsed: Column) -> Column:
     """The model's own ``error`` field of the first record, if any."""
-    return F.coalesce(F.try_element_at(_first_record(parsed, "predictions"), F.lit("error")),
-                      F.try_element_at(_first_record(parsed, "dataframe_records"), F.lit("error")))
+    return F.coalesce(*[F.try_element_at(_first_record(parsed, env), F.lit("error"))
+                        for env in config.RESPONSE_ENVELOPES])
 
 
 def response_transcription(body: str | Column) -> Column:
@@ -111,8 +114,10 @@ def endpoint_error(status: str | Column, body: str | Column) -> Column:
     s, b = _col(status), _col(body)
     is_obj = F.json_object_keys(b).isNotNull()
     head = F.left(F.coalesce(b, F.lit("")), F.lit(config.ENDPOINT_BODY_CHARS))
-    code = F.when(is_obj, F.coalesce(F.get_json_object(b, "$.error_code"), F.lit("UNKNOWN"))) \
-            .otherwise(F.concat(F.lit("HTTP_"), s.cast("string")))
-    msg = F.when(is_obj, F.coalesce(F.get_json_object(b, "$.message"), head)).otherwise(head)
-    return F.concat(F.lit("ENDPOINT_ERROR: "), code, F.lit(" - "),
+    code = F.when(is_obj, F.coalesce(F.get_json_object(b, f"$.{config.ERROR_CODE_FIELD}"),
+                                      F.lit(config.UNKNOWN_ERROR_CODE))) \
+            .otherwise(F.concat(F.lit(config.HTTP_CODE_PREFIX), s.cast("string")))
+    msg = F.when(is_obj, F.coalesce(F.get_json_object(b, f"$.{config.MESSAGE_FIELD}"), head)) \
+           .otherwise(head)
+    return F.concat(F.lit(config.ENDPOINT_ERROR_PREFIX), code, F.lit(config.ENDPOINT_ERROR_SEPARATOR),
                     F.left(msg, F.lit(config.ENDPOINT_MESSAGE_CHARS)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from parley import config
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,9 +41,9 @@ def strip_prefix(path: str | Column, prefix: str, replacement: str = "") -> Colu
     return F.replace(_col(path), F.lit(prefix), F.lit(replacement))
 
 
-def recording_name(index: str | Column, stem: str = "conversation", ext: str = "wav") -> Column:
+def recording_name(index: str | Column, fmt: str = config.RECORDING_NAME_FORMAT) -> Column:
     """``conversation_007.wav``; widens past three digits like a format spec."""
-    return F.format_string(f"{stem}_%03d.{ext}", _col(index))
+    return F.format_string(fmt, _col(index))
 
 
 def with_path_parts(df, path_col: str = "path"):

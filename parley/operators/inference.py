@@ -25,6 +25,8 @@ from parley.functions import json as jfn
 from parley.functions import text as tfn
 
 STATUS_EXCEPTION = -1
+# A 200 response without a transcription (our code, not the endpoint's).
+MODEL_ERROR_CODE = "MODEL_ERROR"
 
 
 # --------------------------------------------------------------------------
@@ -39,10 +41,10 @@ def size_guard(size: Column, idx: Column, n: Column, limits: SizeLimits) -> Colu
     """
     payload = tfn.payload_size(size, limits.envelope_bytes)
     return (F.when(size > F.lit(limits.file_limit),
-                   F.format_string("CHUNK_TOO_LARGE: Chunk %d/%d is %s MB", idx + F.lit(1), n,
+                   F.format_string(config.CHUNK_TOO_LARGE_FORMAT, idx + F.lit(1), n,
                                    tfn.format_mib(size)))
              .when(payload > F.lit(limits.max_payload_bytes),
-                   F.format_string("PAYLOAD_TOO_LARGE: %s MB", tfn.format_mib(payload))))
+                   F.format_string(config.PAYLOAD_TOO_LARGE_FORMAT, tfn.format_mib(payload))))
 
 
 # --------------------------------------------------------------------------
@@ -71,9 +73,9 @@ class EchoClient:
         size = self.request_bytes(payload)
         if self.request_limit is not None and size > self.request_limit:
             return 400, json.dumps({
-                "error_code": "MAX_REQUEST_SIZE_EXCEEDED",
-                "message": f"Request size {size} exceeds the limit of {self.request_limit} bytes"})
-        return 200, json.dumps({self.key: [{"transcription": payload, "error": None}]},
+                config.ERROR_CODE_FIELD: "MAX_REQUEST_SIZE_EXCEEDED",
+                config.MESSAGE_FIELD: f"Request size {size} exceeds the limit of {self.request_limit} bytes"})
+        return 200, json.dumps({self.key: [{config.TRANSCRIPTION_FIELD: payload, "error": None}]},
                                ensure_ascii=False)
 
 
@@ -92,8 +94,8 @@ class HttpEndpointClient:
         import urllib.request
 
         raw = payload.encode("utf-8") if isinstance(payload, str) else bytes(payload)
-        body = json.dumps({"dataframe_records": [
-            {"audio_base64": base64.b64encode(raw).decode("ascii")}]}).encode("utf-8")
+        body = json.dumps({config.REQUEST_ENVELOPE: [
+            {config.AUDIO_FIELD: base64.b64encode(raw).decode("ascii")}]}).encode("utf-8")
         headers = {"Content-Type": "application/json"}
         if self.token:
             headers["Authorization"] = f"Bearer {self.token}"
@@ -113,7 +115,7 @@ def _call_one(client: Client, payload, exception_chars: int) -> tuple[int, str]:
         s, b = client(payload)
         return int(s), b
     except Exception as e:  # row-level capture: job continues
-        return STATUS_EXCEPTION, f"EXCEPTION: {str(e)[:exception_chars]}"
+        return STATUS_EXCEPTION, f"{config.EXCEPTION_PREFIX}{str(e)[:exception_chars]}"
 
 
 def _call_partition(client: Client, payload_col: str, guard_col: str,
@@ -189,7 +191,8 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
             .when(F.col("_status") == F.lit(STATUS_EXCEPTION), F.col("_body"))
             .when(~ok, jfn.endpoint_error("_status", "_body"))
             .when(jfn.has_envelope(parsed) & decoded.isNull(),
-                  F.concat(F.lit("ENDPOINT_ERROR: MODEL_ERROR - "),
+                  F.concat(F.lit(f"{config.ENDPOINT_ERROR_PREFIX}{MODEL_ERROR_CODE}"
+                                 f"{config.ENDPOINT_ERROR_SEPARATOR}"),
                            F.left(F.coalesce(jfn.model_error_of(parsed), F.lit("null transcription")),
                                   F.lit(config.ENDPOINT_MESSAGE_CHARS)))))
     # Parse each 200 body once; every field below reads the parsed value.

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley import config
 from parley.config import ChunkSpec
 from parley.operators import chunking
 from parley.operators import upsert as up
@@ -146,8 +147,9 @@ def clustered(df: DataFrame, keys: list[str], num_partitions: int | None = None)
 # ---- stage-1 chunk manifests and payloads ----------------------------------
 def chunk_paths(file_id: Column, n: Column, root: str = CHUNK_ROOT) -> Column:
     idx = F.sequence(F.lit(0).cast("long"), (n - F.lit(1)).cast("long"))
-    return F.array_join(F.transform(idx, lambda i: F.format_string(f"{root}/%s_chunk%d.wav",
-                                                                   file_id, i)), "|")
+    fmt = f"{root}/{config.CHUNK_FILE_FORMAT}"
+    return F.array_join(F.transform(idx, lambda i: F.format_string(fmt, file_id, i)),
+                        config.CHUNK_PATH_SEPARATOR)
 
 
 def chunk_manifest(recs: DataFrame, spec: ChunkSpec, length_col: str = "length",
@@ -166,7 +168,7 @@ def write_chunk_payloads(chunks: DataFrame, path: str, payload_col: str = "paylo
     """Persist chunk payloads as rows (K8): ``chunk_path`` names the chunk
     the way a file would be named, and the bytes travel as data, so a retried
     task rewrites its own output atomically instead of leaving stray files."""
-    out = chunks.withColumn("chunk_path", F.format_string(f"{root}/%s_chunk%d.wav",
+    out = chunks.withColumn("chunk_path", F.format_string(f"{root}/{config.CHUNK_FILE_FORMAT}",
                                                           F.col("file_id"), F.col("chunk_idx")))
     out.select("file_id", "chunk_idx", "chunk_path", payload_col).write.mode("overwrite") \
         .partitionBy("file_id").parquet(path)
