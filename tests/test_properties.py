@@ -64,3 +64,29 @@ def test_blocks_only_concatenate_to_full(spark):
     blocks = reassemble.reassemble(df, ["k"], fanout=64, blocks_only=True).orderBy("first_chunk").collect()
     assert len(blocks) == 16 and sum(b.num_chunks for b in blocks) == 1000
     assert " ".join(b.transcription_text for b in blocks) == " ".join(f"w{i}" for i in range(1000))
+
+
+def test_hot_key_blocks_spread_over_partitions(spark):
+    # one recording with 20,000 chunks next to many small ones
+    hot = spark.range(20_000).select(F.lit("hot").alias("k"), F.col("id").alias("chunk_idx"),
+                                     F.concat(F.lit("w"), F.col("id")).alias("chunk_text"),
+                                     F.lit(None).cast("string").alias("chunk_error"))
+    cold = spark.range(2_000).select(F.concat(F.lit("k"), (F.col("id") % 500).cast("string")).alias("k"),
+                                     F.col("id").alias("chunk_idx"), F.lit("x").alias("chunk_text"),
+                                     F.lit(None).cast("string").alias("chunk_error"))
+    df = hot.unionByName(cold)
+    blocks = reassemble.reassemble(df, ["k"], fanout=512, blocks_only=True)
+    # AQE would merge these tiny shuffle partitions into one; at scale it
+    # does not, so look at the hash placement itself.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = (blocks.filter(F.col("k") == "hot")
+                       .select(F.spark_partition_id().alias("p")).distinct().count())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert blocks.filter(F.col("k") == "hot").count() == 40      # ceil(20000 / 512)
+    assert parts > 1                                              # the hot key is split
+    full = reassemble.reassemble(df, ["k"], fanout=512).filter(F.col("k") == "hot").head()
+    assert full.num_chunks == 20_000
+    assert full.transcription_text.split(" ")[:3] == ["w0", "w1", "w2"]
+    assert full.transcription_text.endswith("w19999")
