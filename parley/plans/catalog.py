@@ -184,16 +184,16 @@ def q_request_log(spark, root):
 
 
 # --- long recordings: chunk plan, chunk text, inference over overlaps --------
-def _doc_chunks_sql() -> str:
-    step = DOC_SPEC.step
+def _doc_chunks_sql(spec: ChunkSpec = DOC_SPEC) -> str:
+    step = spec.step
     return f"""(
   WITH d AS (
     SELECT doc_id, text, lang, source, length(text) AS len,
-           CASE WHEN length(text) <= {DOC_SPEC.max_len} THEN 1
+           CASE WHEN length(text) <= {spec.max_len} THEN 1
                 ELSE CAST(floor(length(text) / {step}) AS BIGINT) + 1 END AS n
     FROM documents)
   SELECT doc_id, text, lang, source, len, CAST(n AS INTEGER) AS num_chunks, i AS chunk_idx,
-         i * {step} AS chunk_start, least(len, i * {step} + {DOC_SPEC.max_len}) AS chunk_end
+         i * {step} AS chunk_start, least(len, i * {step} + {spec.max_len}) AS chunk_end
   FROM d, unnest(range(n)) AS r(i))"""
 
 
@@ -217,12 +217,13 @@ def q_chunk_text(spark, root):
         "doc_id", "chunk_idx", "payload")
 
 
-def _doc_results_sql() -> str:
-    guard = _guard_sql("strlen(payload)", "chunk_idx", "num_chunks", DOC_LIMITS, DOC_REQUEST_LIMIT)
+def _doc_results_sql(spec: ChunkSpec = DOC_SPEC, limits: SizeLimits = DOC_LIMITS,
+                     request_limit: int = DOC_REQUEST_LIMIT) -> str:
+    guard = _guard_sql("strlen(payload)", "chunk_idx", "num_chunks", limits, request_limit)
     return f"""(
   WITH c AS (SELECT doc_id, lang, source, len, num_chunks, chunk_idx,
                     substring(text, chunk_start + 1, chunk_end - chunk_start) AS payload
-             FROM {DOC_CHUNKS}),
+             FROM {_doc_chunks_sql(spec)}),
   g AS (SELECT *, {guard} AS chunk_error FROM c)
   SELECT source AS parent_folder, printf('doc_%d.wav', doc_id) AS filename,
          printf('/corpus/%s/%s/doc_%d.wav', lang, source, doc_id) AS full_path,
@@ -729,3 +730,22 @@ def q_latest_per_call(spark, root):
             "transcription_text", "processing_timestamp", "error_message"]
     both = _calls(spark, root).select(*cols).unionByName(source.select(*cols))
     return upsert.latest_per_key(both, pipeline.KEYS, "processing_timestamp")
+
+
+# Small chunks under a tight size cap: long recordings collect many chunk
+# errors, so the per-file message reaches the 1000-character cut.
+TIGHT_SPEC = ChunkSpec(max_len=500, overlap=10)
+TIGHT_LIMITS = SizeLimits(max_payload_bytes=700)            # file limit 522 B
+
+
+@register("error_truncate", f"""
+SELECT file_id, num_chunks, error_message, length(error_message) AS error_chars,
+       length(transcription_text) AS text_chars
+FROM {_doc_results_sql(TIGHT_SPEC, TIGHT_LIMITS, DOC_REQUEST_LIMIT)}""")
+def q_error_truncate(spark, root):
+    res = pipeline.transcribe_documents(t(spark, root, "documents"),
+                                        inference.EchoClient(DOC_REQUEST_LIMIT), spec=TIGHT_SPEC,
+                                        limits=TIGHT_LIMITS, run_ts=RUN_TS)
+    return res.select("file_id", "num_chunks", "error_message",
+                      F.char_length("error_message").cast("long").alias("error_chars"),
+                      F.char_length("transcription_text").cast("long").alias("text_chars"))
