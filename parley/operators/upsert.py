@@ -65,7 +65,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], detail: str | None = None) ->
 
 def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
                 on_error: str = "overwrite", error_col: str = "error_message",
-                check_unique: bool = True) -> DataFrame:
+                check_unique: bool = True, strategy: str = "outer") -> DataFrame:
     """Result of upserting ``source`` into ``target`` on ``keys``.
 
     One pass over each side: the source is aggregated per key (row count
@@ -77,9 +77,20 @@ def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
     replaces a good one, so its text becomes NULL.  ``"keep_good"``: source
     rows with a non-null ``error_col`` only insert new keys and never
     replace an existing row.
+
+    ``strategy="anti"`` is for a materialised (e.g. checkpointed) source:
+    target rows whose key is not in the source, plus the source rows.  A
+    small increment is then broadcast by AQE and the large target streams
+    through an anti-join without being shuffled (a full outer join can
+    never broadcast).  It reads the source more than once, so it is not the
+    default for lazy sources.
     """
     if on_error not in ("overwrite", "keep_good"):
         raise ValueError(on_error)
+    if strategy == "anti":
+        return _merge_anti(target, source, keys, on_error, error_col, check_unique)
+    if strategy != "outer":
+        raise ValueError(strategy)
     cols = [c for c in target.columns if c not in keys]
     conform(source, target.columns)  # INSERT * needs every target column
     carry = cols + ([error_col] if on_error == "keep_good" and error_col in source.columns
@@ -104,6 +115,20 @@ def merge_keyed(target: DataFrame, source: DataFrame, keys: list[str], *,
     return joined.filter(present).select(*keys, *picked).select(*target.columns)
 
 
+def _merge_anti(target: DataFrame, source: DataFrame, keys: list[str], on_error: str,
+                error_col: str, check_unique: bool) -> DataFrame:
+    src = assert_unique_keys(source, keys) if check_unique else source
+    conform(src, target.columns)
+    if on_error == "keep_good" and error_col in src.columns:
+        failed_keys = src.filter(F.col(error_col).isNotNull()).select(*keys)
+        # target side streams; the (small) failed keys are the build side
+        held = target.select(*keys).join(failed_keys, keys, "left_semi")
+        src = src.join(held, keys, "left_anti")
+    src = src.select(*target.columns)
+    kept = target.join(src.select(*keys), keys, "left_anti")
+    return kept.unionByName(src)
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
     """One row per key: the one with the greatest ``order_col`` (latest wins).
 

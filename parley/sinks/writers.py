@@ -98,7 +98,10 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
     if partition_col and partition_col in keys:
         touched = source.select(partition_col).distinct()
         target = target.join(touched, partition_col, "left_semi")
-    merged = up.merge_keyed(target, source, keys, on_error=on_error, error_col=error_col)
+    # The source is materialised above, so the anti-join form applies: a
+    # small increment is broadcast and the target is not shuffled.
+    merged = up.merge_keyed(target, source, keys, on_error=on_error, error_col=error_col,
+                            strategy="anti")
     merged = enforce_not_null(merged).select(*spark.table(table).columns)
     # Materialise in the shared checkpoint folder: the write below no longer
     # reads the files it replaces, and a lost executor recomputes from here.

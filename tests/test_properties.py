@@ -20,13 +20,14 @@ def _model(target, source, keep_good):
 @given(st.dictionaries(KEYS, st.one_of(st.none(), st.text("xyz", max_size=3)), max_size=10),
        st.dictionaries(KEYS, st.tuples(st.one_of(st.none(), st.text("pq", max_size=3)),
                                        st.one_of(st.none(), st.just("err"))), max_size=10),
-       st.booleans())
-def test_merge_matches_model(spark, target, source, keep_good):
+       st.booleans(), st.sampled_from(["outer", "anti"]))
+def test_merge_matches_model(spark, target, source, keep_good, strategy):
     t = spark.createDataFrame([(k[0], k[1], v) for k, v in target.items()],
                               "f string, n int, v string")
     s = spark.createDataFrame([(k[0], k[1], v, e) for k, (v, e) in source.items()],
                               "f string, n int, v string, error_message string")
-    got = upsert.merge_keyed(t, s, ["f", "n"], on_error="keep_good" if keep_good else "overwrite")
+    got = upsert.merge_keyed(t, s, ["f", "n"], on_error="keep_good" if keep_good else "overwrite",
+                             strategy=strategy)
     assert {(r.f, r.n): r.v for r in got.collect()} == _model(target, source, keep_good)
     assert got.count() == len(_model(target, source, keep_good))
 
