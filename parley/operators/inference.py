@@ -79,6 +79,22 @@ class EchoClient:
                                ensure_ascii=False)
 
 
+class WavFramesClient:
+    """Deterministic stand-in for a speech endpoint on WAV payloads: the
+    "transcription" of a chunk is ``frames <n>``, read from its header.
+    Undecodable audio is answered with a 400 ``BAD_AUDIO`` envelope."""
+
+    def __call__(self, payload) -> tuple[int, str]:
+        import io
+        import wave
+        try:
+            with wave.open(io.BytesIO(bytes(payload)), "rb") as w:
+                n = w.getnframes()
+        except Exception as e:  # noqa: BLE001 - any decode failure is a bad request
+            return 400, json.dumps({config.ERROR_CODE_FIELD: "BAD_AUDIO", config.MESSAGE_FIELD: str(e)})
+        return 200, json.dumps({config.RESPONSE_ENVELOPES[0]: [{config.TRANSCRIPTION_FIELD: f"frames {n}"}]})
+
+
 class HttpEndpointClient:
     """POST ``{"dataframe_records": [{"audio_base64": ...}]}`` to a serving URL.
 

@@ -749,3 +749,33 @@ def q_error_truncate(spark, root):
     return res.select("file_id", "num_chunks", "error_message",
                       F.char_length("error_message").cast("long").alias("error_chars"),
                       F.char_length("transcription_text").cast("long").alias("text_chars"))
+
+
+AUDIO_LIMITS = SizeLimits(max_payload_bytes=300)            # file limit 223 B
+
+
+@register("transcribe_audio", f"""
+WITH a AS (SELECT vec_id, label, CAST(round(2 * len(embedding) / 16.0) AS BIGINT) AS length_ms FROM embeddings),
+c AS (SELECT *, CASE WHEN length_ms <= {AUDIO_SPEC.max_len} THEN 1
+                     ELSE CAST(floor(length_ms / {AUDIO_SPEC.step}) AS BIGINT) + 1 END AS n FROM a),
+k AS (SELECT vec_id, label, n, i AS chunk_idx,
+             44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS nbytes,
+             16 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS frames
+      FROM c, unnest(range(n)) AS r(i)),
+g AS (SELECT *, {_guard_sql("nbytes", "chunk_idx", "n", AUDIO_LIMITS, 10**12)} AS chunk_error FROM k)
+SELECT printf('label_%d', label) || '_' || printf('vec_%d_wav', vec_id) AS file_id,
+       CAST(count(*) AS INTEGER) AS num_chunks,
+       string_agg(CASE WHEN chunk_error IS NULL THEN 'frames ' || frames END, ' ' ORDER BY chunk_idx) AS transcription_text,
+       left(string_agg(chunk_error, '; ' ORDER BY chunk_idx), 1000) AS error_message
+FROM g GROUP BY vec_id, label""")
+def q_transcribe_audio(spark, root):
+    """Embedding vectors as recordings: normalise, chunk into WAVs, send each
+    chunk through the guard and a WAV-reading stand-in endpoint, reassemble."""
+    from parley.sources import audio
+    recs = recordings.embedding_recordings(t(spark, root, "embeddings"))
+    chunks = audio.audio_chunks(audio.normalize_audio(recs), AUDIO_SPEC).select(
+        "file_id", "num_chunks", "chunk_idx", F.col("wav").alias("payload"))
+    inferred = inference.infer_chunks(chunks, inference.WavFramesClient(), limits=AUDIO_LIMITS)
+    from parley.operators import reassemble as ra
+    return ra.reassemble(inferred, ["file_id"]).select(
+        "file_id", "num_chunks", "transcription_text", "error_message")
