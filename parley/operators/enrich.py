@@ -47,6 +47,7 @@ NEGATIVE_TERMS = {
 # Phrases that introduce a speaker's name, followed by a capitalised word.
 NAME_INTRO_PATTERN = (r"(?:[Mm]y name is|[Tt]his is|[Ii] am|[Ii]ch bin|[Jj]e suis|"
                       r"[Jj]e m'appelle|[Mm]e llamo|[Ss]oy) (\p{Lu}\p{Ll}+)")
+NAME_INTRO_LOOKAHEAD = "(?=[IJMSTijmst])"   # first letters of the phrases above
 # Sentences: a run without terminators, plus its terminators.
 SENTENCE_PATTERN = r"[^.!?\n]+[.!?]*"
 CONTENT_MIN_LEN = 4          # content words have at least four letters
@@ -57,27 +58,34 @@ TONE_FORMAL_WORDS = 15       # >= 15 words per sentence on average: formal
 # ----------------------------------------------------------------------------
 
 
+def _literal_map(d: dict[str, int]) -> Column:
+    items = []
+    for k in sorted(d):
+        items += [F.lit(k), F.lit(int(d[k]))]
+    return F.create_map(*items)
+
+
 def _word_regex(words) -> str:
     """Whole lower-cased tokens equal to one of ``words``: a letter run
-    bounded by non-letters, i.e. exactly the tokens of :func:`tokens`."""
+    bounded by non-letters, i.e. exactly the tokens of :func:`tokens`.  The
+    leading lookahead on first letters lets the engine reject most positions
+    with one class test instead of trying every alternative."""
     import re
     alt = "|".join(re.escape(w) for w in sorted(words, key=lambda w: (-len(w), w)))
-    return rf"(?<!\p{{L}})(?:{alt})(?!\p{{L}})"
+    firsts = "".join(sorted({re.escape(w[0]) for w in words}))
+    return rf"(?<!\p{{L}})(?=[{firsts}])(?:{alt})(?!\p{{L}})"
 
 
-def _weighted_hits(text: Column, terms: dict[str, int]) -> Column:
-    """Sum of weights of lexicon tokens in ``text``.
+def lexicon_tokens(text: Column, positive: dict[str, int], negative: dict[str, int]) -> Column:
+    """Every lexicon token in ``text`` (a handful per text), in one regex
+    scan over the lower-cased text."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_word_regex({**positive, **negative})), 0)
 
-    One regex count per weight class over the lower-cased text: equal to
-    looking every token up in the lexicon, but a single codegen'd scan
-    instead of a per-token higher-order function.
-    """
-    lowered = F.lower(text)
-    total = F.lit(0)
-    for w in sorted(set(terms.values())):
-        words = [t for t, v in terms.items() if v == w]
-        total = total + F.regexp_count(lowered, F.lit(_word_regex(words))) * F.lit(w)
-    return F.coalesce(total.cast("int"), F.lit(0))
+
+def weight_sum(tokens: Column, terms: dict[str, int]) -> Column:
+    """Sum of the weights of ``tokens`` found in ``terms``."""
+    m = _literal_map(terms)
+    return F.aggregate(tokens, F.lit(0), lambda a, w: a + F.coalesce(F.try_element_at(m, w), F.lit(0)))
 
 
 def sentiment_label(pos: Column, neg: Column) -> Column:
@@ -98,9 +106,15 @@ def with_sentiment(df: DataFrame, text_col: str = "transcription_text",
     codegen: no broadcast, join or shuffle.
     """
     text = F.col(text_col)
-    pos, neg = _weighted_hits(text, positive), _weighted_hits(text, negative)
-    out = df.withColumns({"pos_hits": pos, "neg_hits": neg}).withColumn(
-        "sentiment", F.when(text.isNotNull(), sentiment_label(F.col("pos_hits"), F.col("neg_hits"))))
+    # The token array is its own column: both sums read it, and Catalyst
+    # keeps a non-trivial expression used twice in its own projection, so the
+    # scan runs once per row.
+    out = (df.withColumn("_lex", lexicon_tokens(text, positive, negative))
+             .withColumns({"pos_hits": F.coalesce(weight_sum(F.col("_lex"), positive), F.lit(0)),
+                           "neg_hits": F.coalesce(weight_sum(F.col("_lex"), negative), F.lit(0))})
+             .drop("_lex"))
+    out = out.withColumn("sentiment", F.when(text.isNotNull(),
+                                             sentiment_label(F.col("pos_hits"), F.col("neg_hits"))))
     return out if keep_scores else out.drop("pos_hits", "neg_hits")
 
 
@@ -179,9 +193,16 @@ def _pick(sents: Column, positions: Column, sep: str = " ") -> Column:
     return F.when(F.size(positions) > 0, F.array_join(picked, sep))
 
 
-def speaker_names(text: str | Column) -> tuple[Column, Column]:
+def introduced_names(text: str | Column) -> Column:
+    """Capitalised names following an introduction phrase, in order."""
     c = F.col(text) if isinstance(text, str) else text
-    names = F.regexp_extract_all(c, F.lit(NAME_INTRO_PATTERN), 1)
+    # The lookahead only skips positions that cannot start an introduction.
+    return F.regexp_extract_all(c, F.lit(NAME_INTRO_LOOKAHEAD + NAME_INTRO_PATTERN), 1)
+
+
+def speaker_names(names: Column) -> tuple[Column, Column]:
+    """Speaker 1 / 2 from :func:`introduced_names` (a column, so the scan is
+    not repeated for the second speaker)."""
     first = F.try_element_at(names, F.lit(1))
     second = F.try_element_at(F.filter(names, lambda x: x != first), F.lit(1))
     return (F.coalesce(first, F.lit(config.DEFAULT_SPEAKERS[0])),
@@ -207,8 +228,9 @@ def enrich(transcripts: DataFrame, run_ts: Column | None = None,
     cols = base.columns
     df = with_sentiment(base, text_col)
     df = with_text_stats(df, text_col)
+    df = df.withColumn("_names", introduced_names(text_col))
     sents, top = F.col("_sents"), F.col("_stats.top_sentences")
-    s1, s2 = speaker_names(text_col)
+    s1, s2 = speaker_names(F.col("_names"))
     analysis = F.to_json(F.struct(
         s1.alias("speaker_1"), s2.alias("speaker_2"),
         F.array_join(F.col("_stats.topics"), ", ").alias("main_topics"),
