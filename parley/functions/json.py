@@ -30,26 +30,36 @@ def parse_analysis(df: DataFrame, json_col: str = "conversation_analysis",
     return parsed.select(*keep, *[F.col(f"_analysis.{f}").alias(f) for f in ANALYSIS_FIELDS])
 
 
-def field_json_type(json_col: str | Column, field: str) -> Column:
-    """Type name of a top-level field (``STRING``, ``BIGINT``, ``VOID`` for
-    JSON null, ``OBJECT<..>``); NULL when absent or the text is not JSON."""
-    v = F.try_parse_json(_col(json_col))
-    return F.schema_of_variant(F.try_variant_get(v, f"$.{field}", "variant"))
+def field_json_type(parsed: Column, field: str) -> Column:
+    """Type name of a top-level field of a parsed VARIANT (``STRING``,
+    ``BIGINT``, ``VOID`` for JSON null, ``OBJECT<..>``); NULL when absent."""
+    return F.schema_of_variant(F.try_variant_get(parsed, f"$.{field}", "variant"))
 
 
-def contract_violations(json_col: str | Column) -> Column:
-    """Array of the required fields that are missing, NULL or not strings.
-
-    The response contract is strict: all five fields present as strings.
-    ``from_json`` alone is permissive (it stringifies numbers and fills
-    NULLs), so the type of each field is checked on the raw text.
-    """
-    checks = [F.when(F.coalesce(field_json_type(json_col, f) == F.lit("STRING"), F.lit(False)),
+def violations_of(parsed: Column) -> Column:
+    """Required fields missing, NULL or not strings in a parsed VARIANT
+    (NULL variant, i.e. text that is not JSON: every field)."""
+    checks = [F.when(F.coalesce(field_json_type(parsed, f) == F.lit("STRING"), F.lit(False)),
                      F.lit(None).cast("string")).otherwise(F.lit(f))
               for f in ANALYSIS_FIELDS]
     return F.filter(F.array(*checks), lambda x: x.isNotNull())
 
 
+def with_contract_violations(df: DataFrame, json_col: str, out_col: str = "violations") -> DataFrame:
+    """Adds ``out_col``: the strict contract check (all five fields present as
+    strings).  ``from_json`` alone is permissive (it stringifies numbers and
+    fills NULLs), so the raw text is parsed once as a VARIANT and each
+    field's type is checked."""
+    parsed = df.withColumn("_variant", F.try_parse_json(F.col(json_col)))
+    return parsed.withColumn(out_col, violations_of(F.col("_variant"))).drop("_variant")
+
+
+def contract_violations(json_col: str | Column) -> Column:
+    """Column form of the contract check (parses inside the expression;
+    prefer :func:`with_contract_violations` on large inputs)."""
+    return violations_of(F.try_parse_json(_col(json_col)))
+
+
 # One parse of a response body; maps keep a JSON-null field apart from a
 # missing one.
 RESPONSE_SCHEMA = ", ".join(f"{env}: array<map<string, string>>"

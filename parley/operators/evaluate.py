@@ -32,16 +32,6 @@ def eval_records(gold: DataFrame, text_col: str = "transcription_text",
                        F.col(output_col).alias("outputs"))
 
 
-def topic_coverage(topics: Column, summary: Column) -> tuple[Column, Column, Column]:
-    """(topics found, topics total, score) for a ``", "``-joined topic list."""
-    tl = F.filter(F.split(F.coalesce(topics, F.lit("")), ", "), lambda x: x != F.lit(""))
-    words = tfn.tokens(F.coalesce(summary, F.lit("")))
-    found = F.size(F.filter(tl, lambda x: F.array_contains(words, F.lower(x))))
-    total = F.size(tl)
-    score = F.when(total > 0, found / total).otherwise(F.lit(0.0))
-    return found, total, score
-
-
 def deny_hits(text: Column, terms=DENY_TERMS) -> Column:
     """Number of deny-listed words in ``text`` (fixed small list, per row)."""
     deny = F.array(*[F.lit(x) for x in sorted(set(terms))])
@@ -52,9 +42,19 @@ def deny_hits(text: Column, terms=DENY_TERMS) -> Column:
 def score(gold: DataFrame, keys=("parent_folder", "filename"),
           topics_col: str = "main_topics", output_col: str = "summary") -> DataFrame:
     """Long format: one row per (record, scorer) with ``score`` and ``passed``."""
-    found, total, cov = topic_coverage(F.col(topics_col), F.col(output_col))
-    safe = F.when(deny_hits(F.col(output_col)) == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    per = gold.select(*keys, cov.alias("_cov"), safe.alias("_safe"))
+    # Topic list and summary words become columns first: lambdas below read
+    # them without re-tokenising the summary for every topic.
+    staged = gold.select(
+        *keys,
+        F.filter(F.split(F.coalesce(F.col(topics_col), F.lit("")), ", "),
+                 lambda x: x != F.lit("")).alias("_topics"),
+        tfn.tokens(F.coalesce(F.col(output_col), F.lit(""))).alias("_words"),
+        deny_hits(F.col(output_col)).alias("_deny"))
+    found = F.size(F.filter("_topics", lambda x: F.array_contains(F.col("_words"), F.lower(x))))
+    staged = staged.withColumns({"_found": found, "_total": F.size("_topics")})
+    cov = F.when(F.col("_total") > 0, F.col("_found") / F.col("_total")).otherwise(F.lit(0.0))
+    safe = F.when(F.col("_deny") == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    per = staged.select(*keys, cov.alias("_cov"), safe.alias("_safe"))
     long = per.select(*keys, F.inline(F.array(
         F.struct(F.lit(SCORERS[0]).alias("scorer"), F.col("_cov").alias("score")),
         F.struct(F.lit(SCORERS[1]).alias("scorer"), F.col("_safe").alias("score")))))

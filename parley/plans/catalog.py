@@ -360,7 +360,7 @@ SELECT event_id, list_filter([{", ".join(
 FROM events""")
 def q_contract_violations(spark, root):
     ev = t(spark, root, "events").select("event_id", "props")
-    return ev.select("event_id", jfn.contract_violations("props").alias("violations"))
+    return jfn.with_contract_violations(ev, "props").select("event_id", "violations")
 
 
 # --- upsert ------------------------------------------------------------------
