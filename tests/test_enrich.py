@@ -1,4 +1,3 @@
-
 from parley.operators import enrich, evaluate
 
 
