@@ -32,7 +32,9 @@ DEFAULT_FANOUT = 512
 def _ordered_join(order: Column, value: Column, sep: str) -> Column:
     """Aggregate: non-null ``value`` joined by ``sep`` in ``order``; NULL if none."""
     items = F.collect_list(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))
-    joined = F.array_join(F.transform(F.array_sort(items), lambda x: x["v"]), sep)
+    # sort_array and struct-field extraction are codegen'd (array_sort /
+    # transform would evaluate a lambda per element); items are never NULL.
+    joined = F.array_join(F.sort_array(items).getField("v"), sep)
     return F.when(F.count(value) > 0, joined)
 
 
