@@ -156,7 +156,10 @@ def _make_ranker(k: int, n_topics: int):
     @F.pandas_udf(_RANK_SCHEMA)
     def rank(sent_tokens: pd.Series) -> pd.DataFrame:
         return _rank_rows(sent_tokens, k, n_topics)
-    return rank
+    # Marked non-deterministic so Catalyst never copies the call into a
+    # pushed-down filter: a filter on summary / topics would otherwise run
+    # the Python step twice.  (The function itself is deterministic.)
+    return rank.asNondeterministic()
 
 
 def content_token_lines(sents: Column) -> Column:

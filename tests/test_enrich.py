@@ -56,3 +56,12 @@ def test_scorers(spark):
     assert s[("h", "captures_main_topics")] == (0.0, False)
     m = {r.scorer: r for r in evaluate.metrics(evaluate.score(df)).collect()}
     assert m["safety"].n_records == 3 and m["safety"].n_passed == 2
+
+
+def test_filter_on_enriched_columns_runs_python_once(spark):
+    from pyspark.sql import functions as F
+    g = enrich.enrich(_one(spark, "Hello there. General words here."), "2024-01-01 00:00:00")
+    flt = g.filter(F.col("summary").isNotNull() & (F.col("main_topics") != ""))
+    plan = flt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert flt.count() == 1
