@@ -23,6 +23,8 @@ _DEFAULTS = {
     # Large audio / text payloads: keep Arrow batches bounded in rows and bytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
+    # Remove reliable-checkpoint files once their DataFrames are released.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
