@@ -73,5 +73,7 @@ def test_cli_merge_enrich_report(spark, capsys):
                 spark=spark) == 0
     assert main(["report", "errors", "--table", results], spark=spark) == 0
     assert main(["report", "sentiment", "--table", "calls.cli_gold"], spark=spark) == 0
+    assert main(["report", "summary", "--table", results, "--rows", "2"], spark=spark) == 0
     out = capsys.readouterr().out
     assert "error_type" in out and "sentiment" in out and "merged into calls.cli_transcripts" in out
+    assert "preview" in out
