@@ -1,7 +1,9 @@
-"""The three stages: recordings -> chunks -> transcripts -> upsert -> gold.
+"""Pipeline stages: recordings -> chunks -> transcripts -> upsert -> gold.
 
-Each function returns a lazy DataFrame; the sinks in :mod:`parley.sinks`
-materialise stage tables between them.
+The plan functions (``infer_calls``, ``transcribe_*``, ``chunk_documents``,
+``to_transcripts``) return lazy DataFrames.  The ``run_*`` stage jobs read
+one table and write the next through :mod:`parley.sinks`, so stages are
+materialised between remote calls and decoding steps.
 """
 
 from __future__ import annotations
