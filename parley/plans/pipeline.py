@@ -22,8 +22,6 @@ from parley.sources import recordings
 # recording a duration.
 CHARS_PER_SECOND = 15.0
 
-RESULT_COLUMNS = ["parent_folder", "filename", "full_path", "file_id", "duration_seconds",
-                  "num_chunks", "transcription_text", "processing_timestamp", "error_message"]
 TRANSCRIPT_COLUMNS = ["parent_folder", "filename", "full_path", "duration_seconds", "num_chunks",
                       "transcription_text", "processing_timestamp", "ingestion_timestamp"]
 KEYS = ["parent_folder", "filename"]
