@@ -142,7 +142,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, keep_ids: b
     """
     groups = parts_for(text_bytes(docs, text), group_bytes)
 
-    def place(group, frame: pd.DataFrame) -> pd.DataFrame:
+    def place(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "doc_id", "piece"], kind="stable",
                                   ignore_index=True)
         order, sequence, offset = [], [], []

@@ -10,8 +10,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parley.llm import bpe, packing
+from parley.llm import bpe, packing, simhash, substring
 from parley.llm.words import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +40,17 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_bpe_automaton")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+@register("op4_simhash_balls")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        "component_id")
+
+
+@register("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
