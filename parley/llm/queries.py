@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, packing, simhash, substring
+from parley.llm import bpe, chat, packing, simhash, substring
 from parley.llm.words import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,39 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@register("op6_chat_prefixes", r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+sized AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           coalesce(role = 'assistant', FALSE) AS trained,
+           15 + length(replace(replace(replace(replace(coalesce(role, ''), '&', '&amp;'),
+                    '<', '&lt;'), '#', '&num;'), ':', '&colon;'))
+              - 1 + length(replace(replace(replace(coalesce(text, ''), '&', '&amp;'),
+                    '<', '&lt;'), '#', '&num;')) AS chars,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS n,
+           count(*) OVER (PARTITION BY conv_id) AS of
+    FROM turns),
+prefixes AS (
+    SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY n) AS upto FROM sized)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(sum(CASE WHEN trained THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN trained THEN text ELSE '' END, '' ORDER BY n)) AS loss_sha256,
+       CAST(sum(CASE WHEN trained OR n = of THEN upto ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM prefixes GROUP BY conv_id
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1)
+        .alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return chat.digests(chat.prefix_examples(turns.unionByName(control)))
