@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, packing, simhash, substring
+from parley.llm import bpe, chat, iblt, packing, simhash, substring
 from parley.llm.words import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(F.array(F.lit("user"), F.lit("assistant")), F.col("id").cast("int") + 1)
         .alias("role"), F.lit(CONTROL_TEXT).alias("text"))
     return chat.digests(chat.prefix_examples(turns.unionByName(control)))
+
+
+@register("op3_iblt_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.compare_neighbours(read(spark, sf_dir, "documents"))
