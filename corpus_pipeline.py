@@ -1,25 +1,65 @@
-"""Corpus pipeline over ``documents``; see STAGES."""
+"""Corpus pipeline over ``documents``.
+
+Toxic documents go, then those of low quality; one document of each group of
+near-duplicates stays; repeated passages are cut out of what is left; the
+rest is packed into training sequences.  Every stage is one operator of
+``parley.llm`` applied to all rows that the stage before kept, and all but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parley.llm import packing
+from parley.llm import packing, quality, simhash, substring, toxicity
+from parley.llm.words import crc_mod, read, stage
 
+#: SQL cannot express the classifiers, the tokenizer or the packing.
 ORACLE_SQL = None
 
 
-def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the grammar does not call toxic."""
+    grammar = toxicity.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    return toxicity.reject(docs, grammar)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranking keeps."""
+    ranker = quality.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return quality.keep_good(docs, ranker)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near-duplicates."""
+    return simhash.keep_one(docs)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; where a passage repeats an earlier one, the words that stay, by one space."""
+    cleaned = substring.remove_repeats(docs)
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
+    size = F.when(changed, F.length("kept_text")).otherwise(F.col("n_chars"))
+    return cleaned.withColumns({"text": text, "n_chars": size.cast(docs.schema["n_chars"].dataType)}
+                               ).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed pieces of every document that is left."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
-STAGES = [("best_fit_packing", pack_documents)]
+STAGES = [("toxicity", toxicity_stage), ("quality classifier", quality_stage),
+          ("SimHash near-dedup", near_duplicate_stage), ("substring dedup", substring_stage),
+          ("best-fit packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; each is written as Parquet and read by the next."""
+    docs = read(spark, sf_dir, "documents")
+    for _, apply in STAGES[:-1]:
+        docs = stage(apply(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

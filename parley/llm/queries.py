@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, iblt, packing, simhash, substring
-from parley.llm.words import read
+from parley.llm import bpe, chat, iblt, packing, quality, simhash, substring, toxicity
+from parley.llm.words import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,22 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_iblt_fingerprints")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iblt.compare_neighbours(read(spark, sf_dir, "documents"))
+
+
+def classified(scored: DataFrame, mod: int, held: int, threshold: float) -> DataFrame:
+    return scored.select("doc_id", (crc_mod("doc_id", mod) == held).alias("held_out"), "score",
+                         (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+@register("op7_toxicity_grammar")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    grammar = toxicity.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
+    return classified(toxicity.score(docs, grammar), 4, 2, toxicity.THRESHOLD)
+
+
+@register("op10_quality_ranking")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    ranker = quality.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return classified(quality.score(docs, ranker), 5, 0, quality.THRESHOLD)

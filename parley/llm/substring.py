@@ -22,6 +22,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -253,12 +254,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
                             zip(told, np.split(rows, bounds[1:]), strict=True)])
 
     def cleaned(part: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
-        elsewhere = pa.compute.equal(told.column("_slice"), -1)
+        elsewhere = pc.equal(told.column("_slice"), -1)
         gone = b"".join(told.filter(elsewhere).column("_blob").to_pylist())
         seen = {gone[at:at + 16] for at in range(0, len(gone), 16)}
         n = table.num_rows
         n_words, n_removed, kept = [0] * n, [0] * n, [""] * n
-        for _, i, w, starts in flagged(table, told.filter(pa.compute.invert(elsewhere))):
+        for _, i, w, starts in flagged(table, told.filter(pc.invert(elsewhere))):
             edges = np.zeros(w.n + 1, np.int64)
             for s in starts.tolist():
                 digest = w.digest(s)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parley.session import ensure_checkpoint_dir
+
 
 def ascii_words(text: str | None, lower: bool = True) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text as UTF-8; null gives none.
@@ -30,7 +35,6 @@ def crc_mod(key: str, mod: int) -> Column:
 
 def held_in(keys, mod: int) -> list[int]:
     """The same rule on a Python list of keys."""
-    import zlib
     return [zlib.crc32(b"" if k is None else str(k).encode()) % mod for k in keys]
 
 
@@ -39,7 +43,7 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str,
     """Cut record batches so that one holds about ``most`` bytes of text."""
     for batch in batches:
         start, size = 0, 0
-        lengths = pa.compute.binary_length(batch.column(text)).to_pylist()
+        lengths = pc.binary_length(batch.column(text)).to_pylist()
         for i, n in enumerate(lengths):
             size += n or 0
             if size >= most:
@@ -59,5 +63,13 @@ def parts_for(size: int, each: int) -> int:
     return max(1, -(-int(size) // int(each)))
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """The rows, written as Parquet in the shared checkpoint folder and read again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
