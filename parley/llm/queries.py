@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, iblt, packing, quality, simhash, substring, toxicity
+from parley.llm import bpe, chat, hnsw, iblt, packing, quality, simhash, substring, toxicity
 from parley.llm.words import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     ranker = quality.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
     return classified(quality.score(docs, ranker), 5, 0, quality.THRESHOLD)
+
+
+@register("op9_hnsw_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(20)) == 0), k=20)
