@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import bpe, chat, hnsw, iblt, packing, quality, simhash, substring, toxicity
+from parley.llm import (bpe, chat, hnsw, iblt, ngrams, packing, quality, simhash, substring,
+                        toxicity)
 from parley.llm.words import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,3 +121,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return hnsw.nearest(vectors, vectors.where(F.pmod("vec_id", F.lit(20)) == 0), k=20)
+
+
+@register("op1_ngram_trie")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.score_texts(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
