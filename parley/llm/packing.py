@@ -151,7 +151,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, keep_ids: b
             at = 0
             for i in members:
                 order.append(i)
-                sequence.append(group[0] << 32 | k)
+                sequence.append(int(group[0]) << 32 | k)
                 offset.append(at)
                 at += lengths[i]
         frame = frame.drop(columns="_group").iloc[order]
