@@ -60,7 +60,8 @@ def _beam(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entry: np.
         found = graph[nodes[active, best]]
         at = active[:, None]
         new = (found >= 0) & ~seen[at, found]
-        seen[at, np.where(new, found, 0)] |= new
+        row, column = np.nonzero(new)
+        seen[active[row], found[row, column]] = True
         near = np.einsum("qd,qkd->qk", queries[active], points[np.where(new, found, 0)])
         near[~new] = -np.inf
         all_nodes = np.concatenate([nodes[active], np.where(new, found, -1)], 1)

@@ -224,7 +224,7 @@ def compare_neighbours(docs: DataFrame, cells: int = CELLS, range_bytes: int = R
                                        (batch.take(pa.array(guest)), [before[x] for x in r[guest]],
                                         True)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(to, pa.int32()), pa.array([is_guest] * rows.num_rows),
+                    [pa.array(to, pa.int32()), pa.array([is_guest] * rows.num_rows, pa.bool_()),
                      rows.column("_key"), rows.column("doc_id"), rows.column("text")],
                     ["_range", "_guest", "_key", "doc_id", "text"])
 

@@ -467,7 +467,7 @@ def score_texts(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_TEXT
         # of a token's context: how often the word, and the pair, before it was trained
         before = np.zeros(len(count))
         before[1:] = count[:-1]
-        before[tokens.starts] = _start_count(first, pairs)
+        before[tokens.starts] = count[tokens.ends - 1]      # texts start as often as they end
         p = _smoothed(np.where(pair >= 0, pair_p[pair] if len(pairs) else 0, 0), before, M2, base)
         pair_count = np.rint(pair_p * (first + M2))
         context = np.zeros(len(count))
@@ -533,10 +533,5 @@ def _context_counts(tokens: ChunkTokens, pairs: np.ndarray) -> np.ndarray:
     return counts
 
 
-def _start_count(first: np.ndarray, pairs: np.ndarray) -> float:
-    start = np.flatnonzero((pairs >> np.uint64(32)) == START)
-    return float(first[start[0]]) if len(start) else 0.0
-
-
 def _smoothed(seen: np.ndarray, context: np.ndarray, weight: float, lower: np.ndarray) -> np.ndarray:
     return seen + weight / (context + weight) * lower

@@ -29,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.llm.components import roots
 from parley.llm.words import ascii_words, small_batches
@@ -167,8 +168,8 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE,
                      F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")))
 
     def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        a, b = group_links(frame["fp"].to_numpy(), key[0], prefix, radius, max_distance,
-                           key[2], key[1])
+        a, b = group_links(frame["fp"].to_numpy(), int(key[0]), prefix, radius, max_distance,
+                           int(key[2]), int(key[1]))
         return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
 
     return dealt.groupBy("group", "parts", "part").applyInPandas(meet, "a bigint, b bigint").distinct()
@@ -176,31 +177,53 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE,
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row.
+    """(doc_id, fp, group, component_id) of every row.
 
     ``component_id`` is the smallest doc_id that chains of links reach from
-    the row, its own included.  Rows with equal fingerprints are always
-    linked, also null and empty texts (fingerprint 0).  Repeated rows stay
-    repeated; a null doc_id is no candidate for the smallest, and a
-    component without any other has a null id.  Other columns are not read.
+    the row, its own included; ``group`` is the smallest fingerprint there.
+    Rows with equal fingerprints are always linked, also null and empty
+    texts (fingerprint 0).  Repeated rows stay repeated; a null doc_id is no
+    candidate for the smallest, and a component without any other has a null
+    id.  Other columns are not read.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     marked = fingerprints(docs, shingle, key, text).checkpoint()
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
     parent = roots(links(distinct.select("fp"), max_distance))
-    rooted = distinct.join(parent.select(F.col("a").alias("fp"), F.col("b").alias("root")),
-                           "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    rooted = distinct.join(parent.select(F.col("a").alias("fp"), F.col("b").alias("group")),
+                           "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    least = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
+    named = rooted.join(least, "group").select("fp", "group", "component_id")
+    return marked.join(named, "fp").select("doc_id", "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
              key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of the smallest id of each group, all columns, one row each.
+    """The document of the smallest id of each group, with all columns.
 
-    Rows with a null id are kept unless a document with an id is in their group.
+    Rows of one id are one document and give one row.  Rows with a null id
+    go where a document with an id is in their group; of a group without
+    any, one row stays.
     """
     found = near_duplicates(docs, shingle, max_distance, key, text)
-    kept = found.where("component_id <=> doc_id").select("doc_id").distinct()
-    return docs.join(kept, docs[key].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates([key])
+    kept = found.where("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
+    with_id = docs.join(kept, docs[key].cast("long") == kept["_kept"], "left_semi"
+                        ).dropDuplicates([key])
+    nameless = found.where("component_id IS NULL").select("fp", "group").distinct()
+    if nameless.isEmpty():            # the usual case: every group has an id
+        return with_id
+    columns = docs.columns
+    mark = "_fp"
+    while mark in columns:
+        mark = "_" + mark
+
+    def marked(batches):
+        for batch in batches:
+            fps = [simhash(ascii_words(t), shingle) for t in batch.column(text).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())],
+                                             [*columns, mark])
+    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
+    without = docs.where(F.col(key).isNull()).mapInArrow(marked, schema)
+    # one fingerprint stands for each group; its rows are equal in fingerprint
+    first = nameless.groupBy("group").agg(F.min("fp").alias(mark)).select(mark)
+    return with_id.unionByName(without.join(first, mark).dropDuplicates([mark]).select(*columns))

@@ -51,7 +51,7 @@ _TOKEN = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?|[.!?;\n]").findall
 MATCHES = ("insult", "insult_at_target", "insult_negated", "insult_reported",
            "threat", "threat_at_target", "threat_negated", "threat_reported")
 # Prior weights: bias, then one for log(1 + count) of each match.
-PRIOR = np.array([-4.0, 3.0, 4.0, 0.5, 0.5, 1.0, 3.5, 0.2, 0.2])
+PRIOR = np.array([-3.0, 3.0, 4.5, 0.5, 0.5, 1.0, 4.0, 0.2, 0.2])
 PRIOR_STRENGTH = 0.5
 THRESHOLD = 0.3
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 4500
