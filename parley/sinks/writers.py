@@ -10,8 +10,12 @@ partition overwrite.  For a table format with row-level MERGE, Spark's
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley import config
 from parley.config import ChunkSpec
@@ -20,6 +24,8 @@ from parley.operators import upsert as up
 from parley.session import ensure_checkpoint_dir
 
 CHUNK_ROOT = "/stage/preprocessed"
+MAX_LISTED_PARTITIONS = 10_000
+_LOG = logging.getLogger(__name__)
 
 
 # ---- stage tables ------------------------------------------------------------
@@ -35,21 +41,18 @@ def stage_table_name(base: str, run_id: str) -> str:
     return f"{base}_{run_id}"
 
 
-TRANSCRIPTS_DDL = """
-CREATE TABLE IF NOT EXISTS {name} (
-    parent_folder STRING NOT NULL,
-    filename STRING NOT NULL,
-    full_path STRING NOT NULL,
-    duration_seconds DOUBLE,
-    num_chunks INT,
-    transcription_text STRING,
-    processing_timestamp TIMESTAMP_NTZ,
-    ingestion_timestamp TIMESTAMP_NTZ NOT NULL
-) USING {fmt}
-PARTITIONED BY (parent_folder)
-"""
-
-NOT_NULL_COLUMNS = ("parent_folder", "filename", "full_path", "ingestion_timestamp")
+# Fixed contract: columns of the durable transcripts table.
+TRANSCRIPTS_SCHEMA = T.StructType([
+    T.StructField("parent_folder", T.StringType(), False),
+    T.StructField("filename", T.StringType(), False),
+    T.StructField("full_path", T.StringType(), False),
+    T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("num_chunks", T.IntegerType()),
+    T.StructField("transcription_text", T.StringType()),
+    T.StructField("processing_timestamp", T.TimestampNTZType()),
+    T.StructField("ingestion_timestamp", T.TimestampNTZType(), False),
+])
+NOT_NULL_COLUMNS = tuple(f.name for f in TRANSCRIPTS_SCHEMA if not f.nullable)
 
 
 def ensure_transcripts_table(spark: SparkSession, name: str, fmt: str = "parquet") -> None:
@@ -59,7 +62,10 @@ def ensure_transcripts_table(spark: SparkSession, name: str, fmt: str = "parquet
     """
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.sql(TRANSCRIPTS_DDL.format(name=name, fmt=fmt))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" + ("" if f.nullable else " NOT NULL")
+                        for f in TRANSCRIPTS_SCHEMA)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {fmt} "
+              "PARTITIONED BY (parent_folder)")
 
 
 def enforce_not_null(df: DataFrame, cols=NOT_NULL_COLUMNS) -> DataFrame:
@@ -80,11 +86,17 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
                      error_col: str = "error_message", row_level_merge: bool = False) -> None:
     """Upsert ``source`` into ``table`` on ``keys`` (K4 / J1-J4).
 
+    Only the partitions that the source touches are read and rewritten, in
+    ranges of the keys (K7).  Their values are listed for the scan's partition
+    filter, up to ``MAX_LISTED_PARTITIONS``; beyond that they are joined.
+
     ``row_level_merge=True`` is for tables whose format implements MERGE
     (row-level operations); Spark's ``mergeInto`` then updates in place.
     """
+    if row_level_merge and on_error != "overwrite":
+        raise ValueError("row_level_merge supports on_error='overwrite' only")
     target = spark.table(table)
-    if row_level_merge and on_error == "overwrite":
+    if row_level_merge:
         src = up.assert_unique_keys(source, keys)
         cond = " AND ".join(f"{table}.{k} = s.{k}" for k in keys)
         updates = {c: F.col(f"s.{c}") for c in target.columns if c not in keys}
@@ -95,9 +107,15 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
     # The source feeds two branches below (touched partitions, merge); pin it
     # once so an upstream remote call or decode never runs twice.
     source = source.checkpoint(eager=True)
-    if partition_col and partition_col in keys:
+    partitioned = bool(partition_col) and partition_col in keys
+    if partitioned:
         touched = source.select(partition_col).distinct()
-        target = target.join(touched, partition_col, "left_semi")
+        values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+        if len(values) <= MAX_LISTED_PARTITIONS:
+            # a literal list prunes the scan to the touched folders
+            target = target.where(F.col(partition_col).isin([v for v in values if v is not None]))
+        else:
+            target = target.join(touched, partition_col, "left_semi")
     # The source is materialised above, so the anti-join form applies: a
     # small increment is broadcast and the target is not shuffled.
     merged = up.merge_keyed(target, source, keys, on_error=on_error, error_col=error_col,
@@ -105,38 +123,41 @@ def merge_into_table(spark: SparkSession, table: str, source: DataFrame, keys: l
     merged = enforce_not_null(merged).select(*spark.table(table).columns)
     # Materialise in the shared checkpoint folder: the write below no longer
     # reads the files it replaces, and a lost executor recomputes from here.
-    frozen = merged.checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    frozen = clustered(merged, keys).checkpoint(eager=True)
+    if not partitioned:
         frozen.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        return
+    # Dynamic overwrite as an option of this one write: the session's setting
+    # may serve a stream or another merge at the same time.
+    described = {r["col_name"]: r["data_type"] for r in
+                 spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    (frozen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition_col).format(described["Provider"]).save(described["Location"]))
+    spark.catalog.recoverPartitions(table)          # new folders
+    spark.catalog.refreshTable(table)
 
 
 def create_or_append(df: DataFrame, table: str) -> None:
-    """Absent: create (schema from ``df``); present: append (K5).
+    """Add the rows to ``table``, which the write creates where it is absent (K5).
 
     Appending is not idempotent: a re-run adds every row again.
     """
-    spark = df.sparkSession
-    if not spark.catalog.tableExists(table):
-        df.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
-    else:
-        df.write.mode("append").saveAsTable(table)
+    df.write.mode("append").saveAsTable(table)
 
 
 def drop_tables(spark: SparkSession, tables) -> list[str]:
-    """Drop stage tables if present; failures are ignored (K6)."""
-    dropped = []
-    for t in tables:
+    """Drop stage tables that exist; returns those that could not be dropped (K6).
+
+    A table that stays is logged and does not stop the others.
+    """
+    left = []
+    for name in tables:
         try:
-            if spark.catalog.tableExists(t):
-                spark.sql(f"DROP TABLE IF EXISTS {t}")
-                dropped.append(t)
-        except Exception:
-            pass
-    return dropped
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except AnalysisException as e:
+            _LOG.warning("stage table %s was not dropped: %s", name, e)
+            left.append(name)
+    return left
 
 
 def clustered(df: DataFrame, keys: list[str], num_partitions: int | None = None) -> DataFrame:
@@ -173,5 +194,5 @@ def write_chunk_payloads(chunks: DataFrame, path: str, payload_col: str = "paylo
     task rewrites its own output atomically instead of leaving stray files."""
     out = chunks.withColumn("chunk_path", F.format_string(f"{root}/{config.CHUNK_FILE_FORMAT}",
                                                           F.col("file_id"), F.col("chunk_idx")))
-    out.select("file_id", "chunk_idx", "chunk_path", payload_col).write.mode("overwrite") \
-        .partitionBy("file_id").parquet(path)
+    out.select("full_path", "file_id", "chunk_idx", "chunk_path", payload_col).write.mode(
+        "overwrite").parquet(path)

@@ -42,6 +42,17 @@ def upsert_batch(spark: SparkSession, table: str, batch: DataFrame, on_error: st
     """One micro-batch: latest row per key, ingestion time, MERGE."""
     latest = up.latest_per_key(batch, pipeline.KEYS, "processing_timestamp")
     source = latest.withColumn("ingestion_timestamp", F.col("processing_timestamp"))
+    # A late batch never replaces rows of a later run.  The comparison reads
+    # the touched folders' keys and times only.
+    folders = [r[0] for r in source.select("parent_folder").distinct().limit(
+        writers.MAX_LISTED_PARTITIONS + 1).collect()]
+    held = spark.table(table)
+    if len(folders) <= writers.MAX_LISTED_PARTITIONS:
+        held = held.where(F.col("parent_folder").isin([f for f in folders if f is not None]))
+    newer = held.select(*pipeline.KEYS, F.col("processing_timestamp").alias("_held"))
+    source = (source.join(newer, pipeline.KEYS, "left")
+              .where(F.col("_held").isNull() | (F.col("processing_timestamp") >= F.col("_held")))
+              .drop("_held"))
     writers.merge_into_table(spark, table, source, pipeline.KEYS, on_error=on_error)
 
 

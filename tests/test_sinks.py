@@ -82,8 +82,8 @@ def test_stage_tables_create_or_append_and_drop(spark):
     writers.create_or_append(df, "gold_t")
     writers.create_or_append(df, "gold_t")
     assert spark.table("gold_t").count() == 4          # re-run duplicates every row
-    dropped = writers.drop_tables(spark, ["stage_ok_20240101", "stage_all_20240101", "never_there"])
-    assert dropped == ["stage_ok_20240101", "stage_all_20240101"]
+    left = writers.drop_tables(spark, ["stage_ok_20240101", "stage_all_20240101", "never_there"])
+    assert left == [] and not spark.catalog.tableExists("stage_all_20240101")
     assert not spark.catalog.tableExists("stage_ok_20240101")
 
 
@@ -98,3 +98,31 @@ def test_clustered_keeps_rows_and_orders_within_partitions(spark):
     bounds = [((p[0].parent_folder, p[0].filename), (p[-1].parent_folder, p[-1].filename)) for p in parts if p]
     for (a_lo, a_hi), (b_lo, b_hi) in zip(bounds, bounds[1:]):
         assert a_hi < b_lo                              # disjoint ranges
+
+
+def test_merge_reads_touched_folders_only_and_leaves_the_session_alone(spark):
+    name = "calls_db.transcripts_pruned"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    writers.ensure_transcripts_table(spark, name)
+    rows = [(f"f{i % 7}", f"{i}.wav", f"t{i}", None) for i in range(70)]
+    writers.merge_into_table(spark, name, _src(spark, rows, "2024-01-01 00:00:00"), pipeline.KEYS)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    target = spark.table(name).where(F.col("parent_folder").isin(["f1"]))
+    plan = target._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: ")[1].split("]")[0]
+    assert "f1" in filters or "isnotnull(parent_folder" in filters
+    files = {r[0] for r in spark.table(name).where("parent_folder <> 'f1'").select(
+        F.input_file_name()).distinct().collect()}
+    writers.merge_into_table(spark, name, _src(spark, [("f1", "1.wav", None, "E")],
+                                               "2024-01-02 00:00:00"), pipeline.KEYS)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert {r[0] for r in spark.table(name).where("parent_folder <> 'f1'").select(
+        F.input_file_name()).distinct().collect()} == files
+    assert len(_rows(spark, name)) == 70
+    assert ("f1", "1.wav", None, "2024-01-02 00:00:00") in _rows(spark, name)
+
+
+def test_row_level_merge_refuses_keep_good(spark):
+    with pytest.raises(ValueError, match="row_level_merge"):
+        writers.merge_into_table(spark, "t", spark.range(1), ["id"], on_error="keep_good",
+                                 row_level_merge=True)
