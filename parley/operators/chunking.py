@@ -49,12 +49,41 @@ def plan_chunks(df: DataFrame, length_col: str, spec: ChunkSpec = ChunkSpec()) -
               .drop("_chunks"))
 
 
+# Chunks cut from one block of a text: a block is found by one scan from the
+# text's start, its chunks by scans from the block's start.
+BLOCK_CHUNKS = 64
+
+
 def chunk_text(df: DataFrame, text_col: str, spec: ChunkSpec,
                out_col: str = "chunk_text", keep_text: bool = False) -> DataFrame:
-    """Chunk a text column by characters; adds the chunk's substring."""
-    planned = plan_chunks(df.withColumn("_len", F.char_length(text_col).cast("long")), "_len", spec)
-    out = planned.withColumn(
-        out_col, F.col(text_col).substr((F.col("chunk_start") + 1).cast("int"),
-                                        (F.col("chunk_end") - F.col("chunk_start")).cast("int")))
-    out = out.drop("_len")
-    return out if keep_text else out.drop(text_col)
+    """Chunk a text column by characters; adds the chunk's substring.
+
+    The slices are made before the rows are exploded, so the text is not
+    carried into every chunk's row, and in two levels, so finding a
+    character position never scans the text from its start for every chunk.
+    """
+    keep = [c for c in df.columns if keep_text or c != text_col]
+    size, count = F.char_length(text_col).cast("long"), chunk_count(F.col("_len"), spec)
+    measured = df.withColumn("_len", size).withColumn("_n", count)
+    last_block = F.floor((F.col("_n") - F.lit(1)) / F.lit(BLOCK_CHUNKS)).cast("long")
+    step, width = spec.step * BLOCK_CHUNKS, spec.step * (BLOCK_CHUNKS - 1) + spec.max_len
+    blocks = F.transform(F.sequence(F.lit(0).cast("long"), last_block), lambda b: F.struct(
+        b.alias("_block"), F.substring(F.col(text_col), (b * step + 1).cast("int"),
+                                       F.lit(width)).alias("_part")))
+    parts = measured.select(*keep, "_len", "_n", F.inline(blocks))
+    first = F.col("_block") * F.lit(BLOCK_CHUNKS)
+    chosen = F.sequence(first, F.least((F.col("_n") - F.lit(1)).cast("long"),
+                                       first + F.lit(BLOCK_CHUNKS - 1)))
+
+    def chunk(i: Column) -> Column:
+        start = (i * F.lit(spec.step)).cast("long")
+        end = F.least(F.col("_len"), start + F.lit(spec.max_len))
+        at = (start - F.col("_block") * F.lit(step) + F.lit(1)).cast("int")
+        return F.struct(i.alias("chunk_idx"), start.alias("chunk_start"), end.alias("chunk_end"),
+                        F.substring(F.col("_part"), at, (end - start).cast("int")).alias(out_col))
+    made = F.transform(chosen, chunk)
+    n = F.col("_n")
+    if spec.drop_empty:
+        made = F.filter(made, lambda c: c["chunk_end"] > c["chunk_start"])
+        n = F.size(chunk_bounds(F.col("_len"), spec))
+    return parts.select(*keep, n.cast("int").alias("num_chunks"), F.inline(made))

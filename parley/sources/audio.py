@@ -9,9 +9,6 @@ writing WAV headers are column expressions.
 
 from __future__ import annotations
 
-import io
-import wave
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -37,10 +34,32 @@ def list_audio(spark: SparkSession, root: str, glob: str = config.AUDIO_GLOB) ->
     return _reader(spark, glob).load(root).select("path", "length").transform(paths.with_path_parts)
 
 
-def read_audio(spark: SparkSession, root: str, glob: str = config.AUDIO_GLOB) -> DataFrame:
-    """Listing plus file bytes (``content``)."""
-    return (_reader(spark, glob).load(root).select("path", "length", "content")
-            .transform(paths.with_path_parts))
+def read_audio(spark: SparkSession, root: str, glob: str = config.AUDIO_GLOB,
+               max_files: int | None = None) -> DataFrame:
+    """Listing plus file bytes (``content``).
+
+    A file above ``spark.sql.sources.binaryFile.maxLength`` cannot be one
+    row: it keeps its listing row with NULL content, which
+    :func:`normalize_audio` turns into an error row, and its bytes are never
+    read.  ``max_files`` takes the first files by path; they are chosen from
+    the listing (at most that many paths reach the driver), and only those
+    are read.
+    """
+    most = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    if max_files is None:
+        listing, source = list_audio(spark, root, glob), [root]
+    else:
+        listing = list_audio(spark, root, glob).orderBy("path").limit(max_files)
+        source = [r["path"] for r in listing.collect()]
+        listing = list_audio(spark, root, glob).where(F.col("path").isin(source))
+    oversize = listing.where(F.col("length") > most).withColumn(
+        "content", F.lit(None).cast("binary")).select("path", "length", "content")
+    if not source:
+        return oversize.transform(paths.with_path_parts)
+    # Filters on length are applied before a file is opened.
+    files = (_reader(spark, glob).load(source).where(F.col("length") <= most)
+             .select("path", "length", "content"))
+    return files.unionByName(oversize).transform(paths.with_path_parts)
 
 
 NORMALIZED_SCHEMA = T.StructType([
@@ -54,37 +73,89 @@ NORMALIZED_SCHEMA = T.StructType([
 ])
 
 
+_BLOCK_FRAMES = 1 << 16
+_PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
+
+
+def _chunks_of(data: memoryview):
+    """(id, body) of the RIFF chunks; a cut-off last body is as long as it is."""
+    if len(data) < 12 or bytes(data[:4]) != b"RIFF" or bytes(data[8:12]) != b"WAVE":
+        raise ValueError("not a RIFF WAVE file")
+    at = 12
+    while at + 8 <= len(data):
+        size = int.from_bytes(data[at + 4:at + 8], "little")
+        yield bytes(data[at:at + 4]), data[at + 8:at + 8 + size]
+        at += 8 + size + size % 2
+
+
+def _decoder(kind: int, width: int):
+    """Frames' bytes to floats: 8 to 32-bit PCM, 32 and 64-bit float."""
+    if kind == _FLOAT and width in (4, 8):
+        return lambda raw: np.frombuffer(raw, f"<f{width}").astype(np.float64)
+    if kind != _PCM or width not in (1, 2, 3, 4):
+        raise ValueError(f"unsupported WAV encoding {kind} of {8 * width} bits")
+    if width == 1:
+        return lambda raw: (np.frombuffer(raw, np.uint8).astype(np.float64) - 128) / 128
+    if width == 3:
+        def three(raw):
+            parts = np.frombuffer(raw, np.uint8).reshape(-1, 3)
+            wide = np.zeros((len(parts), 4), np.uint8)
+            wide[:, 1:] = parts
+            return wide.view("<i4").ravel() / 2.0 ** 31
+        return three
+    return lambda raw: np.frombuffer(raw, f"<i{width}") / 2.0 ** (8 * width - 1)
+
+
 def decode_normalize(data: bytes, path: str, target_rate: int = config.TARGET_SAMPLE_RATE):
     """WAV bytes -> (rate, channels, duration s, length ms, PCM16 mono bytes).
 
     Channels are averaged, then resampled by linear interpolation to
-    ``target_rate``.  MP3 needs a codec that is not available: such files
-    fail with an error message instead of stopping the job.
+    ``target_rate``, in blocks of frames: beside the file and its result only
+    one block is held.  Positions are whole multiples of 1 / target_rate
+    input frames, so samples that fall on input samples are exact.  MP3
+    needs a codec that is not available: such files fail with an error
+    message instead of stopping the job.
     """
     if path.endswith(".mp3"):
         raise ValueError("MP3 decoding is not available; convert to WAV first")
-    with wave.open(io.BytesIO(data), "rb") as w:
-        rate, channels, width, n = w.getframerate(), w.getnchannels(), w.getsampwidth(), w.getnframes()
-        raw = w.readframes(n)
-    if width == 1:
-        x = (np.frombuffer(raw, dtype=np.uint8).astype(np.float64) - 128.0) / 128.0
-    elif width == 2:
-        x = np.frombuffer(raw, dtype="<i2").astype(np.float64) / 32768.0
-    elif width == 4:
-        x = np.frombuffer(raw, dtype="<i4").astype(np.float64) / 2147483648.0
-    else:
-        raise ValueError(f"unsupported sample width {width}")
-    x = x[: (len(x) // channels) * channels].reshape(-1, channels).mean(axis=1)
-    n_out = int(round(len(x) * target_rate / rate))
-    if n_out and len(x) > 1 and rate != target_rate:
-        t_in = np.arange(len(x)) / rate
-        t_out = np.arange(n_out) / target_rate
-        x = np.interp(t_out, t_in, x)
-    elif rate != target_rate:
-        x = np.resize(x, n_out)
-    pcm = np.clip(np.round(x * 32768.0), -32768, 32767).astype("<i2").tobytes()
+    body = layout = None
+    for name, chunk in _chunks_of(memoryview(data)):
+        if name == b"fmt ":
+            layout = chunk
+        elif name == b"data":
+            body = chunk
+            break
+    if layout is None or len(layout) < 16 or body is None:
+        raise ValueError("WAV file without format or data")
+    kind, channels, rate = (int.from_bytes(layout[a:b], "little") for a, b in ((0, 2), (2, 4), (4, 8)))
+    bits = int.from_bytes(layout[14:16], "little")
+    if bits % 8:
+        raise ValueError(f"unsupported WAV sample size of {bits} bits")
+    width = bits // 8
+    if kind == _EXTENSIBLE and len(layout) >= 26:
+        kind = int.from_bytes(layout[24:26], "little")
+    if not channels or not rate:
+        raise ValueError("WAV file without channels or rate")
+    decode, frame = _decoder(kind, width), width * channels
+    n = len(body) // frame
+    n_out = int(round(n * target_rate / rate))
+    pcm, done, last = bytearray(), 0, np.empty(0)
+    for begin in range(0, n, _BLOCK_FRAMES):
+        end = min(begin + _BLOCK_FRAMES, n)
+        block = decode(body[begin * frame:end * frame]).reshape(-1, channels).mean(axis=1)
+        block, begin = np.concatenate([last, block]), begin - len(last)
+        # outputs whose right neighbour is here; the last block gives all that are left
+        stop = n_out if end == n else min(n_out, -(-(end - 1) * target_rate // rate))
+        place = np.arange(done, max(done, stop), dtype=np.int64) * rate
+        left = np.minimum(place // target_rate, n - 1)
+        right = np.minimum(left + 1, n - 1)
+        share = (place - left * target_rate) / target_rate
+        low = block[left - begin]
+        x = low + (block[right - begin] - low) * np.where(right > left, share, 0)
+        pcm += np.clip(np.round(x * 32768.0), -32768, 32767).astype("<i2").tobytes()
+        done, last = max(done, stop), block[-1:]
     duration = n_out / target_rate
-    return rate, channels, duration, int(round(duration * 1000)), pcm
+    return rate, channels, duration, int(round(duration * 1000)), bytes(pcm)
 
 
 def normalize_audio(files: DataFrame, content_col: str = "content",
@@ -101,8 +172,10 @@ def normalize_audio(files: DataFrame, content_col: str = "content",
     def run(batches):
         for pdf in batches:
             rows = []
-            for p, data in zip(pdf["path"], pdf[content_col]):
+            for p, data in zip(pdf["path"], pdf[content_col], strict=True):
                 try:
+                    if data is None:
+                        raise ValueError("file is larger than one row can hold")
                     rate, ch, dur, ms, pcm = decode_normalize(bytes(data), p, target_rate)
                     rows.append((rate, ch, dur, ms, pcm, None))
                 except Exception as e:  # row-level capture
@@ -117,11 +190,20 @@ def normalize_audio(files: DataFrame, content_col: str = "content",
 
 def audio_chunks(normalized: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
     """Explode normalised recordings into WAV chunk payloads (``wav``),
-    sliced from the PCM bytes by milliseconds, header written in the JVM."""
+    sliced from the PCM bytes by milliseconds, header written in the JVM.
+
+    The slices are made before the rows are exploded: a chunk's row carries
+    its own bytes, not the recording's.
+    """
     ok = normalized.filter(F.col("error_message").isNull())
-    planned = chunking.plan_chunks(ok, "length_ms", spec)
-    start = F.col("chunk_start") * F.lit(BYTES_PER_MS) + F.lit(1)
-    size = (F.col("chunk_end") - F.col("chunk_start")) * F.lit(BYTES_PER_MS)
-    pcm_slice = F.col("pcm").substr(start.cast("int"), size.cast("int"))
-    return (planned.withColumn("wav", wav.wav_file(pcm_slice, config.TARGET_SAMPLE_RATE))
-                   .drop("pcm"))
+    keep = [c for c in normalized.columns if c != "pcm"]
+
+    def cut(b):
+        start = b["chunk_start"] * F.lit(BYTES_PER_MS) + F.lit(1)
+        size = (b["chunk_end"] - b["chunk_start"]) * F.lit(BYTES_PER_MS)
+        part = F.substring(F.col("pcm"), start.cast("int"), size.cast("int"))
+        return F.struct(b["chunk_idx"].alias("chunk_idx"), b["chunk_start"].alias("chunk_start"),
+                        b["chunk_end"].alias("chunk_end"),
+                        wav.wav_file(part, config.TARGET_SAMPLE_RATE).alias("wav"))
+    bounds = chunking.chunk_bounds(F.col("length_ms"), spec)
+    return ok.select(*keep, F.size(bounds).alias("num_chunks"), F.inline(F.transform(bounds, cut)))
