@@ -62,8 +62,9 @@ def contract_violations(json_col: str | Column) -> Column:
 
 # One parse of a response body; maps keep a JSON-null field apart from a
 # missing one.
-RESPONSE_SCHEMA = ", ".join(f"{env}: array<map<string, string>>"
-                            for env in config.RESPONSE_ENVELOPES).join(("struct<", ">"))
+RESPONSE_SCHEMA = T.StructType([
+    T.StructField(env, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    for env in config.RESPONSE_ENVELOPES])
 
 
 def parse_response(body: str | Column) -> Column:
@@ -110,8 +111,26 @@ def response_transcription(body: str | Column) -> Column:
     return transcription_of(parse_response(body))
 
 
-def response_model_error(body: str | Column) -> Column:
-    return model_error_of(parse_response(body))
+def malformed_response(body: str | Column) -> Column:
+    """Why a 200 body cannot be decoded, or NULL.
+
+    A body that is not JSON (NULL included), and an envelope that is not an
+    array whose first element is an object, are errors.  JSON without any
+    envelope is not one: it decodes to NULL, as :func:`response_transcription`
+    says.
+    """
+    parsed = F.try_parse_json(_col(body))
+
+    def kind(path: str) -> Column:
+        return F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+
+    def broken(env: str) -> Column:
+        return ~F.coalesce(kind(f"$.{env}[0]").startswith("OBJECT"), F.lit(False))
+    first, second = config.RESPONSE_ENVELOPES
+    bad = F.when(kind(f"$.{first}").isNotNull(), broken(first)).otherwise(
+        kind(f"$.{second}").isNotNull() & broken(second))
+    return (F.when(parsed.isNull(), F.lit(f"{config.EXCEPTION_PREFIX}response is not JSON"))
+             .when(bad, F.lit(f"{config.EXCEPTION_PREFIX}malformed response envelope")))
 
 
 def endpoint_error(status: str | Column, body: str | Column) -> Column:

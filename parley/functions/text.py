@@ -20,10 +20,6 @@ def preview(c: str | Column, n: int = config.PREVIEW_CHARS) -> Column:
     return F.left(_col(c), F.lit(n))
 
 
-def truncate(c: str | Column, n: int) -> Column:
-    return F.left(_col(c), F.lit(n))
-
-
 def byte_length(c: str | Column) -> Column:
     return F.octet_length(_col(c)).cast("long")
 
@@ -69,15 +65,7 @@ def tokens(c: str | Column, min_len: int = 1) -> Column:
     return F.filter(arr, lambda t: F.length(t) >= F.lit(max(min_len, 1)))
 
 
-# Instruction placed before a transcript when an analysis model is used.
-ANALYSIS_PROMPT = (
-    "You will read the transcript of a phone call between two people.\n"
-    "Name both speakers if the transcript says their names, otherwise call them "
-    "Speaker 1 and Speaker 2; list the main topics; describe the overall tone; "
-    "and summarise the call briefly.\n\nTranscript:\n")
-
-
-def build_prompt(text: str | Column, prompt: str = ANALYSIS_PROMPT) -> Column:
+def build_prompt(text: str | Column, prompt: str) -> Column:
     """Prompt + transcript as a column expression (NULL text gives NULL).
 
     Built with ``concat`` rather than spliced into SQL text, so quotes in

@@ -8,8 +8,8 @@ operators with the same inputs and outputs:
 * summary    – extractive: sentences scored by the document frequency of
   their content words, best ``k`` kept in original order.
 * analysis   – speakers (names introduced in the text, else Speaker 1/2),
-  main topics (most frequent content words), tone, one-sentence summary;
-  emitted as JSON text and parsed back like a structured model response.
+  main topics (most frequent content words), tone, one-sentence summary, as
+  the columns that a structured model response is parsed into.
 
 All per-row work runs on the text of one row; nothing is grouped across
 rows, so a large share of rows under one key costs nothing extra.
@@ -17,8 +17,7 @@ rows, so a large share of rows under one key costs nothing extra.
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,8 +101,7 @@ def with_sentiment(df: DataFrame, text_col: str = "transcription_text",
                    keep_scores: bool = False) -> DataFrame:
     """Adds ``sentiment`` (and ``pos_hits``/``neg_hits`` when asked).
 
-    The lexicon is a fixed, small literal map evaluated per row inside
-    codegen: no broadcast, join or shuffle.
+    The lexicon is a fixed, small literal map: no broadcast, join or shuffle.
     """
     text = F.col(text_col)
     # The token array is its own column: both sums read it, and Catalyst
@@ -124,38 +122,66 @@ def sentences(text: str | Column) -> Column:
     return F.filter(F.transform(raw, lambda s: F.trim(s)), lambda s: s != F.lit(""))
 
 
-# --- the one Python step: term counting per row (Arrow batches) -------------
+# --- the one Python step: term counting, vectorised over Arrow batches -------
 _RANK_SCHEMA = T.StructType([
     T.StructField("top_sentences", T.ArrayType(T.IntegerType()), True),
     T.StructField("topics", T.ArrayType(T.StringType()), True),
     T.StructField("best_sentence", T.IntegerType(), True)])
 
 
-def _rank_rows(sent_tokens: pd.Series, k: int, n_topics: int) -> pd.DataFrame:
-    """Per row: ``sent_tokens`` holds one line per sentence, its content
-    tokens separated by single spaces (letters only, so ``split`` is exact)."""
-    tops, topics, bests = [], [], []
-    for row in sent_tokens:
-        if row is None:
-            tops.append(None)
-            topics.append(None)
-            bests.append(None)
-            continue
-        sents = [line.split(" ") if line else [] for line in row.split("\n")]
-        cnt = Counter(tok for s in sents for tok in s)
-        scores = [sum(cnt[tok] for tok in s) for s in sents]
-        best = sorted(range(len(sents)), key=lambda i: (-scores[i], i))[:k]
-        tops.append(sorted(best))
-        bests.append(best[0] if best else None)
-        topics.append([w for w, _ in sorted(cnt.items(), key=lambda kv: (-kv[1], kv[0]))[:n_topics]])
-    return pd.DataFrame({"top_sentences": tops, "topics": topics,
-                         "best_sentence": pd.array(bests, dtype="Int32")})
+def _rank_batch(sent_tokens: pd.Series, k: int, n_topics: int) -> pd.DataFrame:
+    """A whole Arrow batch at once: one line per sentence, its content tokens
+    separated by single spaces (letters only, so splitting is exact).
+
+    Tokens of all rows are counted per row by one sort; sentence scores are
+    sums of those counts; the best of each row are picked by one more sort.
+    """
+    n = len(sent_tokens)
+    out = pd.DataFrame({"top_sentences": [None] * n, "topics": [None] * n,
+                        "best_sentence": pd.array([pd.NA] * n, dtype="Int32")})
+    present = sent_tokens.reset_index(drop=True).dropna()
+    if present.empty:
+        return out
+    lines = present.str.split("\n").explode()
+    row = lines.index.to_numpy()
+    first = np.searchsorted(row, row)                       # rows ascend
+    position = np.arange(len(row)) - first
+    tokens = pd.Series(lines.str.split(" ").to_numpy()).explode()
+    tokens = tokens[tokens.to_numpy() != ""]
+    sentence = tokens.index.to_numpy()
+    code, words = pd.factorize(tokens.to_numpy(), sort=True)
+    pairs, place, count = np.unique(row[sentence] * max(1, len(words)) + code,
+                                    return_inverse=True, return_counts=True)
+    score = np.bincount(sentence, count[place], len(row)).astype(np.int64)
+
+    def per_row(rows: np.ndarray, *sort_by: np.ndarray, most: int) -> np.ndarray:
+        """The first ``most`` entries of each row in the order of ``sort_by``."""
+        order = np.lexsort((*reversed(sort_by), rows))
+        ranked = rows[order]
+        return order[np.arange(len(order)) - np.searchsorted(ranked, ranked) < most]
+
+    def lists(rows: np.ndarray, values) -> list:
+        bounds = np.searchsorted(rows, np.arange(n + 1))
+        return [list(values[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    best = per_row(row, -score, position, most=k)
+    lead = per_row(row, -score, position, most=1)
+    in_text = best[np.lexsort((position[best], row[best]))]
+    topic_row, topic = pairs // max(1, len(words)), pairs % max(1, len(words))
+    top = per_row(topic_row, -count, topic, most=n_topics)
+    here = present.index.to_numpy()
+    tops = lists(row[in_text], position[in_text].tolist())
+    names = lists(topic_row[top], [words[t] for t in topic[top]])
+    for i in here:
+        out.at[i, "top_sentences"], out.at[i, "topics"] = tops[i], names[i]
+    out.loc[row[lead], "best_sentence"] = position[lead]
+    return out
 
 
 def _make_ranker(k: int, n_topics: int):
     @F.pandas_udf(_RANK_SCHEMA)
     def rank(sent_tokens: pd.Series) -> pd.DataFrame:
-        return _rank_rows(sent_tokens, k, n_topics)
+        return _rank_batch(sent_tokens, k, n_topics)
     # Marked non-deterministic so Catalyst never copies the call into a
     # pushed-down filter: a filter on summary / topics would otherwise run
     # the Python step twice.  (The function itself is deterministic.)
@@ -223,10 +249,18 @@ def tone(sentiment: Column, text: Column, n_sents: Column) -> Column:
              .otherwise(F.lit("casual")))
 
 
+def with_tone(df: DataFrame, text_col: str = "transcription_text") -> DataFrame:
+    """Adds ``sentiment`` and ``conversation_tone``: counts only, no ranking
+    and so no Python step."""
+    df = with_sentiment(df, text_col).withColumn("_sents", sentences(text_col))
+    return df.withColumn("conversation_tone", tone(F.col("sentiment"), F.col(text_col),
+                                                   F.size("_sents"))).drop("_sents")
+
+
 def enrich(transcripts: DataFrame, run_ts: Column | None = None,
            text_col: str = "transcription_text") -> DataFrame:
-    """Gold rows: transcripts with text, plus sentiment, summary and the
-    five analysis fields parsed from a JSON analysis, plus a timestamp."""
+    """Gold rows: transcripts with text, plus sentiment, summary, the five
+    analysis fields (see :data:`jfn.ANALYSIS_FIELDS`) and a timestamp."""
     base = transcripts.filter(F.col(text_col).isNotNull())
     cols = base.columns
     df = with_sentiment(base, text_col)
@@ -234,14 +268,11 @@ def enrich(transcripts: DataFrame, run_ts: Column | None = None,
     df = df.withColumn("_names", introduced_names(text_col))
     sents, top = F.col("_sents"), F.col("_stats.top_sentences")
     s1, s2 = speaker_names(F.col("_names"))
-    analysis = F.to_json(F.struct(
-        s1.alias("speaker_1"), s2.alias("speaker_2"),
-        F.array_join(F.col("_stats.topics"), ", ").alias("main_topics"),
-        tone(F.col("sentiment"), F.col(text_col), F.size(sents)).alias("conversation_tone"),
-        F.try_element_at(sents, F.col("_stats.best_sentence") + F.lit(1)).alias(
-            "conversation_summary")))
-    df = df.withColumns({"summary": _pick(sents, top), "conversation_analysis": analysis})
-    df = jfn.parse_analysis(df, "conversation_analysis")
+    analysis = dict(zip(jfn.ANALYSIS_FIELDS, (
+        s1, s2, F.array_join(F.col("_stats.topics"), ", "),
+        tone(F.col("sentiment"), F.col(text_col), F.size(sents)),
+        F.try_element_at(sents, F.col("_stats.best_sentence") + F.lit(1))), strict=True))
+    df = df.withColumns({"summary": _pick(sents, top), **analysis})
     ts = run_timestamp(run_ts)
     return df.select(*cols, "sentiment", "summary", *jfn.ANALYSIS_FIELDS,
                      ts.alias("enriched_timestamp"))

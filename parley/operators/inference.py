@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import json
-import math
 from collections.abc import Callable
 from datetime import datetime
 
@@ -25,6 +24,9 @@ from parley.functions import json as jfn
 from parley.functions import text as tfn
 
 STATUS_EXCEPTION = -1
+# A control character that no JSON text, header or message holds unescaped.
+COUNT_MARK = "\x01"
+NO_PAYLOAD = f"{config.EXCEPTION_PREFIX}chunk has no payload"
 # A 200 response without a transcription (our code, not the endpoint's).
 MODEL_ERROR_CODE = "MODEL_ERROR"
 
@@ -32,17 +34,26 @@ MODEL_ERROR_CODE = "MODEL_ERROR"
 # --------------------------------------------------------------------------
 # size guard
 # --------------------------------------------------------------------------
-def size_guard(size: Column, idx: Column, n: Column, limits: SizeLimits) -> Column:
+def size_guard(size: Column, idx: Column, n: Column | None, limits: SizeLimits) -> Column:
     """Guard message or NULL.
 
+    With ``n`` None the chunk count stands as ``COUNT_MARK`` in the message,
+    to be filled in where the chunks of a recording meet anyway (see
+    :func:`parley.operators.reassemble.reassemble`).
+
     ``CHUNK_TOO_LARGE: Chunk {i+1}/{n} is {MB} MB`` when the raw chunk is over
     the file limit, else ``PAYLOAD_TOO_LARGE: {MB} MB`` when the JSON request
     (base64 + envelope) is over the payload limit.
     """
     payload = tfn.payload_size(size, limits.envelope_bytes)
-    return (F.when(size > F.lit(limits.file_limit),
-                   F.format_string(config.CHUNK_TOO_LARGE_FORMAT, idx + F.lit(1), n,
-                                   tfn.format_mib(size)))
+    too_large = config.CHUNK_TOO_LARGE_FORMAT
+    if n is None:
+        head, tail = too_large.split("/%d", 1)
+        message = F.concat(F.format_string(head, idx + F.lit(1)), F.lit("/" + COUNT_MARK),
+                           F.format_string(tail, tfn.format_mib(size)))
+    else:
+        message = F.format_string(too_large, idx + F.lit(1), n, tfn.format_mib(size))
+    return (F.when(size > F.lit(limits.file_limit), message)
              .when(payload > F.lit(limits.max_payload_bytes),
                    F.format_string(config.PAYLOAD_TOO_LARGE_FORMAT, tfn.format_mib(payload))))
 
@@ -50,51 +61,6 @@ def size_guard(size: Column, idx: Column, n: Column, limits: SizeLimits) -> Colu
 # --------------------------------------------------------------------------
 # clients
 # --------------------------------------------------------------------------
-class EchoClient:
-    """Deterministic stand-in for a speech endpoint.
-
-    The payload already is the spoken text, so the "transcription" is the
-    payload itself.  Requests larger than ``request_limit`` bytes (JSON size)
-    are refused with a 400 ``MAX_REQUEST_SIZE_EXCEEDED`` envelope, the way a
-    serving endpoint enforces its request cap.
-    """
-
-    def __init__(self, request_limit: int | None = None, envelope: int = config.PAYLOAD_ENVELOPE_BYTES,
-                 key: str = "predictions"):
-        self.request_limit = request_limit
-        self.envelope = envelope
-        self.key = key
-
-    def request_bytes(self, payload: str) -> int:
-        n = len(payload.encode("utf-8"))
-        return 4 * math.ceil(n / 3) + self.envelope
-
-    def __call__(self, payload: str) -> tuple[int, str]:
-        size = self.request_bytes(payload)
-        if self.request_limit is not None and size > self.request_limit:
-            return 400, json.dumps({
-                config.ERROR_CODE_FIELD: "MAX_REQUEST_SIZE_EXCEEDED",
-                config.MESSAGE_FIELD: f"Request size {size} exceeds the limit of {self.request_limit} bytes"})
-        return 200, json.dumps({self.key: [{config.TRANSCRIPTION_FIELD: payload, "error": None}]},
-                               ensure_ascii=False)
-
-
-class WavFramesClient:
-    """Deterministic stand-in for a speech endpoint on WAV payloads: the
-    "transcription" of a chunk is ``frames <n>``, read from its header.
-    Undecodable audio is answered with a 400 ``BAD_AUDIO`` envelope."""
-
-    def __call__(self, payload) -> tuple[int, str]:
-        import io
-        import wave
-        try:
-            with wave.open(io.BytesIO(bytes(payload)), "rb") as w:
-                n = w.getnframes()
-        except Exception as e:  # noqa: BLE001 - any decode failure is a bad request
-            return 400, json.dumps({config.ERROR_CODE_FIELD: "BAD_AUDIO", config.MESSAGE_FIELD: str(e)})
-        return 200, json.dumps({config.RESPONSE_ENVELOPES[0]: [{config.TRANSCRIPTION_FIELD: f"frames {n}"}]})
-
-
 class HttpEndpointClient:
     """POST ``{"dataframe_records": [{"audio_base64": ...}]}`` to a serving URL.
 
@@ -165,7 +131,7 @@ Client = Callable[[object], tuple[int, str]]
 
 def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "payload",
                  size_col: str | None = None, idx_col: str = "chunk_idx",
-                 n_col: str = "num_chunks", limits: SizeLimits = SizeLimits(),
+                 n_col: str | None = "num_chunks", limits: SizeLimits = SizeLimits(),
                  keep_payload: bool = False, parallelism: int | None = None,
                  concurrency: int = 1,
                  exception_chars: int = config.PREPROCESS_ERROR_CHARS) -> DataFrame:
@@ -174,7 +140,9 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     Adds ``status`` (int, NULL when not called), ``request_bytes``,
     ``chunk_text`` (NULL unless a transcription came back) and
     ``chunk_error`` (guard, endpoint, model or exception message).  A 200
-    response whose transcription is JSON null counts as a failed chunk.
+    response whose transcription is JSON null, or that cannot be decoded,
+    counts as a failed chunk, and so does a chunk without a payload.
+    ``n_col`` None leaves the chunk count in guard messages open.
     Filters placed before this operator are applied before any call;
     Catalyst cannot push them through the Python step.
 
@@ -185,9 +153,11 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     row order).  Size both against the endpoint's rate limit.
     """
     size = F.col(size_col) if size_col else tfn.byte_length(payload_col)
+    count = F.col(n_col) if n_col else None
     guarded = chunks.withColumns({
         "request_bytes": tfn.payload_size(size, limits.envelope_bytes),
-        "_guard": size_guard(size, F.col(idx_col), F.col(n_col), limits)})
+        "_guard": F.when(F.col(payload_col).isNull(), F.lit(NO_PAYLOAD)).otherwise(
+            size_guard(size, F.col(idx_col), count, limits))})
     if parallelism:
         guarded = guarded.repartition(parallelism)
     # The payload goes to Python but only comes back when asked for: the
@@ -202,19 +172,21 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     ok = F.col("_status") == F.lit(200)
     parsed = F.col("_resp")
     decoded = jfn.transcription_of(parsed)
-    text = F.when(ok, decoded)
+    text = F.when(ok & F.col("_malformed").isNull(), decoded)
     err = (F.when(F.col("_guard").isNotNull(), F.col("_guard"))
             .when(F.col("_status") == F.lit(STATUS_EXCEPTION), F.col("_body"))
             .when(~ok, jfn.endpoint_error("_status", "_body"))
+            .when(F.col("_malformed").isNotNull(), F.col("_malformed"))
             .when(jfn.has_envelope(parsed) & decoded.isNull(),
                   F.concat(F.lit(f"{config.ENDPOINT_ERROR_PREFIX}{MODEL_ERROR_CODE}"
                                  f"{config.ENDPOINT_ERROR_SEPARATOR}"),
                            F.left(F.coalesce(jfn.model_error_of(parsed), F.lit("null transcription")),
                                   F.lit(config.ENDPOINT_MESSAGE_CHARS)))))
     # Parse each 200 body once; every field below reads the parsed value.
-    called = called.withColumn("_resp", F.when(ok, jfn.parse_response("_body")))
+    called = called.withColumns({"_resp": F.when(ok, jfn.parse_response("_body")),
+                                 "_malformed": F.when(ok, jfn.malformed_response("_body"))})
     out = (called.withColumns({"status": F.col("_status"), "chunk_text": text, "chunk_error": err})
-                 .drop("_status", "_body", "_guard", "_resp"))
+                 .drop("_status", "_body", "_guard", "_resp", "_malformed"))
     return out
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley import config
+from parley.operators.inference import COUNT_MARK
 
 DEFAULT_FANOUT = 512
 
@@ -42,16 +43,18 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
                text_col: str = "chunk_text", error_col: str = "chunk_error",
                sums: list[str] = (), firsts: list[str] = (),
                fanout: int | None = DEFAULT_FANOUT, block_col: str | None = None,
-               blocks_only: bool = False,
+               blocks_only: bool = False, full_errors: bool = False,
                text_sep: str = config.TEXT_SEPARATOR, error_sep: str = config.ERROR_SEPARATOR,
                error_chars: int = config.FILE_ERROR_CHARS) -> DataFrame:
     """Group chunks by ``keys``; adds ``num_chunks, transcription_text,
     error_message`` plus ``sum_<c>`` for each column in ``sums`` and the
     minimum of each column in ``firsts`` (key-constant attributes).
 
-    ``block_col`` names an existing ``chunk_idx // fanout`` column (e.g. from
-    :func:`block_counts`), so a join on ``(key, block)`` before this step and
-    the first aggregation share one hash partitioning.
+    ``block_col`` names an existing ``chunk_idx // fanout`` column.
+
+    Errors whose chunk count is still open (:data:`inference.COUNT_MARK`) get
+    it here, where it is known.  ``full_errors`` adds ``error_full``, the
+    joined errors without the cut.
 
     ``blocks_only`` stops after the first level and returns one ordered row
     per ``(key, block)`` (``first_chunk``, ``num_chunks``, text, error): for
@@ -77,33 +80,27 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
         first = F.col("_first")
         aggs = [F.sum("_n").cast("int").alias("num_chunks"),
                 _ordered_join(first, F.col("_text"), text_sep).alias("transcription_text"),
-                F.left(_ordered_join(first, F.col("_err"), error_sep),
-                       F.lit(error_chars)).alias("error_message"),
+                _ordered_join(first, F.col("_err"), error_sep).alias("error_full"),
                 *[F.sum(f"_s_{c}").alias(f"sum_{c}") for c in sums],
                 *[F.min(f"_f_{c}").alias(c) for c in firsts]]
-        return part.groupBy(*keys).agg(*aggs)
+        return _finish(part.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
     aggs = [F.count(F.lit(1)).cast("int").alias("num_chunks"),
             _ordered_join(order, text, text_sep).alias("transcription_text"),
-            F.left(_ordered_join(order, err, error_sep), F.lit(error_chars)).alias("error_message"),
+            _ordered_join(order, err, error_sep).alias("error_full"),
             *[F.sum(c).alias(f"sum_{c}") for c in sums],
             *[F.min(c).alias(c) for c in firsts]]
-    return chunks.groupBy(*keys).agg(*aggs)
-
+    return _finish(chunks.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
 
-def block_of(order: Column, fanout: int) -> Column:
-    return F.floor(order / F.lit(fanout)).cast("long")
 
+def _finish(merged: DataFrame, keys: list[str], error_chars: int, full_errors: bool) -> DataFrame:
+    """Fill in open chunk counts, cut the displayed message, order the columns."""
+    full = F.replace(F.col("error_full"), F.lit(COUNT_MARK), F.col("num_chunks").cast("string"))
+    rest = [c for c in merged.columns
+            if c not in (*keys, "num_chunks", "transcription_text", "error_full")]
+    return merged.select(
+        *keys, "num_chunks", "transcription_text", F.left(full, F.lit(error_chars)).alias("error_message"),
+        *rest, *([full.alias("error_full")] if full_errors else []))
 
-def block_counts(chunks: DataFrame, key: str, order_col: str, fanout: int,
-                 count_col: str = "num_chunks") -> DataFrame:
-    """Chunk count per key, replicated once per ``(key, block)``.
 
-    Joining chunks on ``(key, block)`` attaches the count without sending a
-    hot key's chunks to one task; the count rows themselves are one per
-    block.
-    """
-    per_key = chunks.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias(count_col),
-                                      F.max(order_col).alias("_max_idx"))
-    return (per_key.select(key, count_col,
-                           F.explode(F.sequence(F.lit(0).cast("long"),
-                                                block_of(F.col("_max_idx"), fanout))).alias("_block")))
+def block_of(order: Column, fanout: int) -> Column:
+    return F.floor(order / F.lit(fanout)).cast("long")

@@ -25,8 +25,14 @@ def error_type(error: Column) -> Column:
     return expr.otherwise(F.lit("OTHER"))
 
 
-def error_taxonomy(results: DataFrame, error_col: str = "error_message") -> DataFrame:
-    """Failed rows counted per error type, most frequent first."""
+def error_taxonomy(results: DataFrame, error_col: str = "error_full") -> DataFrame:
+    """Failed rows counted per error type, most frequent first.
+
+    Reads the uncut errors where the results hold them: a cut message can
+    lose the category that counts.
+    """
+    if error_col not in results.columns:
+        error_col = "error_message"
     return (results.filter(F.col(error_col).isNotNull())
                    .groupBy(error_type(F.col(error_col)).alias("error_type"))
                    .agg(F.count(F.lit(1)).alias("count"))
@@ -60,8 +66,13 @@ def latest(df: DataFrame, n: int, ts_col: str, keys=("parent_folder", "filename"
 
 
 def bounded_batch(df: DataFrame, n: int, order_col: str = "full_path") -> DataFrame:
-    """At most ``n`` files per run, chosen deterministically by path."""
-    return df.orderBy(order_col).limit(n)
+    """At most ``n`` files per run, chosen deterministically by path.
+
+    ``remaining`` counts the files left for later runs.
+    """
+    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return df.orderBy(order_col).limit(n).withColumn(
+        "remaining", F.greatest(total - F.lit(n), F.lit(0)).cast("long"))
 
 
 def rate_audit(requests: DataFrame, ts_col: str, limit: int = config.RATE_LIMIT_CALLS_PER_MINUTE,

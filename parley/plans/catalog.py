@@ -18,7 +18,7 @@ from parley.functions import json as jfn
 from parley.functions import paths, pcm
 from parley.functions import text as tfn
 from parley.operators import enrich, evaluate, inference, reports, upsert
-from parley.plans import pipeline
+from parley.plans import pipeline, stand_ins
 from parley.sinks import writers
 from parley.sources import recordings
 from parley.sources.tables import read_table
@@ -27,11 +27,16 @@ from parley.sources.tables import read_table
 RUN_TS = "2024-02-01 00:00:00"          # run A (processing and ingestion)
 RERUN_TS = "2024-02-02 00:00:00"        # run B
 CALL_LIMITS = SizeLimits(max_payload_bytes=2048)            # file limit 1528 B
-RERUN_LIMITS = SizeLimits(max_payload_bytes=1600)           # file limit 1194 B
+RERUN_LIMITS = SizeLimits(max_payload_bytes=260)            # file limit 194 B
 CALL_REQUEST_LIMIT = 1800                                    # endpoint cap, JSON bytes
+REFUSE_EVERY = 5                                             # 503 for texts of such lengths
 DOC_SPEC = ChunkSpec(max_len=3000, overlap=15)
 DOC_LIMITS = SizeLimits(max_payload_bytes=4096)             # file limit 3056 B
 DOC_REQUEST_LIMIT = 4000
+# Small limits belong to the error-path queries and the upsert's re-run; all
+# other queries see whole texts under the production limits.
+PRODUCTION = SizeLimits()
+NO_CAP = 10 ** 12
 # ----------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +72,8 @@ def _mb(expr: str) -> str:
     return f"printf('%.2f', ({expr}) / 1048576.0)"
 
 
-def _guard_sql(nbytes: str, idx: str, n: str, limits: SizeLimits, request_limit: int) -> str:
+def _guard_sql(nbytes: str, idx: str, n: str, limits: SizeLimits, request_limit: int,
+               chars: str | None = None) -> str:
     req = f"(4 * (({nbytes} + 2) // 3) + {limits.envelope_bytes})"
     return f"""CASE
       WHEN {nbytes} > {limits.file_limit}
@@ -77,17 +83,20 @@ def _guard_sql(nbytes: str, idx: str, n: str, limits: SizeLimits, request_limit:
       WHEN {req} > {request_limit}
         THEN 'ENDPOINT_ERROR: MAX_REQUEST_SIZE_EXCEEDED - '
              || left('Request size ' || {req} || ' exceeds the limit of {request_limit} bytes', 100)
+      {f"WHEN {chars} % {REFUSE_EVERY} = 0 THEN 'ENDPOINT_ERROR: HTTP_503 - busy'" if chars else ""}
     END"""
 
 
 def _call_results_sql(limits: SizeLimits, request_limit: int, run_ts: str,
-                      where: str = "TRUE") -> str:
+                      where: str = "TRUE", table: str = "conversations", refuse: bool = False,
+                      cut: int = config.FILE_ERROR_CHARS) -> str:
     """Stage-2 rows of the call pipeline, as a subquery."""
-    guard = _guard_sql("strlen(text)", "turn", "n", limits, request_limit)
+    guard = _guard_sql("strlen(text)", "turn", "n", limits, request_limit,
+                       "length(text)" if refuse else None)
     return f"""(
   WITH c AS (
     SELECT conv_id, turn, text, count(*) OVER (PARTITION BY conv_id) AS n
-    FROM conversations WHERE {where}),
+    FROM {table} WHERE {where}),
   g AS (SELECT conv_id, turn, text, {guard} AS chunk_error FROM c)
   SELECT 'team_' || CAST(conv_id % 10 AS VARCHAR) AS parent_folder,
          printf('conversation_%03d.wav', conv_id) AS filename,
@@ -99,23 +108,34 @@ def _call_results_sql(limits: SizeLimits, request_limit: int, run_ts: str,
          CAST(count(*) AS INTEGER) AS num_chunks,
          string_agg(CASE WHEN chunk_error IS NULL THEN text END, ' ' ORDER BY turn) AS transcription_text,
          TIMESTAMP '{run_ts}' AS processing_timestamp,
-         left(string_agg(chunk_error, '; ' ORDER BY turn), 1000) AS error_message
+         left(string_agg(chunk_error, '; ' ORDER BY turn), {cut}) AS error_message
   FROM g GROUP BY conv_id)"""
 
 
 def _calls(spark, root, limits=CALL_LIMITS, request_limit=CALL_REQUEST_LIMIT, run_ts=RUN_TS,
-           conv: DataFrame | None = None) -> DataFrame:
+           conv: DataFrame | None = None, refuse: int | None = REFUSE_EVERY, **options) -> DataFrame:
+    """Calls on the error path: small limits, a request cap, a busy endpoint."""
     conv = conv if conv is not None else t(spark, root, "conversations")
-    return pipeline.transcribe_calls(conv, inference.EchoClient(request_limit), limits=limits,
-                                     run_ts=run_ts)
+    return pipeline.transcribe_calls(conv, stand_ins.EchoClient(request_limit, refuse_every=refuse),
+                                     limits=limits, run_ts=run_ts, **options)
+
+
+def _whole_calls(spark, root, conv: DataFrame | None = None) -> DataFrame:
+    """Calls under the production limits: every turn's text is in."""
+    return _calls(spark, root, PRODUCTION, None, conv=conv, refuse=None)
 
 
 # ---------------------------------------------------------------------------
 # transcription: inference per chunk, ordered reassembly, error capture
 # ---------------------------------------------------------------------------
-@register("transcribe_calls", f"SELECT * FROM {_call_results_sql(CALL_LIMITS, CALL_REQUEST_LIMIT, RUN_TS)}")
+CALLS_P = _call_results_sql(PRODUCTION, NO_CAP, RUN_TS)
+CALLS_A = _call_results_sql(CALL_LIMITS, CALL_REQUEST_LIMIT, RUN_TS, refuse=True)
+CALLS_UNCUT = _call_results_sql(CALL_LIMITS, CALL_REQUEST_LIMIT, RUN_TS, refuse=True, cut=10 ** 9)
+
+
+@register("transcribe_calls", f"SELECT * FROM {CALLS_P}")
 def q_transcribe_calls(spark, root):
-    return _calls(spark, root)
+    return _whole_calls(spark, root)
 
 
 def _ts(v: str):
@@ -127,9 +147,6 @@ def _with_keys(inferred: DataFrame) -> DataFrame:
 
 
 # --- stage-2 derived outputs ---------------------------------------------------
-CALLS_A = _call_results_sql(CALL_LIMITS, CALL_REQUEST_LIMIT, RUN_TS)
-
-
 @register("run_summary", f"""
 SELECT count(*) AS total,
        count(*) FILTER (WHERE error_message IS NULL) AS success,
@@ -145,9 +162,9 @@ SELECT CASE WHEN contains(error_message, 'CHUNK_TOO_LARGE') THEN 'CHUNK_TOO_LARG
             WHEN contains(error_message, 'MAX_REQUEST_SIZE_EXCEEDED') THEN 'MAX_REQUEST_SIZE_EXCEEDED'
             ELSE 'OTHER' END AS error_type,
        count(*) AS count
-FROM {CALLS_A} WHERE error_message IS NOT NULL GROUP BY 1 ORDER BY count DESC, error_type""")
+FROM {CALLS_UNCUT} WHERE error_message IS NOT NULL GROUP BY 1 ORDER BY count DESC, error_type""")
 def q_error_taxonomy(spark, root):
-    return reports.error_taxonomy(_calls(spark, root))
+    return reports.error_taxonomy(_calls(spark, root, full_errors=True))
 
 
 @register("stage_success", f"SELECT * FROM {CALLS_A} WHERE error_message IS NULL")
@@ -160,26 +177,29 @@ def q_error_rows(spark, root):
     return pipeline.failures(_calls(spark, root)).select("filename", "error_message")
 
 
-@register("preview", f"SELECT filename, left(transcription_text, 100) AS preview FROM {CALLS_A}")
+@register("preview", f"SELECT filename, left(transcription_text, 100) AS preview FROM {CALLS_P}")
 def q_preview(spark, root):
-    return _calls(spark, root).select("filename", tfn.preview("transcription_text").alias("preview"))
+    return _whole_calls(spark, root).select("filename", tfn.preview("transcription_text").alias("preview"))
 
 
 @register("request_log", f"""
-WITH c AS (SELECT conv_id, turn, strlen(text) AS nbytes,
+WITH c AS (SELECT conv_id, turn, strlen(text) AS nbytes, length(text) AS chars,
                   4 * ((strlen(text) + 2) // 3) + 45 AS req FROM conversations)
 SELECT TIMESTAMP '{RUN_TS}' AS request_ts,
        'team_' || CAST(conv_id % 10 AS VARCHAR) || '_' || printf('conversation_%03d_wav', conv_id) AS file_id,
        turn AS chunk_idx,
        CASE WHEN nbytes > {CALL_LIMITS.file_limit} OR req > {CALL_LIMITS.max_payload_bytes} THEN NULL
-            WHEN req > {CALL_REQUEST_LIMIT} THEN 400 ELSE 200 END AS status,
+            WHEN req > {CALL_REQUEST_LIMIT} THEN 400 WHEN chars % {REFUSE_EVERY} = 0 THEN 503
+            ELSE 200 END AS status,
        req AS request_bytes,
        CASE WHEN nbytes > {CALL_LIMITS.file_limit} OR req > {CALL_LIMITS.max_payload_bytes} THEN 'blocked'
-            WHEN req > {CALL_REQUEST_LIMIT} THEN 'failed' ELSE 'ok' END AS outcome
+            WHEN req > {CALL_REQUEST_LIMIT} OR chars % {REFUSE_EVERY} = 0 THEN 'failed'
+            ELSE 'ok' END AS outcome
 FROM c""")
 def q_request_log(spark, root):
     inferred = pipeline.infer_calls(t(spark, root, "conversations"),
-                                    inference.EchoClient(CALL_REQUEST_LIMIT), CALL_LIMITS)
+                                    stand_ins.EchoClient(CALL_REQUEST_LIMIT,
+                                                         refuse_every=REFUSE_EVERY), CALL_LIMITS)
     return inference.request_log(_with_keys(inferred), _ts(RUN_TS))
 
 
@@ -236,11 +256,10 @@ def _doc_results_sql(spec: ChunkSpec = DOC_SPEC, limits: SizeLimits = DOC_LIMITS
   FROM g GROUP BY doc_id, lang, source)"""
 
 
-@register("transcribe_documents", f"SELECT * FROM {_doc_results_sql()}")
+@register("transcribe_documents", f"SELECT * FROM {_doc_results_sql(DOC_SPEC, PRODUCTION, NO_CAP)}")
 def q_transcribe_documents(spark, root):
-    return pipeline.transcribe_documents(t(spark, root, "documents"),
-                                         inference.EchoClient(DOC_REQUEST_LIMIT), spec=DOC_SPEC,
-                                         limits=DOC_LIMITS, run_ts=RUN_TS)
+    return pipeline.transcribe_documents(t(spark, root, "documents"), stand_ins.EchoClient(),
+                                         spec=DOC_SPEC, limits=PRODUCTION, run_ts=RUN_TS)
 
 
 @register("preprocess_documents", f"""
@@ -280,9 +299,14 @@ def q_payload_size(spark, root):
 @register("inventory", """
 SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS total_bytes,
        printf('%.1f', coalesce(sum(strlen(text)), 0) / 1048576.0) AS total_mb
-FROM documents""")
+FROM documents WHERE doc_id % 4 < 2""")
 def q_inventory(spark, root):
+    """Files of four kinds by id; two of them are audio."""
+    kinds = F.array(*[F.lit(x) for x in (".wav", ".mp3", ".txt", ".WAV")])
     recs = recordings.document_recordings(t(spark, root, "documents"))
+    recs = recs.withColumn("full_path", F.concat(
+        F.replace("full_path", F.lit(".wav"), F.lit("")),
+        F.element_at(kinds, (F.col("doc_id") % 4).cast("int") + 1)))
     return reports.inventory(recs, "full_path", "nbytes", suffixes=(".wav", ".mp3"))
 
 
@@ -304,13 +328,26 @@ _PAGE_PARTS = """(SELECT url AS full_path, string_split(url, '/')[-1] AS filenam
 FROM pages)"""
 
 
+# Two ways to file the same parts: (source, a_b.wav) and (source_a, b.wav).
+_FILED = """(SELECT CASE WHEN doc_id // 20 % 2 = 0 THEN source ELSE source || '_' || lang END AS parent_folder,
+       CASE WHEN doc_id // 20 % 2 = 0 THEN lang || '_' ELSE '' END || CAST(doc_id % 7 AS VARCHAR) || '.wav' AS filename
+FROM documents)"""
+
+
 @register("file_id_collisions", f"""
-SELECT file_id, count(DISTINCT concat_ws('/', parent_folder, filename)) AS n_pairs,
+SELECT regexp_replace(parent_folder || '_' || filename, '[/.]', '_', 'g') AS file_id,
+       count(DISTINCT concat_ws('/', parent_folder, filename)) AS n_pairs,
        min(concat_ws('/', parent_folder, filename)) AS first_pair,
        max(concat_ws('/', parent_folder, filename)) AS last_pair
-FROM {_PAGE_PARTS} GROUP BY file_id HAVING count(DISTINCT concat_ws('/', parent_folder, filename)) > 1""")
+FROM {_FILED} GROUP BY 1 HAVING count(DISTINCT concat_ws('/', parent_folder, filename)) > 1""")
 def q_file_id_collisions(spark, root):
-    return reports.file_id_collisions(recordings.page_recordings(t(spark, root, "pages")))
+    even = F.floor(F.col("doc_id") / 20) % 2 == 0
+    number = F.concat((F.col("doc_id") % 7).cast("string"), F.lit(".wav"))
+    files = t(spark, root, "documents").select(
+        F.when(even, F.col("source")).otherwise(F.concat_ws("_", "source", "lang")).alias("parent_folder"),
+        F.when(even, F.concat(F.col("lang"), F.lit("_"), number)).otherwise(number).alias("filename"))
+    return reports.file_id_collisions(files.withColumn(
+        "file_id", paths.file_id(F.col("parent_folder"), F.col("filename"))))
 
 
 @register("upsert_dup_keys", f"""
@@ -330,47 +367,80 @@ def q_pcm_quantize(spark, root):
     return t(spark, root, "embeddings").select("vec_id", pcm.pcm16("embedding").alias("pcm"))
 
 
-@register("rate_limit_audit", f"""
+@register("rate_limit_audit", """
 SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS window_start,
        time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS window_end,
-       event_type, count(*) AS calls, count(*) > {config.RATE_LIMIT_CALLS_PER_MINUTE} AS over_limit
+       count(*) AS calls, count(*) > 1 AS over_limit
 FROM events GROUP BY ALL""")
 def q_rate_limit_audit(spark, root):
-    ev = t(spark, root, "events").select("ts", "event_type")
-    return reports.rate_audit(ev, "ts", key_cols=("event_type",))
+    """One endpoint, one call a minute: the test events are sparse."""
+    return reports.rate_audit(t(spark, root, "events").select("ts"), "ts", limit=1)
 
 
-@register("parse_props", """
-SELECT event_id, TRY_CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+# Bodies of five kinds by event id: as given, cut off, without the field, of
+# another type, null.
+_PROPS_SQL = """CASE event_id % 5 WHEN 1 THEN left(props, length(props) - 1) WHEN 2 THEN '{"j": 1}'
+       WHEN 3 THEN '{"k": "many"}' WHEN 4 THEN NULL ELSE props END"""
+
+
+def _props(ev: DataFrame) -> DataFrame:
+    kind = F.col("event_id") % 5
+    body = (F.when(kind == 1, F.expr("left(props, length(props) - 1)"))
+             .when(kind == 2, F.lit('{"j": 1}')).when(kind == 3, F.lit('{"k": "many"}'))
+             .when(kind != 4, F.col("props")))
+    return ev.select("event_id", body.alias("props"))
+
+
+@register("parse_props", f"""
+WITH e AS (SELECT event_id, {_PROPS_SQL} AS props FROM events)
+SELECT event_id, CASE WHEN json_valid(props) THEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
        CASE WHEN json_valid(props) IS NOT TRUE THEN 'EXCEPTION: malformed JSON'
-            WHEN json_extract(props, '$.k') IS NULL THEN 'EXCEPTION: missing field k' END AS error_message
-FROM events""")
+            WHEN TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL
+              THEN 'EXCEPTION: missing field k' END AS error_message
+FROM e""")
 def q_parse_props(spark, root):
-    ev = t(spark, root, "events").select("event_id", "props")
-    parsed = ev.withColumn("_p", F.from_json("props", "k INT"))
-    return parsed.select("event_id", F.col("_p.k").alias("k"), F.when(
-        F.try_parse_json("props").isNull(), F.lit("EXCEPTION: malformed JSON")).when(
-        F.col("_p.k").isNull(), F.lit("EXCEPTION: missing field k")).alias("error_message"))
+    ev = _props(t(spark, root, "events"))
+    parsed = ev.withColumns({"_p": F.from_json("props", "k INT"), "_ok": F.try_parse_json("props")})
+    k = F.when(F.col("_ok").isNotNull(), F.col("_p.k"))
+    return parsed.select("event_id", k.alias("k"), F.when(
+        F.col("_ok").isNull(), F.lit("EXCEPTION: malformed JSON")).when(
+        k.isNull(), F.lit("EXCEPTION: missing field k")).alias("error_message"))
 
 
+# Analysis answers of five kinds by conversation and turn: complete, without a
+# field, with a number, with a null, cut off.
 @register("contract_violations", f"""
-SELECT event_id, list_filter([{", ".join(
-    f"CASE WHEN json_type(props, '$.{f}') IS DISTINCT FROM 'VARCHAR' THEN '{f}' END"
-    for f in jfn.ANALYSIS_FIELDS)}], lambda x: x IS NOT NULL) AS violations
-FROM events""")
+SELECT conv_id, turn, CASE (conv_id + turn) % 5 WHEN 0 THEN [] WHEN 1 THEN ['main_topics']
+         WHEN 2 THEN ['speaker_2', 'conversation_summary'] WHEN 3 THEN ['speaker_1']
+         ELSE [{", ".join(f"'{f}'" for f in jfn.ANALYSIS_FIELDS)}] END AS violations
+FROM conversations""")
 def q_contract_violations(spark, root):
-    ev = t(spark, root, "events").select("event_id", "props")
-    return jfn.with_contract_violations(ev, "props").select("event_id", "violations")
+    conv = t(spark, root, "conversations").select("conv_id", "turn", "role", "text")
+    kind = (F.col("conv_id") + F.col("turn")) % 5
+    values = {"speaker_1": F.col("role"), "speaker_2": F.lit("other"), "main_topics": F.lit("a, b"),
+              "conversation_tone": F.lit("casual"), "conversation_summary": F.col("text")}
+    fields = {f: values[f].alias(f) for f in jfn.ANALYSIS_FIELDS}
+    whole = F.to_json(F.struct(*fields.values()))
+    without = F.to_json(F.struct(*[c for f, c in fields.items() if f != "main_topics"]))
+    number = F.to_json(F.struct(*[F.col("turn").alias(f) if f in ("speaker_2", "conversation_summary")
+                                  else c for f, c in fields.items()]))
+    null = F.concat(F.lit('{"speaker_1": null, '), F.substring(F.to_json(F.struct(
+        *[c for f, c in fields.items() if f != "speaker_1"])), F.lit(2), F.lit(2 ** 30)))
+    answer = (F.when(kind == 0, whole).when(kind == 1, without).when(kind == 2, number)
+               .when(kind == 3, null).otherwise(F.expr("left(whole, length(whole) - 1)")))
+    answers = conv.withColumn("whole", whole).withColumn("answer", answer)
+    return jfn.with_contract_violations(answers, "answer").select("conv_id", "turn", "violations")
 
 
 # --- upsert ------------------------------------------------------------------
 def _upsert_inputs(spark, root):
     conv = t(spark, root, "conversations")
-    target = pipeline.to_transcripts(pipeline.successes(_calls(spark, root, conv=conv)), RUN_TS)
+    target = pipeline.to_transcripts(_whole_calls(spark, root, conv), RUN_TS)
     # distinct: one row per call on the build side, however many turns it has
     rerun_calls = conv.join(conv.filter(F.col("role") == "system").select("conv_id").distinct(),
                             "conv_id", "left_semi")
-    source = _calls(spark, root, RERUN_LIMITS, CALL_REQUEST_LIMIT, RERUN_TS, conv=rerun_calls)
+    source = _calls(spark, root, RERUN_LIMITS, CALL_REQUEST_LIMIT, RERUN_TS, conv=rerun_calls,
+                    refuse=None)
     source = source.withColumn("ingestion_timestamp", _ts(RERUN_TS))
     return target, source
 
@@ -380,7 +450,7 @@ _UPSERT_CTE = f"""
 WITH target AS (
   SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
          processing_timestamp, TIMESTAMP '{RUN_TS}' AS ingestion_timestamp
-  FROM {CALLS_A} WHERE error_message IS NULL),
+  FROM {CALLS_P}),
 source AS (
   SELECT *, TIMESTAMP '{RERUN_TS}' AS ingestion_timestamp
   FROM {_call_results_sql(RERUN_LIMITS, CALL_REQUEST_LIMIT, RERUN_TS,
@@ -433,11 +503,12 @@ def q_cluster_layout(spark, root):
 
 
 @register("bounded_batch", """
-SELECT printf('/corpus/%s/%s/doc_%d.wav', lang, source, doc_id) AS full_path, length(text) AS length
-FROM documents ORDER BY full_path LIMIT 1000""")
+SELECT printf('/corpus/%s/%s/doc_%d.wav', lang, source, doc_id) AS full_path, length(text) AS length,
+       (SELECT count(*) FROM documents) - 100 AS remaining
+FROM documents ORDER BY full_path LIMIT 100""")
 def q_bounded_batch(spark, root):
     recs = recordings.document_recordings(t(spark, root, "documents"))
-    return reports.bounded_batch(recs.select("full_path", "length"), 1000)
+    return reports.bounded_batch(recs.select("full_path", "length"), 100)
 
 
 # --- enrichment (gold) and evaluation ------------------------------------------
@@ -448,6 +519,23 @@ def _sq(s: str) -> str:
     return s.replace("'", "''")
 
 
+# Some callers introduce themselves, some are rude: the test texts do neither.
+_SPOKEN_SQL = """(SELECT conv_id, turn, role,
+  CASE WHEN conv_id % 3 = 0 AND turn = 0 THEN 'My name is Anna. ' || text
+       WHEN conv_id % 3 < 2 AND turn = 1 THEN 'This is Peter. ' || text
+       WHEN conv_id % 4 = 1 THEN text || ' Pathetic worthless pathetic worthless pathetic worthless.'
+       ELSE text END AS text FROM conversations)"""
+
+
+def _spoken(conv: DataFrame) -> DataFrame:
+    cid, turn, text = F.col("conv_id"), F.col("turn"), F.col("text")
+    rude = " Pathetic worthless pathetic worthless pathetic worthless."
+    said = (F.when((cid % 3 == 0) & (turn == 0), F.concat(F.lit("My name is Anna. "), text))
+             .when((cid % 3 < 2) & (turn == 1), F.concat(F.lit("This is Peter. "), text))
+             .when(cid % 4 == 1, F.concat(text, F.lit(rude))).otherwise(text))
+    return conv.withColumn("text", said)
+
+
 def _gold_sql() -> str:
     lex = ", ".join([f"('{_sq(k)}', {v}, 0)" for k, v in sorted(enrich.POSITIVE_TERMS.items())]
                     + [f"('{_sq(k)}', 0, {v})" for k, v in sorted(enrich.NEGATIVE_TERMS.items())])
@@ -456,7 +544,8 @@ def _gold_sql() -> str:
 WITH tr AS (
   SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
          processing_timestamp, TIMESTAMP '{RUN_TS}' AS ingestion_timestamp
-  FROM {CALLS_A} WHERE transcription_text IS NOT NULL),
+  FROM {_call_results_sql(PRODUCTION, NO_CAP, RUN_TS, table=_SPOKEN_SQL)}
+  WHERE transcription_text IS NOT NULL),
 lex(term, pw, nw) AS (VALUES {lex}),
 tok AS (SELECT parent_folder, filename, unnest({toks.format(x="transcription_text")}) AS w FROM tr),
 hits AS (
@@ -529,7 +618,8 @@ GOLD = _gold_sql()
 
 
 def _transcripts_a(spark, root) -> DataFrame:
-    return pipeline.to_transcripts(_calls(spark, root), RUN_TS)
+    conv = _spoken(t(spark, root, "conversations"))
+    return pipeline.to_transcripts(_whole_calls(spark, root, conv), RUN_TS)
 
 
 def _gold(spark, root) -> DataFrame:
@@ -563,7 +653,20 @@ def q_enrich_gold(spark, root):
 @register("tone_distribution", f"""{GOLD}
 SELECT conversation_tone, count(*) AS count FROM gold GROUP BY 1 ORDER BY count DESC, conversation_tone""")
 def q_tone_distribution(spark, root):
-    return reports.distribution(_gold(spark, root), "conversation_tone")
+    tr = _transcripts_a(spark, root).filter(F.col("transcription_text").isNotNull())
+    return reports.distribution(enrich.with_tone(tr), "conversation_tone")
+
+
+@register("append_gold", f"""{GOLD}
+SELECT parent_folder, filename, sentiment, summary, enriched_timestamp FROM gold
+UNION ALL
+SELECT parent_folder, filename, sentiment, summary, enriched_timestamp + INTERVAL 1 DAY FROM gold""")
+def q_append_gold(spark, root):
+    """The gold table after two runs: appending is not idempotent."""
+    tr = _transcripts_a(spark, root)
+    cols = ["parent_folder", "filename", "sentiment", "summary", "enriched_timestamp"]
+    runs = [enrich.enrich(tr, _ts(ts)).select(*cols) for ts in (ENRICH_TS, "2024-02-04 00:00:00")]
+    return runs[0].unionByName(runs[1])
 
 
 _SCORES_SQL = f"""{GOLD},
@@ -631,61 +734,100 @@ def q_safety_vs_labels(spark, root):
 AUDIO_SPEC = ChunkSpec(max_len=5, overlap=1)     # milliseconds
 
 
-@register("audio_chunks", f"""
+# Samples of a vector read at 8 kHz, and at 16 kHz by linear interpolation.
+_AUDIO_SQL = """
 WITH a AS (
-  SELECT vec_id, label, 2 * len(embedding) AS n_out FROM embeddings),
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(trunc(greatest(least(x * CAST(32767 AS FLOAT),
+           CAST(32767 AS FLOAT)), CAST(-32768 AS FLOAT))) AS INTEGER)) AS s FROM embeddings),
+u AS (
+  SELECT vec_id, label, 2 * len(s) AS n_out, list_transform(range(2 * len(s)), lambda k:
+           CAST(CASE WHEN k % 2 = 0 OR k = 2 * len(s) - 1 THEN s[k // 2 + 1]
+                ELSE round_even((s[k // 2 + 1] + s[k // 2 + 2]) / 2.0, 0) END AS INTEGER)) AS x FROM a),
 b AS (
-  SELECT vec_id, label, CAST(round(n_out / 16.0) AS BIGINT) AS length_ms FROM a),
+  SELECT *, CAST(round(n_out / 16.0) AS BIGINT) AS length_ms FROM u),
 c AS (
-  SELECT *, CASE WHEN length_ms <= {AUDIO_SPEC.max_len} THEN 1
-                 ELSE CAST(floor(length_ms / {AUDIO_SPEC.step}) AS BIGINT) + 1 END AS n FROM b)
+  SELECT *, CASE WHEN length_ms <= {max_len} THEN 1
+                 ELSE CAST(floor(length_ms / {step}) AS BIGINT) + 1 END AS n FROM b),
+k AS (
+  SELECT vec_id, label, length_ms, n, i AS chunk_idx, i * {step} AS chunk_start,
+         least(length_ms, i * {step} + {max_len}) AS chunk_end,
+         x[i * {step} * 16 + 1 : least(length_ms, i * {step} + {max_len}) * 16] AS part
+  FROM c, unnest(range(n)) AS r(i))""".replace("{max_len}", str(AUDIO_SPEC.max_len)).replace(
+    "{step}", str(AUDIO_SPEC.step))
+
+
+@register("audio_chunks", f"""{_AUDIO_SQL}
 SELECT vec_id, printf('vec_%d.wav', vec_id) AS filename, printf('label_%d', label) AS parent_folder,
-       8000 AS source_rate, length_ms, CAST(n AS INTEGER) AS num_chunks, i AS chunk_idx,
-       i * {AUDIO_SPEC.step} AS chunk_start,
-       least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) AS chunk_end,
-       CAST(44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS INTEGER) AS wav_bytes
-FROM c, unnest(range(n)) AS r(i)""")
+       8000 AS source_rate, length_ms, CAST(n AS INTEGER) AS num_chunks, chunk_idx, chunk_start, chunk_end,
+       array_to_string(list_transform(part, lambda v: printf('%02X%02X', v & 255, (v >> 8) & 255)), '') AS samples
+FROM k""")
 def q_audio_chunks(spark, root):
     from parley.sources import audio
     recs = recordings.embedding_recordings(t(spark, root, "embeddings"))
     chunks = audio.audio_chunks(audio.normalize_audio(recs), AUDIO_SPEC)
     return chunks.select("vec_id", "filename", "parent_folder", "source_rate", "length_ms",
                          "num_chunks", "chunk_idx", "chunk_start", "chunk_end",
-                         F.octet_length("wav").alias("wav_bytes"))
+                         F.hex(F.substring("wav", F.lit(45), F.octet_length("wav"))).alias("samples"))
+
+
+# Made of the contract's fields; a caller brings its own instruction.
+PROMPT = f"Answer as JSON with the fields {', '.join(jfn.ANALYSIS_FIELDS)}.\n\n"
 
 
 @register("build_prompt", f"""
-SELECT parent_folder, filename, '{_sq(tfn.ANALYSIS_PROMPT)}' || transcription_text AS prompt
-FROM {CALLS_A} WHERE transcription_text IS NOT NULL""")
+SELECT parent_folder, filename, '{_sq(PROMPT)}' || transcription_text AS prompt
+FROM {CALLS_P} WHERE transcription_text IS NOT NULL""")
 def q_build_prompt(spark, root):
-    res = _calls(spark, root).filter(F.col("transcription_text").isNotNull())
-    return res.select("parent_folder", "filename", tfn.build_prompt("transcription_text").alias("prompt"))
+    res = _whole_calls(spark, root).filter(F.col("transcription_text").isNotNull())
+    return res.select("parent_folder", "filename",
+                      tfn.build_prompt("transcription_text", PROMPT).alias("prompt"))
 
 
 # --- response / error envelopes built from the tables, then decoded -----------
+# 200 bodies of eleven kinds by conversation and turn.
 def _response_bodies(conv: DataFrame) -> DataFrame:
-    """A 200 body per turn: user turns answer in a ``predictions`` envelope
-    (the opening turn without the field), assistant turns in
-    ``dataframe_records``, system turns in neither."""
     rec = F.struct(F.col("text").alias("transcription"))
-    empty = F.struct(F.lit(None).cast("string").alias("error"))
-    body = (F.when((F.col("role") == "user") & (F.col("turn") == 0),
-                   F.to_json(F.struct(F.array(empty).alias("predictions"))))
-             .when(F.col("role") == "user", F.to_json(F.struct(F.array(rec).alias("predictions"))))
-             .when(F.col("role") == "assistant",
-                   F.to_json(F.struct(F.array(rec).alias("dataframe_records"))))
-             .otherwise(F.to_json(F.struct(F.col("turn").alias("other")))))
-    return conv.select("conv_id", "turn", body.alias("body"))
-
-
-@register("response_decode", """
+    empty = F.struct(F.col("role").alias("speaker"))
+    kind = (F.col("conv_id") + F.col("turn")) % 11
+    bodies = [F.to_json(F.struct(F.array(rec).alias("predictions"))),
+              F.to_json(F.struct(F.array(rec).alias("dataframe_records"))),
+              F.to_json(F.struct(F.array(empty).alias("predictions"))),
+              F.concat(F.lit("<html>"), F.col("role"), F.lit("</html>")),
+              F.expr("left(to_json(named_struct('predictions', array(named_struct('t', text)))), 20)"),
+              F.lit("[1]"), F.to_json(F.struct(F.array("text").alias("predictions"))),
+              F.to_json(F.struct(rec.alias("predictions"))), F.lit(None).cast("string"),
+              F.lit('{"predictions": []}'),
+              F.lit('{"predictions": [{"transcription": null, "error": "decoder failed"}]}')]
+    body = F.when(kind == 0, bodies[0])
+    for i, b in enumerate(bodies[1:], 1):
+        body = body.when(kind == i, b)
+    return conv.select("conv_id", "turn", body.alias("payload"))
+
+
+class _Replay:
+    """Answers 200 with the body that the payload holds; ``<none>`` stands for no body."""
+
+    def __call__(self, payload):
+        return 200, None if payload == "<none>" else payload
+
+
+@register("response_decode", f"""
+WITH r AS (SELECT conv_id, turn, text, (conv_id + turn) % 11 AS kind FROM conversations)
 SELECT conv_id, turn,
-       CASE WHEN role = 'user' AND turn = 0 THEN ''
-            WHEN role IN ('user', 'assistant') THEN text END AS transcription
-FROM conversations""")
+       CASE WHEN kind IN (0, 1) THEN text WHEN kind = 2 THEN '' END AS transcription,
+       CASE WHEN kind IN (3, 4, 8) THEN 'EXCEPTION: response is not JSON'
+            WHEN kind IN (6, 7, 9) THEN 'EXCEPTION: malformed response envelope'
+            WHEN kind = 10 THEN 'ENDPOINT_ERROR: {inference.MODEL_ERROR_CODE} - decoder failed' END AS error,
+       CASE WHEN kind IN (0, 1, 2, 5) THEN 'ok' ELSE 'failed' END AS outcome
+FROM r""")
 def q_response_decode(spark, root):
-    bodies = _response_bodies(t(spark, root, "conversations"))
-    return bodies.select("conv_id", "turn", jfn.response_transcription("body").alias("transcription"))
+    bodies = _response_bodies(t(spark, root, "conversations")).withColumn(
+        "payload", F.coalesce("payload", F.lit("<none>"))).withColumnRenamed("turn", "chunk_idx")
+    inferred = inference.infer_chunks(bodies, _Replay(), n_col=None)
+    log = inference.request_log(inferred, _ts(RUN_TS), ["conv_id", "chunk_text", "chunk_error"])
+    return log.select("conv_id", F.col("chunk_idx").alias("turn"),
+                      F.col("chunk_text").alias("transcription"), F.col("chunk_error").alias("error"),
+                      "outcome")
 
 
 @register("error_decode", """
@@ -714,7 +856,7 @@ def q_error_decode(spark, root):
 both_runs AS (
   SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
          processing_timestamp, error_message
-  FROM {CALLS_A}
+  FROM {CALLS_P}
   UNION ALL
   SELECT parent_folder, filename, full_path, duration_seconds, num_chunks, transcription_text,
          processing_timestamp, error_message FROM source)
@@ -728,7 +870,7 @@ def q_latest_per_call(spark, root):
     _, source = _upsert_inputs(spark, root)
     cols = ["parent_folder", "filename", "full_path", "duration_seconds", "num_chunks",
             "transcription_text", "processing_timestamp", "error_message"]
-    both = _calls(spark, root).select(*cols).unionByName(source.select(*cols))
+    both = _whole_calls(spark, root).select(*cols).unionByName(source.select(*cols))
     return upsert.latest_per_key(both, pipeline.KEYS, "processing_timestamp")
 
 
@@ -744,38 +886,29 @@ SELECT file_id, num_chunks, error_message, length(error_message) AS error_chars,
 FROM {_doc_results_sql(TIGHT_SPEC, TIGHT_LIMITS, DOC_REQUEST_LIMIT)}""")
 def q_error_truncate(spark, root):
     res = pipeline.transcribe_documents(t(spark, root, "documents"),
-                                        inference.EchoClient(DOC_REQUEST_LIMIT), spec=TIGHT_SPEC,
+                                        stand_ins.EchoClient(DOC_REQUEST_LIMIT), spec=TIGHT_SPEC,
                                         limits=TIGHT_LIMITS, run_ts=RUN_TS)
     return res.select("file_id", "num_chunks", "error_message",
                       F.char_length("error_message").cast("long").alias("error_chars"),
                       F.char_length("transcription_text").cast("long").alias("text_chars"))
 
 
-AUDIO_LIMITS = SizeLimits(max_payload_bytes=300)            # file limit 223 B
-
-
-@register("transcribe_audio", f"""
-WITH a AS (SELECT vec_id, label, CAST(round(2 * len(embedding) / 16.0) AS BIGINT) AS length_ms FROM embeddings),
-c AS (SELECT *, CASE WHEN length_ms <= {AUDIO_SPEC.max_len} THEN 1
-                     ELSE CAST(floor(length_ms / {AUDIO_SPEC.step}) AS BIGINT) + 1 END AS n FROM a),
-k AS (SELECT vec_id, label, n, i AS chunk_idx,
-             44 + 32 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS nbytes,
-             16 * (least(length_ms, i * {AUDIO_SPEC.step} + {AUDIO_SPEC.max_len}) - i * {AUDIO_SPEC.step}) AS frames
-      FROM c, unnest(range(n)) AS r(i)),
-g AS (SELECT *, {_guard_sql("nbytes", "chunk_idx", "n", AUDIO_LIMITS, 10**12)} AS chunk_error FROM k)
-SELECT printf('label_%d', label) || '_' || printf('vec_%d_wav', vec_id) AS file_id,
+@register("transcribe_audio", f"""{_AUDIO_SQL}
+SELECT printf('/embeddings/label_%d/vec_%d.wav', label, vec_id) AS full_path,
+       printf('label_%d', label) || '_' || printf('vec_%d_wav', vec_id) AS file_id,
        CAST(count(*) AS INTEGER) AS num_chunks,
-       string_agg(CASE WHEN chunk_error IS NULL THEN 'frames ' || frames END, ' ' ORDER BY chunk_idx) AS transcription_text,
-       left(string_agg(chunk_error, '; ' ORDER BY chunk_idx), 1000) AS error_message
-FROM g GROUP BY vec_id, label""")
+       string_agg('frames ' || len(part) || ' sum ' || CAST(coalesce(list_sum(part), 0) AS BIGINT), ' '
+                  ORDER BY chunk_idx) AS transcription_text,
+       CAST(NULL AS VARCHAR) AS error_message
+FROM k GROUP BY vec_id, label""")
 def q_transcribe_audio(spark, root):
     """Embedding vectors as recordings: normalise, chunk into WAVs, send each
-    chunk through the guard and a WAV-reading stand-in endpoint, reassemble."""
+    chunk through the guard and a WAV-reading stand-in, reassemble by path."""
+    from parley.operators import reassemble as ra
     from parley.sources import audio
     recs = recordings.embedding_recordings(t(spark, root, "embeddings"))
     chunks = audio.audio_chunks(audio.normalize_audio(recs), AUDIO_SPEC).select(
-        "file_id", "num_chunks", "chunk_idx", F.col("wav").alias("payload"))
-    inferred = inference.infer_chunks(chunks, inference.WavFramesClient(), limits=AUDIO_LIMITS)
-    from parley.operators import reassemble as ra
-    return ra.reassemble(inferred, ["file_id"]).select(
-        "file_id", "num_chunks", "transcription_text", "error_message")
+        "full_path", "file_id", "num_chunks", "chunk_idx", F.col("wav").alias("payload"))
+    inferred = inference.infer_chunks(chunks, stand_ins.WavSumClient(), limits=PRODUCTION)
+    return ra.reassemble(inferred, ["full_path"], firsts=["file_id"]).select(
+        "full_path", "file_id", "num_chunks", "transcription_text", "error_message")

@@ -32,27 +32,40 @@ def _ts(ts: datetime | str | Column | None) -> Column:
 
 
 def infer_calls(conversations: DataFrame, client, limits: SizeLimits = SizeLimits(),
-                fanout: int = ra.DEFAULT_FANOUT) -> DataFrame:
-    """Per-chunk inference results for recorded calls (one chunk per turn)."""
-    chunks = recordings.call_chunks(conversations).select(
-        "conv_id", "chunk_idx", "payload",
-        ra.block_of(F.col("chunk_idx"), fanout).alias("_block"))
-    counts = ra.block_counts(chunks, "conv_id", "chunk_idx", fanout)
-    chunks = (chunks.join(counts, ["conv_id", "_block"])
-                    .withColumn("chunk_chars", F.char_length("payload").cast("long")))
-    return inference.infer_chunks(chunks, client, limits=limits)
+                parallelism: int | None = None) -> DataFrame:
+    """Per-chunk inference results for recorded calls (one chunk per turn).
+
+    A narrow plan: one scan, no join.  Turns with a NULL call or turn id
+    stay in the result.
+    """
+    return infer_call_chunks(recordings.call_chunks(conversations), client, limits, parallelism)
+
+
+def infer_call_chunks(chunks: DataFrame, client, limits: SizeLimits = SizeLimits(),
+                      parallelism: int | None = None) -> DataFrame:
+    """The same from a stored chunk listing (``conv_id, chunk_idx, payload``)."""
+    sized = chunks.select("conv_id", "chunk_idx", "payload").withColumn(
+        "chunk_chars", F.char_length("payload").cast("long"))
+    return inference.infer_chunks(sized, client, limits=limits, n_col=None, parallelism=parallelism)
+
+
+def call_results(inferred: DataFrame, run_ts=None, fanout: int = ra.DEFAULT_FANOUT,
+                 full_errors: bool = False) -> DataFrame:
+    """Stage-2 rows per call from per-chunk results."""
+    merged = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
+                           full_errors=full_errors)
+    return merged.select(*recordings.call_keys(),
+                         (F.col("sum_chunk_chars") / F.lit(CHARS_PER_SECOND)).alias("duration_seconds"),
+                         "num_chunks", "transcription_text",
+                         _ts(run_ts).alias("processing_timestamp"), "error_message",
+                         *(["error_full"] if full_errors else []))
 
 
 def transcribe_calls(conversations: DataFrame, client, *, limits: SizeLimits = SizeLimits(),
-                     run_ts=None, fanout: int = ra.DEFAULT_FANOUT) -> DataFrame:
+                     run_ts=None, fanout: int = ra.DEFAULT_FANOUT,
+                     full_errors: bool = False) -> DataFrame:
     """Stage-2 result rows (all rows, errors included) for recorded calls."""
-    inferred = infer_calls(conversations, client, limits, fanout)
-    merged = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
-                           block_col="_block")
-    return (merged.select(*recordings.call_keys(),
-                          (F.col("sum_chunk_chars") / F.lit(CHARS_PER_SECOND)).alias("duration_seconds"),
-                          "num_chunks", "transcription_text",
-                          _ts(run_ts).alias("processing_timestamp"), "error_message"))
+    return call_results(infer_calls(conversations, client, limits), run_ts, fanout, full_errors)
 
 
 def chunk_documents(documents: DataFrame, spec: ChunkSpec) -> DataFrame:
@@ -112,19 +125,8 @@ def run_transcribe(spark, chunks_table: str, client, run_id: str, *, limits: Siz
                    parallelism: int | None = None) -> str:
     """Stage 2: infer every chunk, reassemble per call, write all rows."""
     from parley.sinks import writers
-    from parley.sources import recordings as rec
-    chunks = spark.table(chunks_table).select(
-        "conv_id", "chunk_idx", "payload", ra.block_of(F.col("chunk_idx"), fanout).alias("_block"))
-    counts = ra.block_counts(chunks, "conv_id", "chunk_idx", fanout)
-    chunks = (chunks.join(counts, ["conv_id", "_block"])
-                    .withColumn("chunk_chars", F.char_length("payload").cast("long")))
-    inferred = inference.infer_chunks(chunks, client, limits=limits, parallelism=parallelism)
-    merged = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
-                           block_col="_block")
-    results = merged.select(*rec.call_keys(),
-                            (F.col("sum_chunk_chars") / F.lit(CHARS_PER_SECOND)).alias("duration_seconds"),
-                            "num_chunks", "transcription_text",
-                            _ts(run_ts).alias("processing_timestamp"), "error_message")
+    inferred = infer_call_chunks(spark.table(chunks_table), client, limits, parallelism)
+    results = call_results(inferred, run_ts, fanout, full_errors=True)
     name = writers.stage_table_name(f"{schema}.transcription_results", run_id)
     writers.overwrite_stage(results, name)
     return name
@@ -173,21 +175,23 @@ AUDIO_META_COLUMNS = ["parent_folder", "filename", "full_path", "file_id"]
 
 
 def run_preprocess_audio(spark, root: str, run_id: str, *, spec: ChunkSpec = ChunkSpec(),
-                         max_files: int | None = None, schema: str = "calls") -> tuple[str, str]:
+                         max_files: int | None = None, schema: str = "calls",
+                         parallelism: int | None = None) -> tuple[str, str]:
     """Stage 1 for audio files under ``root``.
 
     Writes (a) the per-file metadata table (duration, chunk count, chunk
-    names, error; success rows only) and (b) the chunk payload table with
-    one WAV per chunk as a binary column.  ``max_files`` bounds a run to the
-    first files by path.  Returns both table names.
+    names, error; success rows only), (b) the chunk payload table with one
+    WAV per chunk as a binary column, and (c) ``preprocessing_failures``,
+    the files that gave none, with why.  ``max_files`` bounds a run to the
+    first files by path; ``parallelism`` spreads the decoding over that many
+    tasks.  Returns the names of (a) and (b).
     """
     from parley.sinks import writers
     from parley.sources import audio
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-    files = audio.read_audio(spark, root)
-    if max_files:
-        files = files.join(audio.list_audio(spark, root).orderBy("path").limit(max_files)
-                           .select("path"), "path", "left_semi")
+    files = audio.read_audio(spark, root, max_files=max_files)
+    if parallelism:
+        files = files.repartition(parallelism)
     norm_name = writers.stage_table_name(f"{schema}.normalized_audio", run_id)
     # Decode once; both outputs read the stored result.
     audio.normalize_audio(files).write.mode("overwrite").saveAsTable(norm_name)
@@ -200,6 +204,10 @@ def run_preprocess_audio(spark, root: str, run_id: str, *, spec: ChunkSpec = Chu
     meta_name = writers.stage_table_name(f"{schema}.preprocessing_metadata", run_id)
     writers.overwrite_stage(meta.select(*AUDIO_META_COLUMNS, "duration_seconds", "num_chunks",
                                         "chunk_paths", "error_message"), meta_name, success_only=True)
+    writers.overwrite_stage(
+        norm.where(F.col("error_message").isNotNull()).select(*AUDIO_META_COLUMNS, "length",
+                                                              "error_message"),
+        writers.stage_table_name(f"{schema}.preprocessing_failures", run_id))
     chunks = audio.audio_chunks(norm, spec).select(
         *AUDIO_META_COLUMNS, "duration_seconds", "num_chunks", "chunk_idx",
         F.col("wav").alias("payload"))
@@ -219,12 +227,13 @@ def run_transcribe_audio(spark, payload_table: str, client, run_id: str, *,
     chunks = spark.table(payload_table).withColumn("_size", F.octet_length("payload").cast("long"))
     inferred = inference.infer_chunks(chunks, client, size_col="_size", limits=limits,
                                       parallelism=parallelism, concurrency=concurrency)
-    merged = ra.reassemble(inferred, ["file_id"],
-                           firsts=["parent_folder", "filename", "full_path", "duration_seconds"],
-                           fanout=fanout)
+    # file_id is an attribute: different paths can share one.
+    merged = ra.reassemble(inferred, ["full_path"],
+                           firsts=["parent_folder", "filename", "file_id", "duration_seconds"],
+                           fanout=fanout, full_errors=True)
     results = merged.select(*AUDIO_META_COLUMNS, "duration_seconds", "num_chunks",
                             "transcription_text", _ts(run_ts).alias("processing_timestamp"),
-                            "error_message")
+                            "error_message", "error_full")
     name = writers.stage_table_name(f"{schema}.transcription_results", run_id)
     writers.overwrite_stage(results, name)
     return name

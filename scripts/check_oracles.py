@@ -1,7 +1,8 @@
 import sys, time
 sys.path.insert(0, __import__('os').path.dirname(__import__('os').path.dirname(__import__('os').path.abspath(__file__))))
 from parley.session import build_session
-from parley.plans import catalog, compare
+import compare
+from parley.plans import catalog
 from parley.sources.tables import TABLES
 sf = sys.argv[1] if len(sys.argv) > 1 else '/root/testdata/sf0.01'
 only = sys.argv[2:] 

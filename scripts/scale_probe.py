@@ -23,7 +23,8 @@ def main() -> None:
     from pyspark.sql import functions as F
 
     from parley.config import SizeLimits
-    from parley.operators import enrich, inference
+    from parley.plans import stand_ins  # noqa: E402
+from parley.operators import enrich, inference
     from parley.plans import pipeline
     from parley.session import build_session
     from parley.sources.tables import read_table
@@ -39,7 +40,7 @@ def main() -> None:
                .repartition(8).cache())
         n = big.count()
         t0 = time.time()
-        res = pipeline.transcribe_calls(big, inference.EchoClient(1800),
+        res = pipeline.transcribe_calls(big, stand_ins.EchoClient(1800),
                                         limits=SizeLimits(max_payload_bytes=2048),
                                         run_ts="2024-01-01 00:00:00")
         res.write.format("noop").mode("overwrite").save()

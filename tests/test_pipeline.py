@@ -1,6 +1,7 @@
 import pytest
 
 from parley.config import SizeLimits
+from parley.plans import stand_ins  # noqa: E402
 from parley.operators import inference, reassemble
 from parley.operators.upsert import merge_keyed
 
@@ -73,7 +74,7 @@ def test_infer_chunks_error_capture(spark):
 
 
 def test_echo_client_limits():
-    c = inference.EchoClient(request_limit=60)
+    c = stand_ins.EchoClient(request_limit=60)
     assert c("abc")[0] == 200
     status, body = c("x" * 40)
     assert status == 400 and "MAX_REQUEST_SIZE_EXCEEDED" in body

@@ -50,15 +50,6 @@ def test_success_plus_failed_is_total(spark):
     assert r.success + r.failed == r.total == 100 and r.failed == 34
 
 
-def test_block_counts_cover_every_block(spark):
-    rows = [("a", i) for i in range(0, 1000, 7)] + [("b", 0)]
-    df = spark.createDataFrame(rows, "k string, chunk_idx long")
-    bc = reassemble.block_counts(df, "k", "chunk_idx", 100).collect()
-    a = sorted(r._block for r in bc if r.k == "a")
-    assert a == list(range(10)) and all(r.num_chunks == 143 for r in bc if r.k == "a")
-    assert [r._block for r in bc if r.k == "b"] == [0]
-
-
 def test_blocks_only_concatenate_to_full(spark):
     rows = [("hot", i, f"w{i}", None) for i in range(1000)]
     df = spark.createDataFrame(rows, "k string, chunk_idx long, chunk_text string, chunk_error string")
