@@ -31,6 +31,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
                         F.col(text).cast("string").alias("text"), "_label").checkpoint()
 
 
+def label_rate(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
+               key: str = "doc_id") -> float | None:
+    """Share of ones among the usable labels of all of these documents; None without any."""
+    usable = labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull())
+    return (usable.join(docs.select(key).distinct(), key, "left_semi")
+            .agg(F.avg(F.col(label).cast("double"))).first()[0])
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray,
              strength: float, steps: int = 40) -> np.ndarray:
     """Weights of a logistic model by Newton steps, drawn to ``prior`` by a squared penalty."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.labelled import labelled_sample, logistic, sigmoid
+from parley.llm.labelled import label_rate, labelled_sample, logistic, sigmoid
 from parley.llm.words import small_batches
 
 THRESHOLD = 0.3
@@ -102,7 +102,8 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int =
     weight = np.concatenate([np.full(len(good), (1 - bad_share) / len(good)),
                              np.full(len(bad), bad_share / len(bad))])
     order = np.argsort(scores, kind="stable")
-    at = int(np.searchsorted(np.cumsum(weight[order]), bad_share))
+    # documents up to the quantile; sums of equal weights may be off in the last digit
+    at = int(np.searchsorted(np.cumsum(weight[order]), bad_share + 1e-9, side="right"))
     at = min(max(at, 1), len(order) - 1)
     ranker.cut = float((scores[order[at - 1]] + scores[order[at]]) / 2)
     ranker.slope = 1.0
@@ -123,8 +124,9 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "qualit
     if not len(x[0]) or not len(x[1]):
         zero = np.zeros(len(FEATURES))
         return Ranker(zero, zero + 1, zero, 0.0, 1.0)
-    share = labels.where(keep).agg(F.avg((F.col(label) == 0).cast("double"))).first()[0]
-    return fit_pairs(x[1], x[0], min(0.99, max(0.001, share or 0.0)))
+    # the share of bad labels among these documents, not among all labels
+    share = 1 - (label_rate(docs, labels, label, keep, key) or 0.0)
+    return fit_pairs(x[1], x[0], min(0.99, max(0.001, share)))
 
 
 def _measured(docs: DataFrame, label: str) -> DataFrame:

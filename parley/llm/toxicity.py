@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.labelled import labelled_sample, logistic, sigmoid
+from parley.llm.labelled import label_rate, labelled_sample, logistic, sigmoid
 from parley.llm.presplit import WordCache
 from parley.llm.words import small_batches
 
@@ -239,7 +239,7 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic"
     rows = _counted(sample, grammar, "_label int, counts array<int>", ["_label"]).collect()
     y = np.array([r["_label"] for r in rows], float)
     counts = np.array([r["counts"] for r in rows], float)
-    rate = (labels.where(keep).agg(F.avg(F.col(label).cast("double"))).first()[0]) or 0.1
+    rate = label_rate(docs, labels, label, keep, key) or 0.1
     weight = np.where(y == 1, rate * len(y) / max(1, toxic), (1 - rate) * len(y) / max(1, clean))
     return Grammar(grammar.stems, logistic(features(counts), y, weight, PRIOR, PRIOR_STRENGTH))
 
