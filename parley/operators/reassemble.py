@@ -63,27 +63,17 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
     """
     order, text, err = F.col(order_col), F.col(text_col), F.col(error_col)
     if fanout:
-        block = F.col(block_col) if block_col else F.floor(order / F.lit(fanout)).alias("_block")
-        part = (chunks.groupBy(*keys, block).agg(
-            F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n"),
-            _ordered_join(order, text, text_sep).alias("_text"),
-            _ordered_join(order, err, error_sep).alias("_err"),
-            *[F.sum(c).alias(f"_s_{c}") for c in sums],
-            *[F.min(c).alias(f"_f_{c}") for c in firsts]))
+        block = F.col(block_col) if block_col else block_of(order, fanout)
+        blocks = chunks.groupBy(*keys, block.alias("_block")).agg(
+            F.min(order).alias("first_chunk"), F.count(F.lit(1)).cast("int").alias("num_chunks"),
+            _ordered_join(order, text, text_sep).alias("transcription_text"),
+            _ordered_join(order, err, error_sep).alias("error_message"),
+            *[F.sum(c).alias(f"sum_{c}") for c in sums],
+            *[F.min(c).alias(c) for c in firsts]).drop("_block")
         if blocks_only:
-            return part.select(*keys, F.col("_first").alias("first_chunk"),
-                               F.col("_n").cast("int").alias("num_chunks"),
-                               F.col("_text").alias("transcription_text"),
-                               F.col("_err").alias("error_message"),
-                               *[F.col(f"_s_{c}").alias(f"sum_{c}") for c in sums],
-                               *[F.col(f"_f_{c}").alias(c) for c in firsts])
-        first = F.col("_first")
-        aggs = [F.sum("_n").cast("int").alias("num_chunks"),
-                _ordered_join(first, F.col("_text"), text_sep).alias("transcription_text"),
-                _ordered_join(first, F.col("_err"), error_sep).alias("error_full"),
-                *[F.sum(f"_s_{c}").alias(f"sum_{c}") for c in sums],
-                *[F.min(f"_f_{c}").alias(c) for c in firsts]]
-        return _finish(part.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
+            return blocks
+        return join_blocks(blocks, keys, sums=sums, firsts=firsts, full_errors=full_errors,
+                           text_sep=text_sep, error_sep=error_sep, error_chars=error_chars)
     aggs = [F.count(F.lit(1)).cast("int").alias("num_chunks"),
             _ordered_join(order, text, text_sep).alias("transcription_text"),
             _ordered_join(order, err, error_sep).alias("error_full"),
@@ -92,6 +82,20 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
     return _finish(chunks.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
 
 
+def join_blocks(blocks: DataFrame, keys: list[str], *, sums: list[str] = (), firsts: list[str] = (),
+                full_errors: bool = False, text_sep: str = config.TEXT_SEPARATOR,
+                error_sep: str = config.ERROR_SEPARATOR,
+                error_chars: int = config.FILE_ERROR_CHARS) -> DataFrame:
+    """One row per recording from the block rows of :func:`reassemble`."""
+    first = F.col("first_chunk")
+    aggs = [F.sum("num_chunks").cast("int").alias("num_chunks"),
+            _ordered_join(first, F.col("transcription_text"), text_sep).alias("transcription_text"),
+            _ordered_join(first, F.col("error_message"), error_sep).alias("error_full"),
+            *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in sums],
+            *[F.min(c).alias(c) for c in firsts]]
+    return _finish(blocks.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
+
+
 def _finish(merged: DataFrame, keys: list[str], error_chars: int, full_errors: bool) -> DataFrame:
     """Fill in open chunk counts, cut the displayed message, order the columns."""
     full = F.replace(F.col("error_full"), F.lit(COUNT_MARK), F.col("num_chunks").cast("string"))

@@ -52,8 +52,14 @@ def infer_call_chunks(chunks: DataFrame, client, limits: SizeLimits = SizeLimits
 def call_results(inferred: DataFrame, run_ts=None, fanout: int = ra.DEFAULT_FANOUT,
                  full_errors: bool = False) -> DataFrame:
     """Stage-2 rows per call from per-chunk results."""
-    merged = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
-                           full_errors=full_errors)
+    blocks = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
+                           blocks_only=True)
+    return calls_of_blocks(blocks, run_ts, full_errors)
+
+
+def calls_of_blocks(blocks: DataFrame, run_ts=None, full_errors: bool = False) -> DataFrame:
+    """Stage-2 rows per call from block rows."""
+    merged = ra.join_blocks(blocks, ["conv_id"], sums=["chunk_chars"], full_errors=full_errors)
     return merged.select(*recordings.call_keys(),
                          (F.col("sum_chunk_chars") / F.lit(CHARS_PER_SECOND)).alias("duration_seconds"),
                          "num_chunks", "transcription_text",
@@ -126,7 +132,14 @@ def run_transcribe(spark, chunks_table: str, client, run_id: str, *, limits: Siz
     """Stage 2: infer every chunk, reassemble per call, write all rows."""
     from parley.sinks import writers
     inferred = infer_call_chunks(spark.table(chunks_table), client, limits, parallelism)
-    results = call_results(inferred, run_ts, fanout, full_errors=True)
+    # Blocks are the durable form: the remote answers are stored once, spread
+    # over tasks however large a call is, and readers of a call too large for
+    # one row read its blocks in order.
+    blocks_name = writers.stage_table_name(f"{schema}.transcription_blocks", run_id)
+    blocks = ra.reassemble(inferred, ["conv_id"], sums=["chunk_chars"], fanout=fanout,
+                           blocks_only=True)
+    writers.overwrite_stage(blocks, blocks_name)
+    results = calls_of_blocks(spark.table(blocks_name), run_ts, full_errors=True)
     name = writers.stage_table_name(f"{schema}.transcription_results", run_id)
     writers.overwrite_stage(results, name)
     return name

@@ -223,3 +223,14 @@ def test_tone_needs_no_ranking(spark):
     plan = catalog.queries()["tone_distribution"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan and "rank" not in plan
     assert writers.MAX_LISTED_PARTITIONS > 0
+
+
+def test_block_rows_are_stored_and_give_the_calls(spark):
+    conv = tables.read_table(spark, SF, "conversations")
+    chunks = pipeline.run_preprocess_calls(spark, conv, "blk")
+    results = pipeline.run_transcribe(spark, chunks, stand_ins.EchoClient(), "blk", fanout=3,
+                                      run_ts="2024-01-01 00:00:00")
+    blocks = spark.table("calls.transcription_blocks_blk")
+    assert blocks.count() > spark.table(results).count()
+    direct = pipeline.transcribe_calls(conv, stand_ins.EchoClient(), run_ts="2024-01-01 00:00:00")
+    assert spark.table(results).drop("error_full").exceptAll(direct).count() == 0
