@@ -40,17 +40,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parley.llm.presplit import WordCache
-from parley.llm.words import ascii_words, parts_for, small_batches, text_bytes
+from parley.llm.words import (BLOCKS, ascii_words, blocks_table, deal_blocks, parts_for,
+                              planes, small_batches, text_bytes, unplanes)
 
 M2, M3 = 2000.0, 10.0
-CHUNK_TEXT_BYTES = 8 << 20
-SHARD_GRAMS = 2_000_000
-SHARD_WORDS = 2_000_000
-BUFFER_BYTES = 48 << 20
+CHUNK_TEXT_BYTES = 5 << 20
+SHARD_GRAMS = 1_000_000
+SHARD_WORDS = 1_000_000
 UNKNOWN, START, FIRST_ID = 0, 1, 2
 END_WORD, START_WORD = b" end", b" start"       # no word holds a space
 
@@ -216,24 +217,14 @@ class Trie:
 
 
 # ---- arrays on the wire ----------------------------------------------------
-def planes(values: np.ndarray) -> bytes:
-    """Little-endian bytes, the lowest of all values first: compresses well."""
-    raw = np.ascontiguousarray(values)
-    return raw.view(np.uint8).reshape(len(raw), raw.itemsize).T.tobytes()
-
-
-def unplanes(blob: bytes | memoryview, dtype) -> np.ndarray:
-    dtype = np.dtype(dtype)
-    raw = np.frombuffer(blob, np.uint8).reshape(dtype.itemsize, -1)
-    return np.ascontiguousarray(raw.T).view(dtype).ravel()
-
-
 def bundle(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed byte planes."""
     head = np.array([len(arrays), *(len(a) * a.itemsize for a in arrays)], "<u4")
-    return head.tobytes() + b"".join(map(planes, arrays))
+    return zstandard.compress(head.tobytes() + b"".join(map(planes, arrays)), 1)
 
 
 def unbundle(blob: bytes, *dtypes) -> list[np.ndarray]:
+    blob = zstandard.decompress(blob)
     n = int(np.frombuffer(blob, "<u4", 1)[0])
     sizes = np.frombuffer(blob, "<u4", n, 4)
     ends = 4 * (n + 1) + np.cumsum(sizes, dtype=np.int64)
@@ -250,15 +241,14 @@ def _mix(v: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def _hashes() -> WordCache:
-    return WordCache(xxhash.xxh3_64_intdigest, 400_000)
+    return WordCache(xxhash.xxh3_64_intdigest, 150_000)
 
 
 class ChunkTokens:
     """All tokens of a chunk's texts as word hashes, one after the other."""
 
     def __init__(self, table: pa.Table):
-        rows = [pa.ipc.open_stream(b).read_all() for b in table.column("_blob").to_pylist()]
-        rows = pa.concat_tables(rows) if rows else None
+        rows = blocks_table(table.column("_blob"))
         self.ids = rows.column("doc_id").to_pylist() if rows else []
         self.held = np.array(rows.column("held").to_pylist() if rows else [], bool)
         cache, hashes, sizes = _hashes(), [], []
@@ -358,8 +348,12 @@ def answer_grams(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """A gram shard: counts added up, trie built, codes for every chunk's grams."""
     shard = key[0].as_py()
     chunk = table.column("_chunk").to_pylist()
-    sent = [unbundle(b, "<u8", "<u4", "<u8", "<u4", "<u4", "<u4")
-            for b in table.column("_blob").to_pylist()]
+    sent = []
+    for blob in table.column("_blob").to_pylist():
+        first, second, times, context, followers, third, times3 = unbundle(
+            blob, "<u4", "<u4", "<u4", "<u8", "<u4", "<u4", "<u4")
+        keys = np.cumsum(first, dtype=np.uint64) << np.uint64(32) | second
+        sent.append((keys, times, context, np.repeat(np.arange(len(keys)), followers), third, times3))
     lengths = np.array([len(s[0]) for s in sent])
     pairs, place = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
     count = np.bincount(place, np.concatenate([s[1] for s in sent]), len(pairs))
@@ -401,32 +395,8 @@ def score_texts(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_TEXT
     fields = pa.schema([("doc_id", pa.int64()), ("held", pa.bool_()), ("text", pa.string())])
 
     def blocks(batches: Iterator[pa.RecordBatch]):
-        """Documents by chunk, as compressed Arrow streams."""
-        def flush(held: list[pa.RecordBatch]):
-            table = pa.Table.from_batches(held)
-            to = table.column("_to").to_numpy()
-            order = np.argsort(to, kind="stable")
-            bounds = np.searchsorted(to[order], np.arange(chunks + 1))
-            out = []
-            for c in np.flatnonzero(np.diff(bounds)):
-                mine = table.take(pa.array(order[bounds[c]:bounds[c + 1]])).select(fields.names)
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, fields, options=pa.ipc.IpcWriteOptions(
-                        compression="zstd")) as writer:
-                    writer.write_table(mine.cast(fields))
-                out.append((int(c), sink.getvalue().to_pybytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([c for c, _ in out], pa.int32()), pa.array([b for _, b in out], pa.binary())],
-                ["_chunk", "_blob"])
-        waiting, held = 0, []
-        for batch in small_batches(batches, "text"):
-            held.append(batch)
-            waiting += batch.nbytes
-            if waiting >= BUFFER_BYTES:
-                yield from flush(held)
-                waiting, held = 0, []
-        if held:
-            yield from flush(held)
+        yield from deal_blocks(((b.column("_to").to_numpy(), b.select(fields.names))
+                                for b in small_batches(batches, "text")), fields)
 
     def words_of(part: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         tokens = ChunkTokens(table)
@@ -444,8 +414,11 @@ def score_texts(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_TEXT
         first_count = _context_counts(tokens, pairs)
         out = []
         for s, mine, mine3, place in _by_shard(pairs, of, gram_shards):
+            first = pairs[mine] >> np.uint64(32)
             out.append((int(s), bundle(
-                pairs[mine], count[mine], first_count[mine], place[of[mine3]].astype(np.uint32),
+                np.diff(first, prepend=np.uint64(0)).astype(np.uint32),
+                pairs[mine].astype(np.uint32), count[mine], first_count[mine],
+                np.bincount(place[of[mine3]], minlength=len(mine)).astype(np.uint32),
                 word[mine3].astype(np.uint32), count3[mine3])))
         return _rows([part[0].as_py()] * len(out), [s for s, _ in out], [b for _, b in out])
 
@@ -488,7 +461,7 @@ def score_texts(docs: DataFrame, held_out: Column, chunk_bytes: int = CHUNK_TEXT
     source = docs.select(
         F.col(key).cast("long").alias("doc_id"), held_out.alias("held"), F.col(text).alias("text"),
         F.pmod(F.xxhash64(key, F.octet_length(text)), F.lit(chunks)).cast("int").alias("_to"))
-    by_chunk = source.mapInArrow(blocks, "_chunk int, _blob binary").groupBy("_chunk")
+    by_chunk = source.mapInArrow(blocks, BLOCKS).groupBy("_part")
     numbered = (by_chunk.applyInArrow(words_of, _BLOBS)
                 .groupBy("_part").applyInArrow(count_words, _BLOBS))
     totals = numbered.where("_chunk = -1").agg(F.sum("_tokens").alias("_n"), F.sum("_types").alias("_v"))
