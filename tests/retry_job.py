@@ -9,7 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from parley.config import SizeLimits  # noqa: E402
 from parley.plans import stand_ins  # noqa: E402
-from parley.operators import inference  # noqa: E402
 from parley.plans import pipeline  # noqa: E402
 from parley.session import build_session  # noqa: E402
 from parley.sources import tables  # noqa: E402

@@ -5,7 +5,6 @@ from parley.config import SizeLimits
 from parley.functions import text as tfn
 from parley.functions import wav as wfn
 from parley.plans import stand_ins  # noqa: E402
-from parley.operators import inference
 from parley.plans import pipeline
 from parley.sources import tables
 
