@@ -19,7 +19,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from parley.llm.labelled import label_rate, labelled_sample, logistic, sigmoid
 from parley.llm.words import small_batches

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +33,6 @@ def crc_mod(key: str, mod: int) -> Column:
                   F.lit(mod))
 
 
-def held_in(keys, mod: int) -> list[int]:
-    """The same rule on a Python list of keys."""
-    return [zlib.crc32(b"" if k is None else str(k).encode()) % mod for k in keys]
-
-
 def small_batches(batches: Iterator[pa.RecordBatch], text: str,
                   most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one holds about ``most`` bytes of text."""
