@@ -24,15 +24,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.words import ascii_words, parts_for, text_bytes
+from parley.llm.words import (BLOCKS, ascii_words, blocks_table, deal_blocks, parts_for,
+                              planes, small_batches, text_bytes, unplanes)
 
 WINDOW = 20
-CHUNK_TEXT_BYTES = 8 << 20
-SLICE_CELLS = 4 << 20
+CHUNK_TEXT_BYTES = 6 << 20
+SLICE_CELLS = 1 << 20        # windows a slice of the sketch or a bucket of digests serves
 _ROWS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)      # one odd multiplier a sketch row
 _BASE = 0x5851F42D4C957F2D | 1
 _SEGMENT = 1 << 20
@@ -123,10 +125,10 @@ class Sketch:
         jumps = gaps // self.most
         out = np.full(len(gaps) + int(jumps.sum()), self.most, self.gap)
         out[np.arange(len(gaps)) + np.cumsum(jumps)] = gaps % self.most
-        return out.tobytes()
+        return zstandard.compress(planes(out), 1)
 
     def decode(self, blob: bytes) -> np.ndarray:
-        codes = np.frombuffer(blob, self.gap)
+        codes = unplanes(zstandard.decompress(blob), self.gap)
         return np.cumsum(codes, dtype=np.int64)[codes != self.most]
 
 
@@ -157,6 +159,13 @@ def _estimated_repeated(sketch: Sketch, hashes: np.ndarray, replies: dict[int, b
     return repeated
 
 
+def _with_parts(parts: np.ndarray, rows: pa.RecordBatch, text: str):
+    at = 0
+    for batch in small_batches([rows], text):
+        yield parts[at:at + batch.num_rows], batch
+        at += batch.num_rows
+
+
 def _blob_table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     chunk, part, blob = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.table({"_chunk": pa.array(chunk, pa.int32()), "_slice": pa.array(part, pa.int32()),
@@ -179,14 +188,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
     windows = size // 6                      # about six bytes a word; sizes the sketch only
     sketch = Sketch(windows, chunks)
     buckets = parts_for(windows, SLICE_CELLS)
-    given = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "_chunk")]
+    given = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     kept_schema = T.StructType([*(docs.schema[c] for c in given),
                                 T.StructField("n_words", T.LongType()),
                                 T.StructField("n_removed", T.LongType()),
                                 T.StructField("kept_text", T.StringType())])
-    dealt = docs.select(*given, F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int").alias("_chunk"))
+    # every row's chunk stands first, whatever the other columns are called
+    placed = docs.select(F.pmod(F.xxhash64(key), F.lit(chunks)).cast("int"), *given)
 
-    def sketched(part: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def dealt(batches):
+        for batch in batches:
+            rows = pa.RecordBatch.from_arrays(batch.columns[1:], given)
+            yield from deal_blocks(_with_parts(batch.column(0).to_numpy(), rows, text), rows.schema)
+
+    def sketched(part: tuple[pa.Scalar, ...], blocks: pa.Table) -> pa.Table:
+        table = blocks_table(blocks.column("_blob"))
         _, order, words = _texts(table, key, text, window)
         hashes, rows = _all_hashes(order, words), []
         for row in range(len(_ROWS)):
@@ -202,12 +218,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
 
     def merged(part: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunk = table.column("_chunk").to_pylist()
-        own = [sketch.decode(b) for b in table.column("_blob").to_pylist()]
-        cells = np.sort(np.concatenate(own))
-        full = np.unique(cells[1:][cells[1:] == cells[:-1]])
-        return _blob_table([
-            (c, part[0].as_py(), np.packbits(np.isin(np.unique(x), full)).tobytes())
-            for c, x in zip(chunk, own, strict=True)])
+        blobs = table.column("_blob").to_pylist()
+        total = np.zeros(1 << sketch.low, np.uint8)      # saturates at two
+        for blob in blobs:
+            cells = sketch.decode(blob)                  # sorted, each once or twice
+            again = cells[1:][cells[1:] == cells[:-1]]
+            total[cells] = np.minimum(total[cells] + 1, 2)
+            total[again] = 2
+        out = []
+        for c, blob in zip(chunk, blobs, strict=True):
+            cells = sketch.decode(blob)
+            cells = cells[np.diff(cells, prepend=-1) > 0]
+            out.append((c, part[0].as_py(), np.packbits(total[cells] > 1).tobytes()))
+        return _blob_table(out)
 
     def flagged(table: pa.Table, replies: pa.Table):
         keys, order, words = _texts(table, key, text, window)
@@ -220,7 +243,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
             yield keys[i], i, words[i], np.flatnonzero(repeated[at:at + n])
             at += n
 
-    def candidates(part: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
+    def candidates(part: tuple[pa.Scalar, ...], blocks: pa.Table, replies: pa.Table) -> pa.Table:
+        table = blocks_table(blocks.column("_blob"))
         first: dict[bytes, int] = {}
         for k, _, text_words, starts in flagged(table, replies):
             for s in starts.tolist():
@@ -253,7 +277,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
         return _blob_table([(int(c), -1, mine.tobytes()) for c, mine in
                             zip(told, np.split(rows, bounds[1:]), strict=True)])
 
-    def cleaned(part: tuple[pa.Scalar, ...], table: pa.Table, told: pa.Table) -> pa.Table:
+    def cleaned(part: tuple[pa.Scalar, ...], blocks: pa.Table, told: pa.Table) -> pa.Table:
+        table = blocks_table(blocks.column("_blob"))
         elsewhere = pc.equal(told.column("_slice"), -1)
         gone = b"".join(told.filter(elsewhere).column("_blob").to_pylist())
         seen = {gone[at:at + 16] for at in range(0, len(gone), 16)}
@@ -280,7 +305,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, chunk_bytes: int = CHU
             out = out.append_column(name, pa.array(values, kind))
         return out
 
-    by_chunk = dealt.groupBy("_chunk")
+    by_chunk = placed.mapInArrow(dealt, BLOCKS).groupBy("_part")
     replies = (by_chunk.applyInArrow(sketched, _BLOBS)
                .groupBy("_slice").applyInArrow(merged, _BLOBS))
     gone = (by_chunk.cogroup(replies.groupBy("_chunk")).applyInArrow(candidates, _BLOBS)
