@@ -34,17 +34,14 @@ from __future__ import annotations
 import mmap
 import tempfile
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.presplit import WordCache
 from parley.llm.words import (BLOCKS, ascii_words, blocks_table, deal_blocks, parts_for,
                               planes, small_batches, text_bytes, unplanes)
 
@@ -239,29 +236,37 @@ def _mix(v: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(32))
 
 
-@lru_cache(maxsize=1)
-def _hashes() -> WordCache:
-    return WordCache(xxhash.xxh3_64_intdigest, 150_000)
+class _Numbering(dict):
+    """word -> its number in order of first sight."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class ChunkTokens:
-    """All tokens of a chunk's texts as word hashes, one after the other."""
+    """All tokens of a chunk's texts, one after the other, as places in its distinct words."""
 
     def __init__(self, table: pa.Table):
         rows = blocks_table(table.column("_blob"))
         self.ids = rows.column("doc_id").to_pylist() if rows else []
         self.held = np.array(rows.column("held").to_pylist() if rows else [], bool)
-        cache, hashes, sizes = _hashes(), [], []
+        seen, places, sizes = _Numbering(), [], []
         for text in rows.column("text").to_pylist() if rows else []:
             words = ascii_words(text)
             words.append(END_WORD)
-            hashes.append(np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)))
+            places.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
             sizes.append(len(words))
         self.ends = np.cumsum(sizes, dtype=np.int64)
         self.starts = self.ends - np.array(sizes, np.int64)
-        self.hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.trained = np.repeat(~self.held, sizes)
-        self.words, self.place = np.unique(self.hashes, return_inverse=True)
+        # distinct words in order of their hashes, whatever order the texts came in
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen))
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.words = hashes[order]
+        self.place = rank[np.concatenate(places)] if places else np.empty(0, np.int64)
 
     def number(self, replies: dict[int, bytes], shards: int) -> None:
         """Ids and counts of the tokens, from the word shards' replies."""
@@ -271,6 +276,7 @@ class ChunkTokens:
         for s in np.unique(shard):
             mine = shard == s
             counts[mine], ids[mine] = unbundle(replies[int(s)], "<u8", "<u4")
+        self.word_ids, self.word_counts = ids, counts
         self.counts, self.token = counts[self.place], ids[self.place]
 
     def grams(self):
@@ -495,12 +501,14 @@ def _by_shard(pairs: np.ndarray, of: np.ndarray, shards: int):
 
 def _context_counts(tokens: ChunkTokens, pairs: np.ndarray) -> np.ndarray:
     """Training count of each pair's first word; the start mark counts as the end token does."""
-    ids, at = np.unique(tokens.token, return_index=True)
+    order = np.argsort(tokens.word_ids)
+    ids = tokens.word_ids[order]
     first = pairs >> np.uint64(32)
     start = first == START
     place = np.searchsorted(ids, first)
     place[start] = 0
-    counts = tokens.counts[at][np.minimum(place, len(ids) - 1)] if len(ids) else first * np.uint64(0)
+    counts = (tokens.word_counts[order][np.minimum(place, len(ids) - 1)] if len(ids)
+              else np.zeros(len(first), np.uint64))
     ends = tokens.counts[tokens.ends[:1] - 1]
     counts[start] = ends[0] if len(ends) else 0
     return counts
