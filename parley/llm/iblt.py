@@ -28,13 +28,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.words import parts_for, text_bytes
+from parley.llm.words import (BLOCKS, blocks_table, deal_blocks, parts_for, small_batches,
+                              text_bytes)
 
 CELLS = 48          # of the smallest sketch, a multiple of HASHES
 HASHES = 3
 GROWTH = 3
 RUN_WORDS = 16
-RANGE_TEXT_BYTES = 8 << 20
+RANGE_TEXT_BYTES = 4 << 20
 _LAST = (1 << 63) - 1
 _PIECE = re.compile(r"[^\n.!?]*(?:[.!?]+(?=\s|$)|[.!?]+|\n|$)\s*")
 _RUN = re.compile(r"(?:\s*\S+){1,%d}\s*|\s+" % RUN_WORDS)
@@ -111,8 +112,13 @@ class Fingerprint:
         for piece in paragraphs(text):
             k = times[piece]
             times[piece] = k + 1
-            digests.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"), k))
-        self.digests = np.array(digests, np.uint64)
+            digest = xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"))
+            # The repeat is hashed in, not used as a seed: seeds of short inputs
+            # make equal digests of different pieces.
+            digests.append(digest if not k else xxhash.xxh3_64_intdigest(
+                b"repeat" + digest.to_bytes(8, "little") + k.to_bytes(8, "little")))
+        # A digest twice would cancel in every sketch, of any size.
+        self.digests = np.unique(np.array(digests, np.uint64))
         self._sketches: dict[int, Sketch] = {}
 
     def sketch(self, cells: int) -> Sketch:
@@ -192,6 +198,8 @@ def compare_neighbours(docs: DataFrame, cells: int = CELLS, range_bytes: int = R
     read; an empty table gives an empty result.
     """
     ranges = parts_for(text_bytes(docs, text), range_bytes)
+    fields = pa.schema([("_guest", pa.bool_()), ("_key", pa.int64()), ("doc_id", pa.int64()),
+                        ("text", pa.string())])
     place = F.coalesce(F.col(key), F.lit(_LAST))
     keys = docs.select(place.cast("double").alias("k"))
     cuts = np.array(sorted(set(keys.approxQuantile(
@@ -214,21 +222,23 @@ def compare_neighbours(docs: DataFrame, cells: int = CELLS, range_bytes: int = R
     full = sorted(firsts)
     before = {r: full[i - 1] for i, r in enumerate(full)}
 
-    def dealt(batches):
-        for batch in batches:
+    def placed(batches):
+        for batch in small_batches(batches, "text"):
             k = batch.column("_key").to_numpy()
             r = ranged(k)
             guest = np.flatnonzero([firsts[x] == y for x, y in zip(r.tolist(), k.tolist(),
                                                                    strict=True)])
-            for rows, to, is_guest in ((batch, r, False),
-                                       (batch.take(pa.array(guest)), [before[x] for x in r[guest]],
-                                        True)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to, pa.int32()), pa.array([is_guest] * rows.num_rows, pa.bool_()),
-                     rows.column("_key"), rows.column("doc_id"), rows.column("text")],
-                    ["_range", "_guest", "_key", "doc_id", "text"])
-
-    def compared(table: pa.Table) -> pa.Table:
+            for rows, to, is_guest in (
+                    (batch, r, False),
+                    (batch.take(pa.array(guest, pa.int64())), [before[x] for x in r[guest]], True)):
+                yield np.array(to, np.int32), pa.RecordBatch.from_arrays(
+                    [pa.array([is_guest] * rows.num_rows, pa.bool_()), *rows.columns], fields.names)
+
+    def dealt(batches):
+        yield from deal_blocks(placed(batches), fields)
+
+    def compared(blocks: pa.Table) -> pa.Table:
+        table = blocks_table(blocks.column("_blob"))
         rows = sorted(zip(table.column("_guest").to_pylist(), table.column("_key").to_pylist(),
                           [t or "" for t in table.column("text").to_pylist()],
                           table.column("doc_id").to_pylist(), strict=True),
@@ -252,6 +262,4 @@ def compare_neighbours(docs: DataFrame, cells: int = CELLS, range_bytes: int = R
 
     source = docs.select(place.alias("_key"), F.col(key).cast("long").alias("doc_id"),
                          F.col(text).alias("text"))
-    return source.mapInArrow(
-        dealt, "_range int, _guest boolean, _key bigint, doc_id bigint, text string"
-    ).groupBy("_range").applyInArrow(compared, RESULT)
+    return source.mapInArrow(dealt, BLOCKS).groupBy("_part").applyInArrow(compared, RESULT)

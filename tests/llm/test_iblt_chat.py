@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 import pytest
@@ -23,6 +24,18 @@ def _brute_likeness(a, b):
     return 2 * sum((x & y).values()) / total
 
 
+def test_repeats_of_short_paragraphs_have_digests_of_their_own():
+    rnd = random.Random(8)
+    words = [a + b + "!!" for a in "ABCDEFGH" for b in ("", "E", "HE", "ND", "TH")]
+    for _ in range(60):
+        text = " ".join(rnd.choice(words) for _ in range(rnd.randint(200, 600)))
+        made = iblt.Fingerprint(text)
+        assert len(made.digests) == len(iblt.paragraphs(text))
+        cut = iblt.Fingerprint(text[:len(text) // 2])
+        only, other = iblt.difference(made, cut)
+        assert len(only) - len(other) == len(made.digests) - len(cut.digests)
+
+
 def test_difference_recovers_the_digests():
     a = iblt.Fingerprint("\n".join(f"line {i}" for i in range(3000)))
     b = iblt.Fingerprint("\n".join(f"line {i}" for i in range(0, 3000, 2)) + "\nmore")
