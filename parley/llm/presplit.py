@@ -5,8 +5,9 @@ space, lower case) and its split pattern (contractions, letter runs, single
 digits, symbol runs; white space dropped).  For texts made only of
 characters below U+0250 both are one lower-casing and one regular
 expression over explicit character classes, taken from the Unicode
-categories; every other text goes through the tokenizers library's own
-normaliser and splitter, so that its Unicode tables decide.
+categories; every other text, and one with a capital whose lower case lies
+from U+0250 on, goes through the tokenizers library's own normaliser and
+splitter, so that its Unicode tables decide.
 """
 
 from __future__ import annotations
@@ -55,8 +56,9 @@ class Presplitter:
         self._words = re.compile("|".join(
             [*_CONTRACTIONS, f"[{letters}]+", f"[{digits}]",
              f"[^{re.escape(_SPACES)}{letters}{digits}]+"])).findall
-        # U+0130 lower-cases to two characters, one of them above the simple range.
-        self._odd = re.compile(f"[^\\x00-\\u012f\\u0131-\\u{_SIMPLE_END - 1:04x}]").search
+        # Some capitals (U+0130, U+018F, ...) have a lower case above the simple range.
+        simple = (chr(c) for c in range(_SIMPLE_END) if max(chr(c).lower()) < chr(_SIMPLE_END))
+        self._odd = re.compile(f"[^{''.join(map(re.escape, simple))}]").search
         self._bytes = {c: b for b, c in enumerate(byte_alphabet())}
 
     def _segment(self, text: str) -> list[str]:
