@@ -9,6 +9,12 @@ from pyspark.sql import functions as F
 from parley.session import ensure_checkpoint_dir
 
 
+def usable_labels(labels: DataFrame, label: str, keep: Column, key: str = "doc_id") -> DataFrame:
+    """(key, _label): one label of each id to be learned from, the largest; null ones are not used."""
+    return (labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull())
+            .groupBy(key).agg(F.max(label).cast("int").alias("_label")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, ones: int,
                     zeros: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, text, label) of at most ``ones`` + ``zeros`` labelled documents.
@@ -21,8 +27,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     checkpoint that later steps read.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    usable = (labels.where(keep & F.col(label).isNotNull() & F.col(key).isNotNull())
-              .groupBy(key).agg(F.max(label).cast("int").alias("_label")))
+    usable = usable_labels(labels, label, keep, key)
     order = F.xxhash64(key)
     chosen = (usable.where("_label = 1").orderBy(order, key).limit(ones)
               .unionByName(usable.where("_label = 0").orderBy(order, key).limit(zeros)))
@@ -39,6 +44,32 @@ def label_rate(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
             .agg(F.avg(F.col(label).cast("double"))).first()[0])
 
 
+def values_at(column: DataFrame, ranks: list[int], bins: int = 4096) -> list[float]:
+    """The values of these ranks (from 0) of a column without nulls, exactly.
+
+    Each pass counts the values between two bounds in ``bins`` steps and goes
+    on with the step that holds the rank, until that holds one value only.
+    Nothing is sorted, and the driver sees no more than ``bins`` rows a pass.
+    """
+    values = column.toDF("v")
+    first = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
+    found = []
+    for rank in ranks:
+        (low, high), before = first, 0
+        while low < high:
+            bucket = F.floor((F.col("v") - low) / (high - low) * bins)
+            counted = (values.where(F.col("v").between(low, high)).groupBy(bucket.alias("bucket"))
+                       .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+                       .collect())
+            for row in sorted(counted, key=lambda r: r["bucket"]):
+                if before + row["n"] > rank:
+                    low, high = row["low"], row["high"]
+                    break
+                before += row["n"]
+        found.append(low)
+    return found
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, prior: np.ndarray,
              strength: float, steps: int = 40) -> np.ndarray:
     """Weights of a logistic model by Newton steps, drawn to ``prior`` by a squared penalty."""

@@ -4,9 +4,9 @@ A document's score is linear in features of its whole text, and the chance
 that one document is preferred to another is the logistic function of the
 difference of their scores.  The weights are learned from preference pairs
 (a document labelled good against one labelled bad) by logistic loss on the
-feature differences.  The threshold is a quantile of the scores: the share
-of bad labels; scores are then mapped to 0..1 so that ``THRESHOLD`` lies
-there.
+feature differences.  The threshold is a quantile of the scores of all labelled
+documents that may be learned from: their share of bad labels; scores are
+then mapped to 0..1 so that ``THRESHOLD`` lies there.
 """
 
 from __future__ import annotations
@@ -14,13 +14,15 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from parley.llm.labelled import label_rate, labelled_sample, logistic, sigmoid
+from parley.llm.labelled import labelled_sample, logistic, sigmoid, usable_labels, values_at
 from parley.llm.words import small_batches
 
 THRESHOLD = 0.3
@@ -112,7 +114,7 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int =
 def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "quality",
           key: str = "doc_id", text: str = "text", ones: int = SAMPLE_GOOD,
           zeros: int = SAMPLE_BAD) -> Ranker:
-    """Ranker fitted on at most ``ones`` + ``zeros`` labelled documents.
+    """Ranker fitted on at most ``ones`` + ``zeros`` labelled documents, its threshold on all.
 
     Without documents of both classes all weights are zero, and every
     document scores ``THRESHOLD`` and is kept.
@@ -123,9 +125,25 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "qualit
     if not len(x[0]) or not len(x[1]):
         zero = np.zeros(len(FEATURES))
         return Ranker(zero, zero + 1, zero, 0.0, 1.0)
-    # the share of bad labels among these documents, not among all labels
-    share = 1 - (label_rate(docs, labels, label, keep, key) or 0.0)
-    return fit_pairs(x[1], x[0], min(0.99, max(0.001, share)))
+    ranker = fit_pairs(x[1], x[0], len(x[0]) / len(rows))
+    ranker.cut = _cut(docs, usable_labels(labels, label, keep, key), ranker, key, text)
+    return ranker
+
+
+def _cut(docs: DataFrame, usable: DataFrame, ranker: Ranker, key: str, text: str) -> float:
+    """The score under which as many of all labelled documents lie as are labelled bad.
+
+    Every row counts, also of repeated ids.  Texts are measured where they
+    are read; only ids and scores are joined to the labels.
+    """
+    ids = usable.select(F.col(key).cast("long").alias("doc_id"), "_label")
+    scores = (_scored(docs.where(F.col(key).isNotNull()), ranker.raw, key, text)
+              .join(ids, "doc_id").select("_label", "score").checkpoint())
+    n, good = scores.agg(F.count("*"), F.sum("_label")).first()
+    share = min(0.99, max(0.001, (n - good) / n))
+    at = min(max(int(share * n + 1e-6), 1), n - 1)
+    below, above = values_at(scores.select("score"), [at - 1, at])
+    return (below + above) / 2
 
 
 def _measured(docs: DataFrame, label: str) -> DataFrame:
@@ -143,11 +161,16 @@ def score(docs: DataFrame, ranker: Ranker, key: str = "doc_id", text: str = "tex
     Null and empty texts are scored with all features zero; repeated rows
     stay repeated; other columns are not read.
     """
+    return _scored(docs, ranker.score, key, text)
+
+
+def _scored(docs: DataFrame, measure: Callable[[np.ndarray], np.ndarray], key: str,
+            text: str) -> DataFrame:
     def run(batches):
         for batch in small_batches(batches, text):
             x = np.array([document_features(t) for t in batch.column(text).to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key).cast(pa.int64()), pa.array(ranker.score(x))], ["doc_id", "score"])
+                [batch.column(key).cast(pa.int64()), pa.array(measure(x))], ["doc_id", "score"])
     return docs.select(key, text).mapInArrow(run, "doc_id bigint, score double")
 
 

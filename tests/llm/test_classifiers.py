@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.llm import quality, toxicity
+from parley.llm.labelled import values_at
 from parley.llm.words import crc_mod
 
 
@@ -112,3 +113,24 @@ def test_pairwise_fit_prefers_the_better():
     assert (ranker.weights > 0).all()
     both = np.concatenate([ranker.score(good), ranker.score(bad)])
     assert abs((both < 0.3).mean() - 60 / 360) < 0.01        # the quantile
+
+
+def test_threshold_is_the_quantile_of_all_labelled_documents(labelled):
+    """Not of the sample that the weights are fitted on."""
+    docs, labels = labelled
+    keep = crc_mod("doc_id", 5) != 0
+    ranker = quality.learn(docs, labels, keep, ones=12, zeros=5)
+    usable = {r["doc_id"]: r["quality"] for r in labels.where(keep).collect()
+              if r["doc_id"] is not None and r["quality"] is not None}
+    scores = [(r["score"], usable[r["doc_id"]]) for r in quality.score(docs, ranker).collect()
+              if r["doc_id"] in usable]
+    assert sum(s < 0.3 for s, _ in scores) == sum(not y for _, y in scores) > 50
+
+
+def test_values_at_ranks(spark):
+    rnd = random.Random(4)
+    values = [rnd.choice([-1e9, 0.0, 1e-300, 5e-324, 3.5, rnd.gauss(0, 1)]) for _ in range(900)]
+    column = spark.createDataFrame([(v,) for v in values], "x double").repartition(5)
+    ranks = [0, 1, 150, 449, 450, 700, 898, 899]
+    assert values_at(column, ranks, bins=8) == [sorted(values)[r] for r in ranks]
+    assert values_at(column.where("x = 3.5"), [0]) == [3.5]
