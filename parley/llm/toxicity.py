@@ -13,12 +13,16 @@ an insult list alone has no weight of its own.
 Threat, target, negation and report words are fixed lists.  Insults are
 learned: word beginnings (a beginning is a path of the word transducer, so
 inflected and compounded forms follow it) that are far more frequent in
-documents labelled toxic.  Clause weights are a logistic fit around prior
+documents labelled toxic.  Those of many documents come first; then, in
+rounds, those of the toxic documents that the grammar so far misses, from
+four documents on, so that rare insults are not judged by the share of
+common ones.  Clause weights are a logistic fit around prior
 weights, so patterns that the labels do not show keep their prior.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -56,8 +60,9 @@ PRIOR_STRENGTH = 0.5
 THRESHOLD = 0.3
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 4500
 STEM_LENGTHS = range(3, 11)
-MAX_STEMS = 2000
-LEAST_SUPPORT, LEAST_RATIO = 0.025, 20
+LEAST_DOCS, LEAST_RATIO = 4, 20
+FIRST_SUPPORT = 0.025       # of the toxic documents, in the first round only
+LEAST_EVIDENCE = 15.1       # log-likelihood ratio: a chance of about 1 in 10,000
 
 
 # ---- transducers: state 0 is the start, a boundary is handled by the composition
@@ -195,11 +200,23 @@ def choose_stems(found: list[tuple[str, int]]) -> frozenset[str]:
     return frozenset(chosen)
 
 
-def _mine(sample: DataFrame, toxic: int, clean: int) -> frozenset[str]:
+def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
+    """Log-likelihood ratio of a stem's documents against an even spread over both classes."""
+    n, with_stem = all_toxic + all_clean, toxic + clean
+    cells = [(toxic, all_toxic, with_stem), (all_toxic - toxic, all_toxic, n - with_stem),
+             (clean, all_clean, with_stem), (all_clean - clean, all_clean, n - with_stem)]
+    return 2 * sum(x * math.log(x * n / (row * column)) for x, row, column in cells if x)
+
+
+def _mine(sample: DataFrame, toxic: int, clean: int,
+          missing: DataFrame | None = None) -> frozenset[str]:
     """Stems at least ``LEAST_RATIO`` times as frequent in toxic documents.
 
-    Support is at least ``LEAST_SUPPORT`` of the toxic documents (and 4); no
-    more than ``MAX_STEMS`` are looked at, those with the most support.
+    Support is at least ``FIRST_SUPPORT`` of the toxic documents (and
+    ``LEAST_DOCS``).  With ``missing``, toxic documents that a grammar does
+    not find, only their stems are looked at, and the floors are
+    ``LEAST_DOCS``, however many toxic documents there are, and
+    ``LEAST_EVIDENCE``.
     """
     def counted(batches):
         for batch in batches:
@@ -213,13 +230,17 @@ def _mine(sample: DataFrame, toxic: int, clean: int) -> frozenset[str]:
                  pa.array([n if label else 0 for (_, label), n in seen.items()], pa.int64()),
                  pa.array([0 if label else n for (_, label), n in seen.items()], pa.int64())],
                 ["stem", "toxic", "clean"])
-    least = max(4, LEAST_SUPPORT * toxic)
+    least = LEAST_DOCS if missing is not None else max(LEAST_DOCS, FIRST_SUPPORT * toxic)
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / (clean + 1))
-    found = (sample.mapInArrow(counted, "stem string, toxic bigint, clean bigint")
+    schema = "stem string, toxic bigint, clean bigint"
+    found = (sample.mapInArrow(counted, schema)
              .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-             .where((F.col("toxic") >= least) & (ratio >= LEAST_RATIO))
-             .orderBy(F.desc("toxic"), F.length("stem"), "stem").limit(MAX_STEMS).collect())
-    return choose_stems([(r["stem"], r["toxic"]) for r in found])
+             .where((F.col("toxic") >= least) & (ratio >= LEAST_RATIO)))
+    if missing is not None:
+        found = found.join(missing.mapInArrow(counted, schema).select("stem"), "stem", "left_semi")
+    return choose_stems([
+        (r["stem"], r["toxic"]) for r in found.collect()
+        if missing is None or _evidence(r["toxic"], r["clean"], toxic, clean) >= LEAST_EVIDENCE])
 
 
 def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic",
@@ -235,13 +256,29 @@ def learn(docs: DataFrame, labels: DataFrame, keep: Column, label: str = "toxic"
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic:
         return Grammar(frozenset(), PRIOR)
-    grammar = Grammar(_mine(sample, toxic, clean), PRIOR)
-    rows = _counted(sample, grammar, "_label int, counts array<int>", ["_label"]).collect()
+    rate = label_rate(docs, labels, label, keep, key) or 0.1
+    stems = _mine(sample, toxic, clean)
+    while True:
+        grammar = _fit(sample, stems, rate)
+        missing = reject(sample.where("_label = 1"), grammar)
+        if missing.isEmpty():
+            return grammar
+        more = _mine(sample, toxic, clean, missing)
+        if more <= stems:
+            return grammar
+        stems |= more
+
+
+def _fit(sample: DataFrame, stems: frozenset[str], rate: float) -> Grammar:
+    """The clause weights for these insults; each class weighs as in ``rate``."""
+    rows = _counted(sample, Grammar(stems, PRIOR), "_label int, counts array<int>",
+                    ["_label"]).collect()
     y = np.array([r["_label"] for r in rows], float)
     counts = np.array([r["counts"] for r in rows], float)
-    rate = label_rate(docs, labels, label, keep, key) or 0.1
-    weight = np.where(y == 1, rate * len(y) / max(1, toxic), (1 - rate) * len(y) / max(1, clean))
-    return Grammar(grammar.stems, logistic(features(counts), y, weight, PRIOR, PRIOR_STRENGTH))
+    toxic = y.sum()
+    weight = np.where(y == 1, rate * len(y) / max(1, toxic),
+                      (1 - rate) * len(y) / max(1, len(y) - toxic))
+    return Grammar(stems, logistic(features(counts), y, weight, PRIOR, PRIOR_STRENGTH))
 
 
 def _counted(docs: DataFrame, grammar: Grammar, schema: str, keys: list[str],

@@ -134,3 +134,15 @@ def test_values_at_ranks(spark):
     ranks = [0, 1, 150, 449, 450, 700, 898, 899]
     assert values_at(column, ranks, bins=8) == [sorted(values)[r] for r in ranks]
     assert values_at(column.where("x = 3.5"), [0]) == [3.5]
+
+
+def test_insults_of_few_toxic_documents_are_learned(spark):
+    """However many toxic documents hold another insult."""
+    rnd = random.Random(11)
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ru", "ta") for b in ("n", "s", "r", "lin", "dor")]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(30)) + end, toxic) for i, (end, toxic) in
+            enumerate([(". you blarg", 1)] * 400 + [(". du zworf", 1)] * 6 + [(". you du", 0)] * 1200)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    grammar = toxicity.learn(table.drop("toxic"), table.drop("text"), F.lit(True))
+    assert grammar.stems == {"blarg$", "zworf$"}
+    assert toxicity.reject(table, grammar).where("toxic = 1").count() == 0
