@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 from parley.config import SizeLimits
 from parley.functions import text as tfn
 from parley.functions import wav as wfn

@@ -3,7 +3,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF_SMALL
+from testdata import SF_SMALL
 
 
 def test_lost_worker_is_retried_with_identical_results():

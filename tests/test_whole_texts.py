@@ -13,7 +13,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from conftest import SF
+from testdata import SF
 from parley.config import ChunkSpec, SizeLimits
 from parley.operators import chunking, inference, reassemble, reports
 from parley.plans import catalog, pipeline, stand_ins
