@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import (bpe, chat, hnsw, iblt, ngrams, packing, quality, simhash, substring,
-                        toxicity)
+from parley.llm import (bpe, chat, contamination, hnsw, iblt, ngrams, packing, quality, runs,
+                        simhash, simplex, substring, toxicity)
 from parley.llm.words import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,108 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_ngram_trie")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngrams.score_texts(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
+@register("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(runs.echo_tails(docs))
+    best = runs.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"_best.{name}").alias(name) for name in ("start", "length", "period")),
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept_text", 256).alias("collapsed_sha256"))
+
+
+WORDS_SQL = ("regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+@register("op12_benchmark_overlaps", f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce({WORDS_SQL}, []) AS words FROM documents),
+items AS (
+    SELECT item_id, {WORDS_SQL} AS words FROM benchmark WHERE text IS NOT NULL),
+cuts AS (
+    SELECT item_id, least(len(words), 10) AS n, words,
+           unnest(range(1, len(words) - least(len(words), 10) + 2)) AS b
+    FROM items WHERE len(words) > 0),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(list_slice(words, b, b + n - 1), ' ') AS piece FROM cuts),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+    SELECT rid, n, words, unnest(range(1, len(words) - n + 2)) AS b
+    FROM docs, sizes WHERE len(words) >= n),
+found AS (
+    SELECT p.rid, p.n, p.b, w.item_id
+    FROM (SELECT rid, n, b, array_to_string(list_slice(words, b, b + n - 1), ' ') AS piece FROM places) p
+    JOIN windows w ON w.n = p.n AND w.piece = p.piece),
+hit AS (
+    SELECT rid, count(DISTINCT word) AS n_hit
+    FROM (SELECT rid, unnest(range(b, b + n)) AS word FROM (SELECT DISTINCT rid, n, b FROM found))
+    GROUP BY rid),
+named AS (
+    SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL)
+    GROUP BY rid)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination.find_overlaps(docs, read(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"),
+                        F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (n_hit > 0).alias("contaminated"))
+
+
+def _cluster_sql(rounds: int, clusters: int) -> str:
+    """Assignment and update rounds, one after the other, over components as rows."""
+    steps = [f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+    WHERE len(embedding) = {simplex.DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NULL
+          OR isnan(x) OR isinf(x))) = 0),
+points AS MATERIALIZED (
+    SELECT rid, i, CAST(floor({simplex.SCALE} * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT rid, embedding, unnest(range(1, {simplex.DIMENSIONS + 1})) AS i FROM kept)),
+seeds AS (
+    SELECT rid, row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR))) - 1 AS k
+    FROM kept QUALIFY k < {clusters}),
+centres0 AS MATERIALIZED (SELECT k, i, x FROM seeds JOIN points USING (rid))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+    SELECT rid, arg_min(k, d * {clusters} + k) AS k, min(d) AS d
+    FROM (SELECT p.rid, c.k, sum((p.x - c.x) * (p.x - c.x)) AS d
+          FROM points p JOIN centres{r} c ON p.i = c.i GROUP BY p.rid, c.k) GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""
+sums{r} AS (SELECT n.k, p.i, sum(p.x) AS s, count(*) AS n
+            FROM near{r} n JOIN points p ON n.rid = p.rid GROUP BY n.k, p.i),
+centres{r + 1} AS MATERIALIZED (
+    SELECT c.k, c.i, CASE WHEN s.n IS NULL THEN c.x
+           ELSE CAST((s.s - (s.s % s.n + s.n) % s.n) // s.n AS BIGINT) END AS x
+    FROM centres{r} c LEFT JOIN sums{r} s ON c.k = s.k AND c.i = s.i)""")
+    return ",".join(steps) + f"""
+SELECT v.vec_id, CAST(n.k AS INTEGER) AS cluster, CAST(n.d AS BIGINT) AS distance,
+       CAST(sum(n.d) OVER (PARTITION BY n.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(n.d) OVER () AS BIGINT) AS inertia, h.centroid_sha256
+FROM near{rounds} n JOIN kept v ON n.rid = v.rid JOIN (
+    SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256
+    FROM centres{rounds} GROUP BY k) h ON h.k = n.k"""
+
+
+@register("op13_simplex_clusters", _cluster_sql(simplex.ROUNDS, simplex.CLUSTERS))
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simplex.with_inertia(*simplex.cluster_vectors(read(spark, sf_dir, "embeddings")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        "centroid_sha256")
