@@ -3,14 +3,18 @@
 Discovery is Spark's ``binaryFile`` source: a recursive listing filtered by
 a case-sensitive glob, with the ``content`` column pruned unless asked for.
 Decoding and resampling need a codec, so they are the one Python step
-(``mapInPandas`` over Arrow batches bounded in bytes); slicing chunks and
-writing WAV headers are column expressions.
+(``mapInArrow`` over batches bounded in bytes); slicing chunks and writing
+WAV headers are column expressions.  Recordings larger than a row are read
+in ranges by :func:`read_wav_chunks`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +22,7 @@ from pyspark.sql import types as T
 from parley import config
 from parley.config import ChunkSpec
 from parley.functions import paths, wav
+from parley.functions.resample import Resampler
 from parley.operators import chunking
 
 BYTES_PER_MS = config.TARGET_SAMPLE_RATE * 2 // 1000   # PCM16 mono at 16 kHz
@@ -77,17 +82,6 @@ _BLOCK_FRAMES = 1 << 16
 _PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
 
 
-def _chunks_of(data: memoryview):
-    """(id, body) of the RIFF chunks; a cut-off last body is as long as it is."""
-    if len(data) < 12 or bytes(data[:4]) != b"RIFF" or bytes(data[8:12]) != b"WAVE":
-        raise ValueError("not a RIFF WAVE file")
-    at = 12
-    while at + 8 <= len(data):
-        size = int.from_bytes(data[at + 4:at + 8], "little")
-        yield bytes(data[at:at + 4]), data[at + 8:at + 8 + size]
-        at += 8 + size + size % 2
-
-
 def _decoder(kind: int, width: int):
     """Frames' bytes to floats: 8 to 32-bit PCM, 32 and 64-bit float."""
     if kind == _FLOAT and width in (4, 8):
@@ -106,26 +100,46 @@ def _decoder(kind: int, width: int):
     return lambda raw: np.frombuffer(raw, f"<i{width}") / 2.0 ** (8 * width - 1)
 
 
-def decode_normalize(data: bytes, path: str, target_rate: int = config.TARGET_SAMPLE_RATE):
-    """WAV bytes -> (rate, channels, duration s, length ms, PCM16 mono bytes).
+class Layout(NamedTuple):
+    """Where and how a WAV file holds its samples."""
+
+    rate: int
+    channels: int
+    frame: int                    # bytes of a frame
+    begin: int                    # of the first frame
+    frames: int
+    decode: Callable[[bytes], np.ndarray]
+
+    def mono(self, raw) -> np.ndarray:
+        """Floats in [-1, 1) of whole frames, the channels averaged."""
+        return self.decode(raw).reshape(-1, self.channels).mean(axis=1)
 
-    Channels are averaged, then resampled by linear interpolation to
-    ``target_rate``, in blocks of frames: beside the file and its result only
-    one block is held.  Positions are whole multiples of 1 / target_rate
-    input frames, so samples that fall on input samples are exact.  MP3
-    needs a codec that is not available: such files fail with an error
-    message instead of stopping the job.
+
+def wav_layout(read: Callable[[int, int], bytes], size: int, path: str) -> Layout:
+    """The layout of a WAV file of ``size`` bytes; ``read(at, n)`` gives some of them.
+
+    Only chunk headers and the format are read.  A data chunk whose size
+    does not fit its 32 bits (RF64) or that is cut off goes to the file's end.
     """
     if path.endswith(".mp3"):
         raise ValueError("MP3 decoding is not available; convert to WAV first")
-    body = layout = None
-    for name, chunk in _chunks_of(memoryview(data)):
+    head = bytes(read(0, 12))
+    if len(head) < 12 or head[:4] not in (b"RIFF", b"RF64") or head[8:12] != b"WAVE":
+        raise ValueError("not a RIFF WAVE file")
+    at, layout = 12, None
+    while at + 8 <= size:
+        name_size = bytes(read(at, 8))
+        name, length = name_size[:4], int.from_bytes(name_size[4:], "little")
+        at += 8
         if name == b"fmt ":
-            layout = chunk
+            layout = bytes(read(at, min(length, 40)))
         elif name == b"data":
-            body = chunk
+            length = min(length, size - at)
             break
-    if layout is None or len(layout) < 16 or body is None:
+        at += length + length % 2
+    else:
+        layout = None
+    if layout is None or len(layout) < 16:
         raise ValueError("WAV file without format or data")
     kind, channels, rate = (int.from_bytes(layout[a:b], "little") for a, b in ((0, 2), (2, 4), (4, 8)))
     bits = int.from_bytes(layout[14:16], "little")
@@ -137,12 +151,16 @@ def decode_normalize(data: bytes, path: str, target_rate: int = config.TARGET_SA
     if not channels or not rate:
         raise ValueError("WAV file without channels or rate")
     decode, frame = _decoder(kind, width), width * channels
-    n = len(body) // frame
+    return Layout(rate, channels, frame, at, length // frame, decode)
+
+
+def _linear(samples: Callable[[int, int], np.ndarray], n: int, rate: int, target_rate: int) -> bytes:
+    """All outputs by linear interpolation, in blocks of frames."""
     n_out = int(round(n * target_rate / rate))
     pcm, done, last = bytearray(), 0, np.empty(0)
     for begin in range(0, n, _BLOCK_FRAMES):
         end = min(begin + _BLOCK_FRAMES, n)
-        block = decode(body[begin * frame:end * frame]).reshape(-1, channels).mean(axis=1)
+        block = samples(begin, end)
         block, begin = np.concatenate([last, block]), begin - len(last)
         # outputs whose right neighbour is here; the last block gives all that are left
         stop = n_out if end == n else min(n_out, -(-(end - 1) * target_rate // rate))
@@ -154,38 +172,91 @@ def decode_normalize(data: bytes, path: str, target_rate: int = config.TARGET_SA
         x = low + (block[right - begin] - low) * np.where(right > left, share, 0)
         pcm += np.clip(np.round(x * 32768.0), -32768, 32767).astype("<i2").tobytes()
         done, last = max(done, stop), block[-1:]
-    duration = n_out / target_rate
-    return rate, channels, duration, int(round(duration * 1000)), bytes(pcm)
+    return bytes(pcm)
+
+
+def decode_normalize(data: bytes, path: str, target_rate: int = config.TARGET_SAMPLE_RATE,
+                     method: str = "linear"):
+    """WAV bytes -> (rate, channels, duration s, length ms, PCM16 mono bytes).
+
+    Channels are averaged, then resampled to ``target_rate`` in blocks of
+    frames: beside the file and its result only one block is held.
+    ``method`` "sinc" filters out what the new rate cannot hold (see
+    :mod:`parley.functions.resample`); "linear" interpolates between
+    neighbours, exact where an output falls on an input sample.  MP3 needs a
+    codec that is not available: such files fail with an error message
+    instead of stopping the job.
+    """
+    view = memoryview(data)
+    layout = wav_layout(lambda at, n: view[at:at + n], len(view), path)
+
+    def samples(a: int, b: int) -> np.ndarray:
+        return layout.mono(view[layout.begin + a * layout.frame:layout.begin + b * layout.frame])
+    if method == "linear":
+        pcm = _linear(samples, layout.frames, layout.rate, target_rate)
+    elif method == "sinc":
+        filtered = Resampler(layout.rate, target_rate)
+        pcm = filtered.pcm16(samples, layout.frames, 0, filtered.length(layout.frames)).tobytes()
+    else:
+        raise ValueError(f"unknown resampling method {method}")
+    duration = len(pcm) // 2 / target_rate
+    return layout.rate, layout.channels, duration, int(round(duration * 1000)), pcm
 
 
 def normalize_audio(files: DataFrame, content_col: str = "content",
                     target_rate: int = config.TARGET_SAMPLE_RATE,
-                    error_chars: int = config.PREPROCESS_ERROR_CHARS) -> DataFrame:
+                    error_chars: int = config.PREPROCESS_ERROR_CHARS,
+                    method: str = "linear") -> DataFrame:
     """Per file: 16 kHz mono PCM16, duration, length in ms; a file that
-    cannot be decoded yields a row with ``error_message`` (job continues)."""
+    cannot be decoded yields a row with ``error_message`` (job continues).
+
+    A file is one row here.  :func:`read_wav_chunks` reads recordings of any
+    size.  Metadata columns pass through as Arrow columns, nulls included.
+    """
 
     keep = [f for f in files.schema.fields if f.name != content_col]
     extra = [f for f in NORMALIZED_SCHEMA.fields if f.name != "path"]
     out_schema = T.StructType(keep + extra)
     names = [f.name for f in extra]
+    kinds = [pa.int32(), pa.int32(), pa.float64(), pa.int64(), pa.binary(), pa.string()]
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for p, data in zip(pdf["path"], pdf[content_col], strict=True):
+        for batch in batches:
+            for at in range(batch.num_rows):          # one recording's bytes at a time
+                one = batch.slice(at, 1)
+                data, path = one.column(content_col)[0].as_buffer(), one.column("path")[0].as_py()
                 try:
                     if data is None:
                         raise ValueError("file is larger than one row can hold")
-                    rate, ch, dur, ms, pcm = decode_normalize(bytes(data), p, target_rate)
-                    rows.append((rate, ch, dur, ms, pcm, None))
+                    row = (*decode_normalize(data, path or "", target_rate, method), None)
                 except Exception as e:  # row-level capture
-                    rows.append((None, None, None, None, None, str(e)[:error_chars]))
-            res = pd.DataFrame(rows, columns=names, index=pdf.index).astype(
-                {"source_rate": "Int32", "source_channels": "Int32", "length_ms": "Int64"})
-            yield pd.concat([pdf.drop(columns=[content_col]), res], axis=1)
+                    row = (None, None, None, None, None, str(e)[:error_chars])
+                yield pa.RecordBatch.from_arrays(
+                    [*(one.column(f.name) for f in keep),
+                     *(pa.array([v], k) for v, k in zip(row, kinds, strict=True))],
+                    [f.name for f in keep] + names)
 
     # Metadata columns pass through the Python step: no join back.
-    return files.mapInPandas(run, out_schema)
+    return files.mapInArrow(run, out_schema)
+
+
+def read_wav_chunks(spark: SparkSession, root: str, spec: ChunkSpec = ChunkSpec(),
+                    glob: str = config.AUDIO_GLOB, split_bytes: int = 128 << 20) -> DataFrame:
+    """The chunks of all recordings under ``root``, however large they are.
+
+    The rows of ``audio_chunks(normalize_audio(read_audio(...), method="sinc"))``,
+    but a recording never is a row: tasks read byte ranges of about
+    ``split_bytes`` (see :mod:`parley.sources.wav_ranges`).  A file that
+    cannot be read or decoded gives one row with ``error_message`` and null
+    chunk columns.
+    """
+    from parley.sources.wav_ranges import WavChunks
+    spark.dataSource.register(WavChunks)
+    chunks = (spark.read.format(WavChunks.name()).option("glob", glob)
+              .option("maxLen", spec.max_len).option("overlap", spec.overlap)
+              .option("dropEmpty", str(spec.drop_empty).lower()).option("splitBytes", split_bytes)
+              .load(root))
+    return chunks.transform(paths.with_path_parts)
 
 
 def audio_chunks(normalized: DataFrame, spec: ChunkSpec = ChunkSpec()) -> DataFrame:
