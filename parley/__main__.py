@@ -1,6 +1,7 @@
 """Command line: the pipeline stages as jobs.
 
     python -m parley preprocess-audio --root /data/calls --run-id 20240101
+    python -m parley preprocess-calls --conversations /data/calls.parquet --run-id 20240101
     python -m parley transcribe --payloads calls.chunk_payloads_20240101 \
         --endpoint https://host/serving/asr --token-env ASR_TOKEN --run-id 20240101
     python -m parley merge --results calls.transcription_results_20240101 \
@@ -37,6 +38,14 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--chunk-ms", type=int, default=300_000)
     a.add_argument("--overlap-ms", type=int, default=1_500)
 
+    a.add_argument("--split-bytes", type=int, default=128 << 20, help="bytes of audio a task reads")
+    a.add_argument("--chunk-root", help="also write every chunk as a file under this folder")
+
+    c = sub.add_parser("preprocess-calls", help="list the turns of recorded calls as chunks")
+    c.add_argument("--conversations", required=True, help="Parquet path of the calls")
+    c.add_argument("--run-id", required=True)
+    c.add_argument("--schema", default="calls")
+
     t = sub.add_parser("transcribe", help="send chunks to a speech endpoint, reassemble per file")
     t.add_argument("--payloads", required=True)
     t.add_argument("--endpoint", required=True)
@@ -46,6 +55,11 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--timeout", type=float, default=300.0)
     t.add_argument("--parallelism", type=int)
     t.add_argument("--concurrency", type=int, default=1)
+    t.add_argument("--text", action="store_true", help="the chunks are turns of recorded calls")
+    t.add_argument("--throttle", metavar="FOLDER",
+                   help="keep to the rate limit and retry, with this shared folder for the state")
+    t.add_argument("--calls-per-minute", type=int, default=1000)
+    t.add_argument("--attempts", type=int, default=5)
 
     m = sub.add_parser("merge", help="upsert stage results into the transcripts table")
     m.add_argument("--results", required=True)
@@ -77,14 +91,29 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     if args.cmd == "preprocess-audio":
         meta, payloads = pipeline.run_preprocess_audio(
             spark, args.root, args.run_id, spec=ChunkSpec(args.chunk_ms, args.overlap_ms),
-            max_files=args.max_files, schema=args.schema)
+            max_files=args.max_files, schema=args.schema, split_bytes=args.split_bytes,
+            chunk_root=args.chunk_root)
         print(f"metadata: {meta}\npayloads: {payloads}")
+    elif args.cmd == "preprocess-calls":
+        calls = spark.read.parquet(args.conversations)
+        print(f"chunks: {pipeline.run_preprocess_calls(spark, calls, args.run_id, args.schema)}")
     elif args.cmd == "transcribe":
         token = os.environ.get(args.token_env) if args.token_env else None
         client = inference.HttpEndpointClient(args.endpoint, token, args.timeout)
-        name = pipeline.run_transcribe_audio(spark, args.payloads, client, args.run_id, run_ts=now,
-                                             schema=args.schema, parallelism=args.parallelism,
-                                             concurrency=args.concurrency)
+        if args.text:
+            name = pipeline.run_transcribe(spark, args.payloads, client, args.run_id, run_ts=now,
+                                           schema=args.schema, parallelism=args.parallelism)
+        elif args.throttle:
+            from parley.streaming.throttle import SendLimits
+            name = pipeline.run_transcribe_throttled(
+                spark, args.payloads, client, args.run_id, args.throttle, run_ts=now,
+                send=SendLimits(calls=args.calls_per_minute, attempts=args.attempts,
+                                lanes=min(16, args.calls_per_minute)),
+                schema=args.schema, concurrency=args.concurrency)
+        else:
+            name = pipeline.run_transcribe_audio(spark, args.payloads, client, args.run_id, run_ts=now,
+                                                 schema=args.schema, parallelism=args.parallelism,
+                                                 concurrency=args.concurrency)
         print(f"results: {name}")
     elif args.cmd == "merge":
         pipeline.run_merge(spark, args.results, args.target, ingestion_ts=now,

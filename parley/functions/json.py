@@ -133,20 +133,22 @@ def malformed_response(body: str | Column) -> Column:
              .when(bad, F.lit(f"{config.EXCEPTION_PREFIX}malformed response envelope")))
 
 
-def endpoint_error(status: str | Column, body: str | Column) -> Column:
+def endpoint_error(status: str | Column, body: str | Column, whole: bool = False) -> Column:
     """``ENDPOINT_ERROR: {code} - {message[:100]}`` for a non-200 response.
 
     A JSON object body gives ``error_code`` (default ``UNKNOWN``) and
     ``message`` (default the body's first 200 chars); any other body gives
-    ``HTTP_{status}`` and the body's first 200 chars.
+    ``HTTP_{status}`` and the body's first 200 chars.  ``whole`` cuts nothing.
     """
     s, b = _col(status), _col(body)
     is_obj = F.json_object_keys(b).isNotNull()
-    head = F.left(F.coalesce(b, F.lit("")), F.lit(config.ENDPOINT_BODY_CHARS))
+    head = F.coalesce(b, F.lit(""))
+    if not whole:
+        head = F.left(head, F.lit(config.ENDPOINT_BODY_CHARS))
     code = F.when(is_obj, F.coalesce(F.get_json_object(b, f"$.{config.ERROR_CODE_FIELD}"),
                                       F.lit(config.UNKNOWN_ERROR_CODE))) \
             .otherwise(F.concat(F.lit(config.HTTP_CODE_PREFIX), s.cast("string")))
     msg = F.when(is_obj, F.coalesce(F.get_json_object(b, f"$.{config.MESSAGE_FIELD}"), head)) \
            .otherwise(head)
     return F.concat(F.lit(config.ENDPOINT_ERROR_PREFIX), code, F.lit(config.ENDPOINT_ERROR_SEPARATOR),
-                    F.left(msg, F.lit(config.ENDPOINT_MESSAGE_CHARS)))
+                    msg if whole else F.left(msg, F.lit(config.ENDPOINT_MESSAGE_CHARS)))

@@ -1,6 +1,6 @@
 """Batch inference over chunks with per-row error capture.
 
-Plan: size guard (JVM columns) -> one ``mapInPandas`` that calls the
+Plan: size guard (JVM columns) -> one ``mapInArrow`` that calls the
 injected client only for rows the guard let through -> response decoding
 (JVM columns).  The Python step is just the remote call; everything else
 stays in whole-stage codegen.  Work is parallel per chunk, not per file.
@@ -13,7 +13,7 @@ import json
 from collections.abc import Callable
 from datetime import datetime
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,34 +92,36 @@ class HttpEndpointClient:
 # --------------------------------------------------------------------------
 # the operator
 # --------------------------------------------------------------------------
-def _call_one(client: Client, payload, exception_chars: int) -> tuple[int, str]:
+def _call_one(client: Client, payload) -> tuple[int, str]:
     try:
         s, b = client(payload)
         return int(s), b
     except Exception as e:  # row-level capture: job continues
-        return STATUS_EXCEPTION, f"{config.EXCEPTION_PREFIX}{str(e)[:exception_chars]}"
+        return STATUS_EXCEPTION, f"{config.EXCEPTION_PREFIX}{e}"
 
 
-def _call_partition(client: Client, payload_col: str, guard_col: str,
-                    exception_chars: int, return_payload: bool, concurrency: int):
+def _call_partition(client: Client, payload_col: str, guard_col: str, returned: list[str],
+                    concurrency: int):
     def run(batches):
         pool = None
         if concurrency > 1:
             from concurrent.futures import ThreadPoolExecutor
             pool = ThreadPoolExecutor(max_workers=concurrency)
         try:
-            for pdf in batches:
-                status = pd.array([pd.NA] * len(pdf), dtype="Int32")
-                body: list[str | None] = [None] * len(pdf)
-                todo = [(i, p) for i, (p, g) in enumerate(zip(pdf[payload_col].tolist(),
-                                                               pdf[guard_col].tolist()))
-                        if g is None and p is not None]
-                calls = (pool.map(lambda ip: _call_one(client, ip[1], exception_chars), todo)
-                         if pool else (_call_one(client, p, exception_chars) for _, p in todo))
-                for (i, _), (s, b) in zip(todo, calls):
+            for batch in batches:
+                status: list[int | None] = [None] * batch.num_rows
+                body: list[str | None] = [None] * batch.num_rows
+                guards = batch.column(guard_col).to_pylist()
+                todo = [(i, p.as_py()) for i, p in enumerate(batch.column(payload_col))
+                        if guards[i] is None and p.is_valid]
+                calls = (pool.map(lambda ip: _call_one(client, ip[1]), todo) if pool
+                         else (_call_one(client, p) for _, p in todo))
+                for (i, _), (s, b) in zip(todo, calls, strict=True):
                     status[i], body[i] = s, b
-                out = pdf if return_payload else pdf.drop(columns=[payload_col])
-                yield out.assign(_status=status, _body=body)
+                # Arrow columns pass through as they are, nulls beside large ids too
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in returned), pa.array(status, pa.int32()),
+                     pa.array(body, pa.string())], [*returned, "_status", "_body"])
         finally:
             if pool:
                 pool.shutdown(wait=True)
@@ -133,7 +135,7 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
                  size_col: str | None = None, idx_col: str = "chunk_idx",
                  n_col: str | None = "num_chunks", limits: SizeLimits = SizeLimits(),
                  keep_payload: bool = False, parallelism: int | None = None,
-                 concurrency: int = 1,
+                 concurrency: int = 1, full_errors: bool = False,
                  exception_chars: int = config.PREPROCESS_ERROR_CHARS) -> DataFrame:
     """Call ``client`` once per chunk that passes the size guard.
 
@@ -143,6 +145,7 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     response whose transcription is JSON null, or that cannot be decoded,
     counts as a failed chunk, and so does a chunk without a payload.
     ``n_col`` None leaves the chunk count in guard messages open.
+    ``full_errors`` adds ``chunk_error_full``, the same messages uncut.
     Filters placed before this operator are applied before any call;
     Catalyst cannot push them through the Python step.
 
@@ -166,36 +169,46 @@ def infer_chunks(chunks: DataFrame, client: Client, *, payload_col: str = "paylo
     out_schema = T.StructType(passed + [
         T.StructField("_status", T.IntegerType(), True),
         T.StructField("_body", T.StringType(), True)])
-    called = guarded.mapInPandas(
-        _call_partition(client, payload_col, "_guard", exception_chars, keep_payload, concurrency),
+    called = guarded.mapInArrow(
+        _call_partition(client, payload_col, "_guard", [f.name for f in passed], concurrency),
         out_schema)
     ok = F.col("_status") == F.lit(200)
     parsed = F.col("_resp")
     decoded = jfn.transcription_of(parsed)
     text = F.when(ok & F.col("_malformed").isNull(), decoded)
-    err = (F.when(F.col("_guard").isNotNull(), F.col("_guard"))
-            .when(F.col("_status") == F.lit(STATUS_EXCEPTION), F.col("_body"))
-            .when(~ok, jfn.endpoint_error("_status", "_body"))
-            .when(F.col("_malformed").isNotNull(), F.col("_malformed"))
-            .when(jfn.has_envelope(parsed) & decoded.isNull(),
-                  F.concat(F.lit(f"{config.ENDPOINT_ERROR_PREFIX}{MODEL_ERROR_CODE}"
-                                 f"{config.ENDPOINT_ERROR_SEPARATOR}"),
-                           F.left(F.coalesce(jfn.model_error_of(parsed), F.lit("null transcription")),
-                                  F.lit(config.ENDPOINT_MESSAGE_CHARS)))))
+
+    def error(whole: bool) -> Column:
+        def cut(message: Column, chars: int) -> Column:
+            return message if whole else F.left(message, F.lit(chars))
+        model = F.coalesce(jfn.model_error_of(parsed), F.lit("null transcription"))
+        return (F.when(F.col("_guard").isNotNull(), F.col("_guard"))
+                .when(F.col("_status") == F.lit(STATUS_EXCEPTION),
+                      cut(F.col("_body"), len(config.EXCEPTION_PREFIX) + exception_chars))
+                .when(~ok, jfn.endpoint_error("_status", "_body", whole))
+                .when(F.col("_malformed").isNotNull(), F.col("_malformed"))
+                .when(jfn.has_envelope(parsed) & decoded.isNull(),
+                      F.concat(F.lit(f"{config.ENDPOINT_ERROR_PREFIX}{MODEL_ERROR_CODE}"
+                                     f"{config.ENDPOINT_ERROR_SEPARATOR}"),
+                               cut(model, config.ENDPOINT_MESSAGE_CHARS))))
+    errors = {"chunk_error": error(False)} | ({"chunk_error_full": error(True)} if full_errors else {})
     # Parse each 200 body once; every field below reads the parsed value.
     called = called.withColumns({"_resp": F.when(ok, jfn.parse_response("_body")),
                                  "_malformed": F.when(ok, jfn.malformed_response("_body"))})
-    out = (called.withColumns({"status": F.col("_status"), "chunk_text": text, "chunk_error": err})
+    out = (called.withColumns({"status": F.col("_status"), "chunk_text": text, **errors})
                  .drop("_status", "_body", "_guard", "_resp", "_malformed"))
     return out
 
 
 def request_log(inferred: DataFrame, run_ts: datetime | Column, key_cols=("file_id",)) -> DataFrame:
-    """One log row per chunk: what an inference table records."""
+    """One log row per chunk: what an inference table records.
+
+    Where the answers hold whole messages (``full_errors``), the log does too.
+    """
+    message = [F.col("chunk_error_full").alias("error")] if "chunk_error_full" in inferred.columns else []
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
     outcome = (F.when(F.col("status").isNull(), F.lit("blocked"))
                 .when(F.col("status") == F.lit(STATUS_EXCEPTION), F.lit("exception"))
                 .when(F.col("chunk_error").isNotNull(), F.lit("failed"))
                 .otherwise(F.lit("ok")))
     return inferred.select(ts.alias("request_ts"), *key_cols, "chunk_idx", "status",
-                           "request_bytes", outcome.alias("outcome"))
+                           "request_bytes", outcome.alias("outcome"), *message)

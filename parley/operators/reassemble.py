@@ -43,7 +43,7 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
                text_col: str = "chunk_text", error_col: str = "chunk_error",
                sums: list[str] = (), firsts: list[str] = (),
                fanout: int | None = DEFAULT_FANOUT, block_col: str | None = None,
-               blocks_only: bool = False, full_errors: bool = False,
+               blocks_only: bool = False, full_errors: bool = False, full_col: str | None = None,
                text_sep: str = config.TEXT_SEPARATOR, error_sep: str = config.ERROR_SEPARATOR,
                error_chars: int = config.FILE_ERROR_CHARS) -> DataFrame:
     """Group chunks by ``keys``; adds ``num_chunks, transcription_text,
@@ -54,7 +54,8 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
 
     Errors whose chunk count is still open (:data:`inference.COUNT_MARK`) get
     it here, where it is known.  ``full_errors`` adds ``error_full``, the
-    joined errors without the cut.
+    joined errors without the cut; ``full_col`` names a column of uncut chunk
+    messages to take for it.
 
     ``blocks_only`` stops after the first level and returns one ordered row
     per ``(key, block)`` (``first_chunk``, ``num_chunks``, text, error): for
@@ -68,6 +69,7 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
             F.min(order).alias("first_chunk"), F.count(F.lit(1)).cast("int").alias("num_chunks"),
             _ordered_join(order, text, text_sep).alias("transcription_text"),
             _ordered_join(order, err, error_sep).alias("error_message"),
+            *([_ordered_join(order, F.col(full_col), error_sep).alias("error_whole")] if full_col else []),
             *[F.sum(c).alias(f"sum_{c}") for c in sums],
             *[F.min(c).alias(c) for c in firsts]).drop("_block")
         if blocks_only:
@@ -77,6 +79,7 @@ def reassemble(chunks: DataFrame, keys: list[str], *, order_col: str = "chunk_id
     aggs = [F.count(F.lit(1)).cast("int").alias("num_chunks"),
             _ordered_join(order, text, text_sep).alias("transcription_text"),
             _ordered_join(order, err, error_sep).alias("error_full"),
+            *([_ordered_join(order, F.col(full_col), error_sep).alias("error_whole")] if full_col else []),
             *[F.sum(c).alias(f"sum_{c}") for c in sums],
             *[F.min(c).alias(c) for c in firsts]]
     return _finish(chunks.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
@@ -91,6 +94,8 @@ def join_blocks(blocks: DataFrame, keys: list[str], *, sums: list[str] = (), fir
     aggs = [F.sum("num_chunks").cast("int").alias("num_chunks"),
             _ordered_join(first, F.col("transcription_text"), text_sep).alias("transcription_text"),
             _ordered_join(first, F.col("error_message"), error_sep).alias("error_full"),
+            *([_ordered_join(first, F.col("error_whole"), error_sep).alias("error_whole")]
+              if "error_whole" in blocks.columns else []),
             *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in sums],
             *[F.min(c).alias(c) for c in firsts]]
     return _finish(blocks.groupBy(*keys).agg(*aggs), keys, error_chars, full_errors)
@@ -98,11 +103,14 @@ def join_blocks(blocks: DataFrame, keys: list[str], *, sums: list[str] = (), fir
 
 def _finish(merged: DataFrame, keys: list[str], error_chars: int, full_errors: bool) -> DataFrame:
     """Fill in open chunk counts, cut the displayed message, order the columns."""
-    full = F.replace(F.col("error_full"), F.lit(COUNT_MARK), F.col("num_chunks").cast("string"))
+    def counted(name: str) -> Column:
+        return F.replace(F.col(name), F.lit(COUNT_MARK), F.col("num_chunks").cast("string"))
+    full = counted("error_whole" if "error_whole" in merged.columns else "error_full")
     rest = [c for c in merged.columns
-            if c not in (*keys, "num_chunks", "transcription_text", "error_full")]
+            if c not in (*keys, "num_chunks", "transcription_text", "error_full", "error_whole")]
     return merged.select(
-        *keys, "num_chunks", "transcription_text", F.left(full, F.lit(error_chars)).alias("error_message"),
+        *keys, "num_chunks", "transcription_text",
+        F.left(counted("error_full"), F.lit(error_chars)).alias("error_message"),
         *rest, *([full.alias("error_full")] if full_errors else []))
 
 

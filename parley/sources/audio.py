@@ -241,21 +241,23 @@ def normalize_audio(files: DataFrame, content_col: str = "content",
 
 
 def read_wav_chunks(spark: SparkSession, root: str, spec: ChunkSpec = ChunkSpec(),
-                    glob: str = config.AUDIO_GLOB, split_bytes: int = 128 << 20) -> DataFrame:
+                    glob: str = config.AUDIO_GLOB, split_bytes: int = 128 << 20,
+                    max_files: int | None = None) -> DataFrame:
     """The chunks of all recordings under ``root``, however large they are.
 
     The rows of ``audio_chunks(normalize_audio(read_audio(...), method="sinc"))``,
     but a recording never is a row: tasks read byte ranges of about
     ``split_bytes`` (see :mod:`parley.sources.wav_ranges`).  A file that
-    cannot be read or decoded gives one row with ``error_message`` and null
-    chunk columns.
+    cannot be decoded gives one row with ``error_message`` and null chunk
+    columns, and so does every range of a file that cannot be read.
+    ``max_files`` takes the first files by path.
     """
     from parley.sources.wav_ranges import WavChunks
     spark.dataSource.register(WavChunks)
     chunks = (spark.read.format(WavChunks.name()).option("glob", glob)
               .option("maxLen", spec.max_len).option("overlap", spec.overlap)
               .option("dropEmpty", str(spec.drop_empty).lower()).option("splitBytes", split_bytes)
-              .load(root))
+              .option("maxFiles", -1 if max_files is None else max_files).load(root))
     return chunks.transform(paths.with_path_parts)
 
 

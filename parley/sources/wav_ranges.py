@@ -88,10 +88,9 @@ def wav_bytes(pcm: np.ndarray, rate: int) -> bytes:
                      b"data", size.to_bytes(4, "little"), pcm.astype("<i2").tobytes()])
 
 
-def range_chunks(read, size: int, path: str, begin: int, end: int, spec: ChunkSpec,
+def range_chunks(read, layout: audio.Layout, size: int, begin: int, end: int, spec: ChunkSpec,
                  target: int) -> Iterator[tuple]:
     """The rows, after path and length, of the chunks that begin in a byte range of a file."""
-    layout = audio.wav_layout(read, size, path)
     filtered = Resampler(layout.rate, target)
     outputs = filtered.length(layout.frames)
     duration = outputs / target
@@ -121,24 +120,28 @@ class WavReader(DataSourceReader):
         self.spec = ChunkSpec(int(options.get("maxlen", config.MAX_CHUNK_MS)),
                               int(options.get("overlap", config.CHUNK_OVERLAP_MS)),
                               options.get("dropempty", "false").lower() == "true")
+        self.most = int(options.get("maxfiles", -1))
         self.target = int(options.get("rate", config.TARGET_SAMPLE_RATE))
 
     def partitions(self) -> list[Ranges]:
         _, files = list_files(self.root)
-        return split_files([(address, size) for address, path, size in files
-                            if any(fnmatchcase(path.rsplit("/", 1)[-1], p) for p in self.patterns)],
-                           self.split)
+        chosen = [(address, size) for address, path, size in files
+                  if any(fnmatchcase(path.rsplit("/", 1)[-1], p) for p in self.patterns)]
+        return split_files(chosen if self.most < 0 else chosen[:self.most], self.split)
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         for address, size, begin, end in partition.ranges:
+            layout = None
             try:
                 store, path, _ = open_store(address)
                 with store.open_input_file(path) as file:
-                    for row in range_chunks(lambda at, n, f=file: f.read_at(n, at), size, path,
-                                            begin, end, self.spec, self.target):
+                    def get(at: int, n: int, file=file) -> bytes:
+                        return file.read_at(n, at)
+                    layout = audio.wav_layout(get, size, path)
+                    for row in range_chunks(get, layout, size, begin, end, self.spec, self.target):
                         yield self.batch(address, size, row)
             except (ValueError, OSError) as e:
-                if begin == 0:                 # one error row a file
+                if begin == 0 or layout is not None:      # a bad header is one error row a file
                     yield self.batch(address, size, (
                         *[None] * 4, str(e)[:config.PREPROCESS_ERROR_CHARS], *[None] * 5))
 
@@ -153,7 +156,8 @@ class WavChunks(DataSource):
     """``spark.read.format("wav_chunks").load(root)``.
 
     Options: ``glob``, ``maxLen`` and ``overlap`` in milliseconds,
-    ``dropEmpty``, ``splitBytes`` and ``rate`` (whole kilohertz).
+    ``dropEmpty``, ``splitBytes``, ``maxFiles`` (the first by path; -1: all) and
+    ``rate`` (whole kilohertz).
     """
 
     @classmethod

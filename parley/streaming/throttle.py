@@ -221,7 +221,8 @@ def start_sending(spark: SparkSession, chunks: str, schema: T.StructType, keys:
                 else session.createDataFrame([], schema)).withColumn("chunk_key", name)
         joined = held.join(F.broadcast(listed), "chunk_key")
         answered = inference.infer_chunks(joined, client, payload_col=payload_col, n_col=None,
-                                          limits=limits, concurrency=concurrency)
+                                          limits=limits, concurrency=concurrency,
+                                          full_errors=True)
         worth = (F.col("status").isin(*retry) if retry_if is None else retry_if)
         tried = worth & F.col("chunk_error").isNotNull() & (F.col("attempt") < send.attempts)
         (answered.withColumn("final", ~F.coalesce(tried, F.lit(False)))

@@ -131,3 +131,57 @@ def test_audio_stage_jobs(spark):
     assert t["call_1.wav"].transcription_text == "frames 3200"
     limited, _ = pipeline.run_preprocess_audio(spark, root, "a3", max_files=1)
     assert spark.table(limited).count() == 1
+
+
+class LongExcuse:
+    """Refuses every second chunk with a message of 3000 characters."""
+
+    def __call__(self, payload):
+        if len(payload) % 4:
+            raise RuntimeError("no " + "x" * 3000)
+        return 200, '{"predictions": [{"transcription": "heard"}]}'
+
+
+def test_stage_jobs_store_log_blocks_files_and_times(spark):
+    import sys
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    from parley.plans import pipeline
+    from parley.sinks import chunk_files
+    from parley.streaming.throttle import SendLimits
+    root, files = _tree(), tempfile.mkdtemp(prefix="parley-chunkfiles-")
+    with open(os.path.join(root, "team_a", "odd.wav"), "wb") as f:
+        f.write(_wav_bytes(np.arange(16_000), 16_000)[:-1] + b"")       # cut-off last sample
+    meta, payloads = pipeline.run_preprocess_audio(spark, root, "log1", spec=ChunkSpec(700, 100),
+                                                   split_bytes=9_000, chunk_root=files)
+    # the files that the metadata names hold the payloads
+    stored = {(r.full_path, r.chunk_idx): bytes(r.payload) for r in
+              pipeline.readable(spark.table(payloads)).collect()}
+    back = {(r.full_path, r.chunk_idx): bytes(r.payload) for r in
+            chunk_files.read_chunk_files(spark, spark.table(meta), files).collect()}
+    assert back == stored and len(back) == 8
+
+    name = pipeline.run_transcribe_audio(spark, payloads, LongExcuse(), "log1")
+    log = spark.table("calls.request_log_log1").collect()
+    assert len(log) == len(stored)
+    refused = [r for r in log if r.outcome == "exception"]
+    assert all(len(r.error) == len("EXCEPTION: no ") + 3000 for r in refused)
+    results = {r.full_path: r for r in spark.table(name).collect()}
+    for path, r in results.items():
+        n = sum(x.full_path == path for x in refused)
+        assert (r.error_full or "").count("x" * 3000) == n and len(r.error_message or "") <= 1000
+    blocks = spark.table("calls.transcription_blocks_log1")
+    assert blocks.select("full_path").distinct().count() == len(results)
+    runs = {r.stage: r for r in spark.table("calls.stage_runs").where("run_id = 'log1'").collect()}
+    assert (runs["preprocess"].total, runs["preprocess"].failed) == (5, 2)
+    assert runs["transcribe"].total == 3 and runs["transcribe"].seconds > 0
+
+    folder = tempfile.mkdtemp(prefix="parley-throttle-")
+    throttled = pipeline.run_transcribe_throttled(
+        spark, payloads, SampleCounter(), "log2", folder, timeout=200, every="300 milliseconds",
+        send=SendLimits(calls=6, window_ms=2000, lanes=2))
+    plain = pipeline.run_transcribe_audio(spark, payloads, SampleCounter(), "log3")
+    columns = ["full_path", "num_chunks", "transcription_text", "duration_seconds", "error_message"]
+    assert sorted(map(tuple, spark.table(throttled).select(*columns).collect())) == \
+        sorted(map(tuple, spark.table(plain).select(*columns).collect()))
+    assert spark.table("calls.request_log_log2").where("attempt = 1").count() == len(stored)
