@@ -893,6 +893,55 @@ def q_error_truncate(spark, root):
                       F.char_length("transcription_text").cast("long").alias("text_chars"))
 
 
+def _resample_sql(rate: int, target: int) -> str:
+    """Windowed-sinc weights for each phase, and every output as an exact integer sum of samples."""
+    from math import ceil
+
+    from parley.functions import resample as rs
+    r = rs.Resampler(rate, target)
+    cutoff = 1.0 if r.up >= r.down else rs.ROLLOFF * r.up / r.down
+    half, one = ceil(rs.ZEROS / cutoff), 1 << rs.BITS
+    window = " + ".join(f"{a} * cos({k} * turn)" for k, a in enumerate(rs.WINDOW))
+    return f"""
+WITH a AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(trunc(greatest(least(x * CAST(32767 AS FLOAT),
+           CAST(32767 AS FLOAT)), CAST(-32768 AS FLOAT))) AS BIGINT)) AS s FROM embeddings),
+taps AS (
+  SELECT phase, k, k - phase / {r.up}.0 AS d, pi() * (k - phase / {r.up}.0) / {half} AS turn
+  FROM range({r.up}) p(phase), range({1 - half}, {half + 1}) q(k)),
+raw AS (
+  SELECT phase, k, CAST(round_even(CASE WHEN abs(d) > {half} THEN 0 ELSE {cutoff!r}
+           * CASE WHEN d = 0 THEN 1 ELSE sin(pi() * {cutoff!r} * d) / (pi() * {cutoff!r} * d) END
+           * ({window}) END * {one}, 0) AS BIGINT) AS w FROM taps),
+weights AS (
+  SELECT phase, k, w + CASE WHEN k = 0 THEN {one} - sum(w) OVER (PARTITION BY phase) ELSE 0 END AS w
+  FROM raw),
+outputs AS (
+  SELECT vec_id, s, unnest(range(CAST(round_even(len(s) * {r.up} / {r.down}.0, 0) AS BIGINT))) AS n FROM a),
+sums AS (
+  SELECT vec_id, n, sum(CAST(s[least(greatest(n * {r.down} // {r.up} + k, 0), len(s) - 1) + 1] AS HUGEINT)
+                        * {one >> 15} * w) AS total
+  FROM outputs JOIN weights ON phase = (n * {r.down}) % {r.up} GROUP BY vec_id, n),
+samples AS (
+  SELECT vec_id, n, CAST(greatest(least(floor((total + {1 << (2 * rs.BITS - 16)})
+           / {1 << (2 * rs.BITS - 15)}.0), 32767), -32768) AS BIGINT) AS v FROM sums)
+SELECT vec_id, count(*) AS frames,
+       string_agg(printf('%02X%02X', v & 255, (v >> 8) & 255), '' ORDER BY n) AS samples
+FROM samples GROUP BY vec_id"""
+
+
+RESAMPLE_RATE = 24_000
+
+
+@register("audio_resample", _resample_sql(RESAMPLE_RATE, config.TARGET_SAMPLE_RATE))
+def q_audio_resample(spark, root):
+    """Embedding vectors as 24 kHz recordings, low-pass filtered to 16 kHz."""
+    from parley.sources import audio
+    recs = recordings.embedding_recordings(t(spark, root, "embeddings"), RESAMPLE_RATE)
+    return audio.normalize_audio(recs, method="sinc").select(
+        "vec_id", (F.octet_length("pcm") / 2).cast("long").alias("frames"), F.hex("pcm").alias("samples"))
+
+
 @register("transcribe_audio", f"""{_AUDIO_SQL}
 SELECT printf('/embeddings/label_%d/vec_%d.wav', label, vec_id) AS full_path,
        printf('label_%d', label) || '_' || printf('vec_%d_wav', vec_id) AS file_id,
