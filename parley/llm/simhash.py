@@ -27,9 +27,8 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parley.llm.components import roots
 from parley.llm.words import ascii_words, small_batches
@@ -71,14 +70,19 @@ def simhash(words: list[bytes], shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, key: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; null and empty texts have fingerprint 0."""
+                 text: str = "text", digest: Column | None = None) -> DataFrame:
+    """(doc_id, fp) of every row, and ``digest`` if given; null and empty texts have fingerprint 0."""
+    more = [] if digest is None else ["digest"]
+
     def run(batches):
-        for batch in small_batches(batches, text):
-            fps = [simhash(ascii_words(t), shingle) for t in batch.column(text).to_pylist()]
+        for batch in small_batches(batches, "_text"):
+            fps = [simhash(ascii_words(t), shingle) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key).cast(pa.int64()), pa.array(fps, pa.int64())], ["doc_id", "fp"])
-    return docs.select(key, text).mapInArrow(run, "doc_id bigint, fp bigint")
+                [batch.column("doc_id"), pa.array(fps, pa.int64()), *map(batch.column, more)],
+                ["doc_id", "fp", *more])
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text"),
+                       *([] if digest is None else [digest.alias("digest")]))
+    return rows.mapInArrow(run, "doc_id bigint, fp bigint" + "".join(f", {c} string" for c in more))
 
 
 def flips(bits: int, most: int) -> list[int]:
@@ -113,25 +117,38 @@ def group_links(fps: np.ndarray, group: int, prefix_bits: int, radius: int, max_
     low_bits = BITS - prefix_bits
     used = np.bitwise_count((fps >> np.uint64(low_bits)) ^ np.uint64(group))
     base = fps & np.uint64((1 << low_bits) - 1)
-    values, sources = [], []
+    values, sources, radii = [], [], []
     for flipped in range(radius + 1):
         members = np.flatnonzero(used == flipped).astype(np.int32)
         masks = np.array(flips(low_bits, radius - flipped), np.uint64)
+        far = np.bitwise_count(masks) + np.uint8(flipped)
         step = max(1, _BLOCK // len(masks))
         for at in range(0, len(members), step):
             some = members[at:at + step]
             made = (base[some][:, None] ^ masks[None, :]).ravel()
             source = np.repeat(some, len(masks))
-            if parts > 1:
-                mine = _mix(made) % np.uint64(parts) == np.uint64(part)
-                made, source = made[mine], source[mine]
-            values.append(made)
-            sources.append(source)
+            mine = _mix(made) % np.uint64(parts) == np.uint64(part) if parts > 1 else slice(None)
+            values.append(made[mine])
+            sources.append(source[mine])
+            if max_distance % 2:
+                radii.append(np.tile(far, len(some))[mine])
     made, source = np.concatenate(values), np.concatenate(sources)
-    order = np.argsort(made)
-    made, source = made[order], source[order]
-    meet = np.flatnonzero(made[1:] == made[:-1])
-    a, b = source[meet], source[meet + 1]
+    if max_distance % 2:
+        # Sharers up to the radius may be one bit too far apart.  A linked pair has a
+        # variant that one of the two is nearer to: link all to the nearest sharer.
+        radius_of = np.concatenate(radii)
+        order = np.lexsort((radius_of, made))
+        made, source, radius_of = made[order], source[order], radius_of[order]
+        begins = np.flatnonzero(np.concatenate([[True], made[1:] != made[:-1]])[:len(made)])
+        first = np.repeat(begins, np.diff(np.append(begins, len(made))))
+        meet = np.flatnonzero((first != np.arange(len(made)))
+                              & (radius_of[first] + radius_of <= max_distance))
+        a, b = source[first[meet]], source[meet]
+    else:
+        order = np.argsort(made)
+        made, source = made[order], source[order]
+        meet = np.flatnonzero(made[1:] == made[:-1])
+        a, b = source[meet], source[meet + 1]
     pairs = np.unique(np.minimum(a, b).astype(np.int64) << 32 | np.maximum(a, b))
     a, b = pairs >> 32, pairs & 0xFFFFFFFF
     near = np.bitwise_count(fps[a] ^ fps[b]) <= max_distance
@@ -145,7 +162,7 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE,
     """Edges (a > b) whose components are those of all pairs within ``max_distance``.
 
     ``distinct`` holds each fingerprint once, in ``fp``.  An odd distance
-    uses the next larger half, so nothing is lost; pairs are verified.
+    uses the next larger half; pairs are verified.
     """
     radius = (max_distance + 1) // 2
     variants = distinct.count() * len(flips(BITS, radius))
@@ -175,6 +192,16 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE,
     return dealt.groupBy("group", "parts", "part").applyInPandas(meet, "a bigint, b bigint").distinct()
 
 
+def _groups(marked: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, group, component_id) of every fingerprint among rows (doc_id, fp)."""
+    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
+    parent = roots(links(distinct.select("fp"), max_distance))
+    rooted = distinct.join(parent.select(F.col("a").alias("fp"), F.col("b").alias("group")),
+                           "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    least = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
+    return rooted.join(least, "group").select("fp", "group", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, group, component_id) of every row.
@@ -188,42 +215,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_distance: int =
     """
     ensure_checkpoint_dir(docs.sparkSession)
     marked = fingerprints(docs, shingle, key, text).checkpoint()
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
-    parent = roots(links(distinct.select("fp"), max_distance))
-    rooted = distinct.join(parent.select(F.col("a").alias("fp"), F.col("b").alias("group")),
-                           "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    least = rooted.groupBy("group").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "group").select("fp", "group", "component_id")
-    return marked.join(named, "fp").select("doc_id", "fp", "group", "component_id")
+    return marked.join(_groups(marked, max_distance), "fp").select(
+        "doc_id", "fp", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE,
              key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of the smallest id of each group, with all columns.
+    """One row of each group, with all columns: of the smallest id, then the smallest MD5 of its text.
 
-    Rows of one id are one document and give one row.  Rows with a null id
-    go where a document with an id is in their group; of a group without
-    any, one row stays.
+    Null ids come after all others.  Groups are of texts, so an id with
+    several texts keeps one row in each group that it is the smallest of;
+    rows equal in id and text count as one.  An empty table stays empty.
     """
-    found = near_duplicates(docs, shingle, max_distance, key, text)
-    kept = found.where("component_id = doc_id").select(F.col("doc_id").alias("_kept")).distinct()
-    with_id = docs.join(kept, docs[key].cast("long") == kept["_kept"], "left_semi"
-                        ).dropDuplicates([key])
-    nameless = found.where("component_id IS NULL").select("fp", "group").distinct()
-    if nameless.isEmpty():            # the usual case: every group has an id
-        return with_id
-    columns = docs.columns
-    mark = "_fp"
-    while mark in columns:
-        mark = "_" + mark
-
-    def marked(batches):
-        for batch in batches:
-            fps = [simhash(ascii_words(t), shingle) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps, pa.int64())],
-                                             [*columns, mark])
-    schema = T.StructType([*docs.schema.fields, T.StructField(mark, T.LongType())])
-    without = docs.where(F.col(key).isNull()).mapInArrow(marked, schema)
-    # one fingerprint stands for each group; its rows are equal in fingerprint
-    first = nameless.groupBy("group").agg(F.min("fp").alias(mark)).select(mark)
-    return with_id.unionByName(without.join(first, mark).dropDuplicates([mark]).select(*columns))
+    ensure_checkpoint_dir(docs.sparkSession)
+    digest = F.coalesce(F.md5(F.col(text).cast("binary")), F.lit(""))
+    marked = fingerprints(docs, shingle, key, text, digest).checkpoint()
+    groups = _groups(marked, max_distance).select("fp", "group")
+    # nulls sort first in a struct, so whether an id is null stands before it
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")
+    chosen = marked.join(groups, "fp").groupBy("group").agg(first).select(
+        F.col("first.doc_id").alias("chosen_id"), F.col("first.digest").alias("chosen_digest"))
+    given, mine, text_is = docs.columns, "_id", "_digest"
+    while {mine, text_is} & set(given):
+        mine, text_is = "_" + mine, "_" + text_is
+    named = docs.withColumns({mine: F.col(key).cast("long"), text_is: digest})
+    # one shuffle of the texts serves the join and the removal of equal rows
+    same = named[mine].eqNullSafe(chosen["chosen_id"]) & (named[text_is] == chosen["chosen_digest"])
+    return named.join(chosen, same, "left_semi").dropDuplicates([mine, text_is]).select(*given)
