@@ -19,7 +19,6 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,11 +39,7 @@ _PLACED = _PIECE + ", sequence_id bigint, offset bigint"
 def _tokenizer(vocabulary: str):
     """Splitter and word cache of this Python worker; words are encoded by the library."""
     split = Presplitter(vocabulary)
-    library = split.tokenizer
-
-    def encode(word: str) -> bytes:
-        return array("I", library.encode(word, add_special_tokens=False).ids).tobytes()
-    return split, WordCache(encode)
+    return split, WordCache(lambda word: array("I", split.ids(word)).tobytes())
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, keep_ids: bool = False,
@@ -62,7 +57,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, keep_ids:
             rows: list[tuple] = []
             for doc, value in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist(),
                                   strict=True):
-                ids = b"".join([cache[w] for w in split(value)]) + end
+                ids = b"".join(map(cache.__getitem__, split(value))) + end
                 for k, at in enumerate(range(0, len(ids), width)):
                     cut = ids[at:at + width]
                     rows.append((doc, k, at // 4, len(cut) // 4, zlib.crc32(cut),
@@ -142,21 +137,23 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, keep_ids: b
     """
     groups = parts_for(text_bytes(docs, text), group_bytes)
 
-    def place(group: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["length", "doc_id", "piece"], kind="stable",
-                                  ignore_index=True)
+    def place(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.drop_columns("_group").sort_by(
+            [(c, "ascending") for c in ("length", "doc_id", "piece", "ids_crc32")])
         order, sequence, offset = [], [], []
-        lengths = frame["length"].tolist()
+        lengths = table.column("length").to_pylist()
         for k, members in enumerate(best_two_fit(lengths, capacity)):
             at = 0
             for i in members:
                 order.append(i)
-                sequence.append(int(group[0]) << 32 | k)
+                sequence.append(group[0].as_py() << 32 | k)
                 offset.append(at)
                 at += lengths[i]
-        frame = frame.drop(columns="_group").iloc[order]
-        return frame.assign(sequence_id=sequence, offset=offset)
+        return (table.take(pa.array(order, pa.int64()))
+                .append_column("sequence_id", pa.array(sequence, pa.int64()))
+                .append_column("offset", pa.array(offset, pa.int64())))
 
+    # the checksum spreads rows of one id, or of none, unless they are the same text
     dealt = pieces(docs, vocabulary, capacity, keep_ids, key, text).withColumn(
-        "_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)).cast("int"))
-    return dealt.groupBy("_group").applyInPandas(place, _PLACED)
+        "_group", F.pmod(F.xxhash64("doc_id", "piece", "length", "ids_crc32"), F.lit(groups)).cast("int"))
+    return dealt.groupBy("_group").applyInArrow(place, _PLACED)

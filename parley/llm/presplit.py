@@ -54,12 +54,15 @@ class Presplitter:
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
         letters, digits = _char_class("L"), _char_class("N")
         self._words = re.compile("|".join(
-            [*_CONTRACTIONS, f"[{letters}]+", f"[{digits}]",
+            # letters first: no contraction begins with one
+            [f"[{letters}]+", *_CONTRACTIONS, f"[{digits}]",
              f"[^{re.escape(_SPACES)}{letters}{digits}]+"])).findall
         # Some capitals (U+0130, U+018F, ...) have a lower case above the simple range.
         simple = (chr(c) for c in range(_SIMPLE_END) if max(chr(c).lower()) < chr(_SIMPLE_END))
         self._odd = re.compile(f"[^{''.join(map(re.escape, simple))}]").search
-        self._bytes = {c: b for b, c in enumerate(byte_alphabet())}
+        self._alphabet = byte_alphabet()
+        self._bytes = {c: b for b, c in enumerate(self._alphabet)}
+        self._model = self.tokenizer.model
 
     def _segment(self, text: str) -> list[str]:
         if not self._odd(text):
@@ -69,6 +72,14 @@ class Presplitter:
         byte = self._bytes
         return [bytes(byte[c] for c in piece).decode("utf-8") for piece, _ in pieces]
 
+    def ids(self, word: str) -> list[int]:
+        """The library's ids of one word that this splitter gave."""
+        if word in self.special:
+            return [self.special[word]]
+        if not word.isascii():
+            word = "".join([self._alphabet[b] for b in word.encode("utf-8")])
+        return [t.id for t in self._model.tokenize(word)]
+
     def __call__(self, text: str | None) -> list[str]:
         if not text:
             return []
@@ -87,17 +98,22 @@ class WordCache(dict):
     """word -> encoding, filled by ``encode`` and emptied when full.
 
     Natural text repeats most of its words, so nearly every word is one
-    dictionary lookup.  ``limit`` bounds the memory; it changes no result.
+    dictionary lookup.  ``limit`` bounds the bytes held, as entries of a
+    short word and its encoding with their overhead; it changes no result.
     """
 
-    def __init__(self, encode: Callable[[str], object], limit: int = 400_000):
+    ENTRY = 200         # bytes of an entry beside its characters
+
+    def __init__(self, encode: Callable[[str], object], limit: int = 96 << 20):
         super().__init__()
-        self.encode, self.limit = encode, limit
+        self.encode, self.limit, self.held = encode, limit, 0
 
     def __missing__(self, word: str):
-        if len(self) >= self.limit:
-            self.clear()
         value = self.encode(word)
         if len(word) <= 64:
+            if self.held >= self.limit:
+                self.clear()
+                self.held = 0
             self[word] = value
+            self.held += self.ENTRY + len(word) + (len(value) if isinstance(value, bytes) else 0)
         return value
