@@ -34,6 +34,7 @@ from __future__ import annotations
 import mmap
 import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.words import (BLOCKS, ascii_words, blocks_table, deal_blocks, parts_for,
+from parley.llm.words import (BLOCKS, blocks_table, deal_blocks, parts_for,
                               planes, small_batches, text_bytes, unplanes)
 
 M2, M3 = 2000.0, 10.0
@@ -50,7 +51,7 @@ CHUNK_TEXT_BYTES = 5 << 20
 SHARD_GRAMS = 1_000_000
 SHARD_WORDS = 1_000_000
 UNKNOWN, START, FIRST_ID = 0, 1, 2
-END_WORD, START_WORD = b" end", b" start"       # no word holds a space
+END_WORD = b" end"                              # no word holds a space
 
 _BLOBS = "_chunk int, _part int, _blob binary, _tokens bigint, _types bigint"
 RESULT = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
@@ -236,37 +237,114 @@ def _mix(v: np.ndarray) -> np.ndarray:
     return v ^ (v >> np.uint64(32))
 
 
-class _Numbering(dict):
-    """word -> its number in order of first sight."""
+_SPACES = np.zeros(256, bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_VALUES = _mix(np.arange(1, 257))                     # a 64-bit value for each byte
+_SEGMENT, _SHORT = 1 << 20, 64
+_BASE = 0x5851F42D4C957F2D
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
+
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+@lru_cache(maxsize=1)
+def _segment_powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; made in each worker, not sent to it."""
+    n = _SEGMENT + _SHORT
+    return _powers(_BASE, n), _powers(pow(_BASE, -1, 1 << 64), n)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes from each start to before its end, the same wherever they stand.
+
+    Polynomial hashes from running sums, a segment at a time; words of more
+    than 64 bytes are hashed one by one.
+    """
+    out = np.empty(len(starts), np.uint64)
+    long = ends - starts > _SHORT
+    short = np.flatnonzero(~long)
+    up, down = _segment_powers()
+    at = 0
+    while at < len(short):
+        begin = int(starts[short[at]])
+        to = int(np.searchsorted(starts[short], begin + _SEGMENT))
+        some = short[at:to]
+        stop = int(ends[some[-1]])
+        total = np.zeros(stop - begin + 1, np.uint64)
+        np.cumsum(_VALUES[data[begin:stop]] * up[:stop - begin], out=total[1:])
+        first = starts[some] - begin
+        out[some] = (total[ends[some] - begin] - total[first]) * down[first]
+        at = to
+    out = _mix(out)
+    for i in np.flatnonzero(long):
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].tobytes())
+    return out
+
+
+END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END_WORD))
 
 
 class ChunkTokens:
-    """All tokens of a chunk's texts, one after the other, as places in its distinct words."""
+    """All tokens of a chunk's texts, one after the other, as places in its distinct words.
+
+    A distinct word is its hash, in order; the end token's is that of a text
+    no word can be.
+    """
 
     def __init__(self, table: pa.Table):
         rows = blocks_table(table.column("_blob"))
         self.ids = rows.column("doc_id").to_pylist() if rows else []
         self.held = np.array(rows.column("held").to_pylist() if rows else [], bool)
-        seen, places, sizes = _Numbering(), [], []
-        for text in rows.column("text").to_pylist() if rows else []:
-            words = ascii_words(text)
-            words.append(END_WORD)
-            places.append(np.fromiter(map(seen.__getitem__, words), np.int64, len(words)))
-            sizes.append(len(words))
-        self.ends = np.cumsum(sizes, dtype=np.int64)
-        self.starts = self.ends - np.array(sizes, np.int64)
-        self.trained = np.repeat(~self.held, sizes)
-        # distinct words in order of their hashes, whatever order the texts came in
-        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), np.uint64, len(seen))
-        order = np.argsort(hashes)
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.words = hashes[order]
-        self.place = rank[np.concatenate(places)] if places else np.empty(0, np.int64)
+        hashes, sizes = [], []
+        for texts in rows.column("text").chunks if rows else []:
+            found, words = self._split(texts)
+            # an end token after the words of each text
+            own = np.cumsum(words + 1) - 1
+            whole = np.full(int(words.sum()) + len(words), END_HASH)
+            is_word = np.ones(len(whole), bool)
+            is_word[own] = False
+            whole[is_word] = found
+            hashes.append(whole)
+            sizes.append(words + 1)
+        size = np.concatenate([np.empty(0, np.int64), *sizes])
+        self.ends = np.cumsum(size)
+        self.starts = self.ends - size
+        self.trained = np.repeat(~self.held, size)
+        self.words, self.place = np.unique(np.concatenate([np.empty(0, np.uint64), *hashes]),
+                                           return_inverse=True)
+
+    @staticmethod
+    def _split(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words of the texts, and how many words each has."""
+        if not len(texts):
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
+        begin, end = int(offsets[0]), int(offsets[-1])
+        if begin == end:
+            return np.empty(0, np.uint64), np.zeros(len(texts), np.int64)
+        data = _LOWER[np.frombuffer(data, np.uint8)[begin:end]]
+        offsets = offsets - begin
+        word = ~_SPACES[data]
+        inner = offsets[(offsets > 0) & (offsets < end - begin)]
+        first, last = word.copy(), word.copy()       # of a word: no word byte before, or a new text
+        first[1:] &= ~word[:-1]
+        first[inner] = word[inner]
+        last[:-1] &= ~word[1:]
+        last[inner - 1] = word[inner - 1]
+        starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        # a null text's bytes, should it have any, are none of its own
+        counts = np.diff(np.searchsorted(starts, offsets))
+        if texts.null_count:
+            absent = np.asarray(texts.is_null())
+            kept = ~np.repeat(absent, counts)
+            starts, ends, counts = starts[kept], ends[kept], np.where(absent, 0, counts)
+        return word_hashes(data, starts, ends), counts
 
     def number(self, replies: dict[int, bytes], shards: int) -> None:
         """Ids and counts of the tokens, from the word shards' replies."""
