@@ -20,8 +20,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     """(key, text, label) of at most ``ones`` + ``zeros`` labelled documents.
 
     ``keep`` says which ids may be learned from.  The documents of each
-    class are the first in order of a hash of their id, so the sample does
-    not depend on partitioning.  Several labels of one id count as the
+    class are the first in order of a hash of their id, then of their text,
+    so the sample does not depend on partitioning and the bound is one of
+    documents also where ids repeat.  Several labels of one id count as the
     largest; null ids and labels are not used.  The ids of the sample are
     few by construction and are broadcast; the texts stay distributed, in a
     checkpoint that later steps read.
@@ -31,9 +32,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     order = F.xxhash64(key)
     chosen = (usable.where("_label = 1").orderBy(order, key).limit(ones)
               .unionByName(usable.where("_label = 0").orderBy(order, key).limit(zeros)))
-    found = docs.select(key, text).join(F.broadcast(chosen), key)
-    return found.select(F.col(key).cast("long").alias("doc_id"),
-                        F.col(text).cast("string").alias("text"), "_label").checkpoint()
+    found = (docs.select(key, text).join(F.broadcast(chosen), key)
+             .select(F.col(key).cast("long").alias("doc_id"),
+                     F.col(text).cast("string").alias("text"), "_label"))
+    first = (F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"), "text")
+    return (found.where("_label = 1").orderBy(*first).limit(ones)
+            .unionByName(found.where("_label = 0").orderBy(*first).limit(zeros)).checkpoint())
 
 
 def label_rate(docs: DataFrame, labels: DataFrame, label: str, keep: Column,

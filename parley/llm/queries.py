@@ -112,9 +112,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op10_quality_ranking")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    ranker = quality.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
-    return classified(quality.score(docs, ranker), 5, 0, quality.THRESHOLD)
+    features = quality.measured(read(spark, sf_dir, "documents"))
+    ranker = quality.learn_measured(features, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return classified(quality.score_measured(features, ranker), 5, 0, quality.THRESHOLD)
 
 
 @register("op9_hnsw_shards")
