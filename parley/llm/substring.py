@@ -18,6 +18,7 @@ are one plan over that single shuffle of the texts:
 
 from __future__ import annotations
 
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -55,8 +56,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 _TABLE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-_UP = _powers(_BASE, _SEGMENT)
-_DOWN = _powers(pow(_BASE, -1, 1 << 64), _SEGMENT)
+
+
+@lru_cache(maxsize=1)
+def _segment_powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse; made in each worker, not sent to it."""
+    return _powers(_BASE, _SEGMENT), _powers(pow(_BASE, -1, 1 << 64), _SEGMENT)
 
 
 class Words:
@@ -82,7 +87,7 @@ class Words:
             first = self.starts[at:to] - begin
             after = self.starts[at + self.window:to + self.window] - 1 - begin
             size = int(after[-1])
-            up, down = ((_UP, _DOWN) if size < _SEGMENT else
+            up, down = (_segment_powers() if size < _SEGMENT else
                         (_powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)))
             raw = np.frombuffer(self.joined, np.uint8, size, int(begin))
             total = np.zeros(size + 1, np.uint64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -33,6 +34,19 @@ def crc_mod(key: str, mod: int) -> Column:
                   F.lit(mod))
 
 
+def give_back() -> None:
+    """Return freed memory of this Python worker to the machine.
+
+    Workers serve one stage after the other; what their allocators keep of
+    one is not there for the next, nor for the JVM beside them.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):      # not glibc
+        pass
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text: str,
                   most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that one holds about ``most`` bytes of text."""
@@ -46,9 +60,10 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str,
                 start, size = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+    give_back()
 
 
-BLOCK_BUFFER = 32 << 20
+BLOCK_BUFFER = 12 << 20
 BLOCKS = "_part int, _blob binary"
 
 
@@ -88,6 +103,7 @@ def deal_blocks(pieces: Iterator[tuple[np.ndarray, pa.RecordBatch]], schema: pa.
 
 def blocks_table(blobs: pa.ChunkedArray) -> pa.Table | None:
     """The rows of dealt blocks, None for no block."""
+    give_back()                            # of the chunk before
     tables = [pa.ipc.open_stream(b).read_all() for b in blobs.to_pylist()]
     return pa.concat_tables(tables) if tables else None
 
