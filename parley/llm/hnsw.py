@@ -27,9 +27,10 @@ from parley.session import ensure_checkpoint_dir
 SHARD_VECTORS = 8192
 QUERY_BLOCK = 1024
 NEIGHBOURS = 16            # of the upper layers; the lowest has twice as many
-BUILD_EF, SEARCH_EF = 64, 64
+BUILD_EF, SEARCH_EF = 64, 64     # the search width is the least one, see ``tuned_ef``
+SAMPLE_QUERIES, SAMPLE_RECALL = 64, 0.97
 
-_INDEX = "dim int, shard int, nodes int, ids binary, owners binary, vectors binary, layers array<binary>"
+_INDEX = "dim int, shard int, ef int, nodes int, ids binary, owners binary, vectors binary, layers array<binary>"
 
 
 def _beam(graph: np.ndarray, points: np.ndarray, queries: np.ndarray, entry: np.ndarray, ef: int):
@@ -235,11 +236,13 @@ def index(points: DataFrame, k: int, shard_vectors: int = SHARD_VECTORS) -> Data
         starts = np.searchsorted(node[order], np.arange(len(nodes)))
         rank = np.arange(len(node)) - starts[node[order]]
         order = order[rank <= k]
-        layers = build(_augmented(nodes), ids[np.unique(node, return_index=True)[1]])
+        points = _augmented(nodes)
+        layers = build(points, ids[np.unique(node, return_index=True)[1]])
         flat = [a.astype(np.int32).tobytes() for layer in layers for a in layer]
         return pa.table({
             "dim": pa.array([key[0].as_py()], pa.int32()),
             "shard": pa.array([key[1].as_py()], pa.int32()),
+            "ef": pa.array([tuned_ef(layers, points, nodes, k)], pa.int32()),
             "nodes": pa.array([len(nodes)], pa.int32()),
             "ids": [ids[order].astype(np.int64).tobytes()],
             "owners": [node[order].astype(np.int32).tobytes()],
@@ -249,6 +252,30 @@ def index(points: DataFrame, k: int, shard_vectors: int = SHARD_VECTORS) -> Data
     return dealt.groupBy("dim", "shard").applyInArrow(made, _INDEX)
 
 
+def tuned_ef(layers, points: np.ndarray, vectors: np.ndarray, k: int, least: int = SEARCH_EF,
+             wanted: float = SAMPLE_RECALL, sample: int = SAMPLE_QUERIES) -> int:
+    """The search width, from ``least`` on in doublings, that finds ``wanted`` of the ``k`` + 1
+    nearest of sampled vectors of a shard, as an exhaustive search of the shard finds them.
+
+    Where lengths differ much, or neighbours are all far, a graph needs a
+    wider search for the same recall.
+    """
+    n, ef, k = len(vectors), least, min(k + 1, len(vectors))
+    chosen = np.random.default_rng(n).choice(n, min(sample, n), replace=False)
+    exact = vectors[chosen] @ vectors.T
+    worst = np.partition(exact, n - k, axis=1)[:, n - k][:, None]
+    asking = np.column_stack([vectors[chosen], np.zeros(len(chosen))]).astype(np.float32)
+    while ef < n:
+        nodes = search(layers, points, asking, ef)
+        scores = np.where(nodes >= 0, np.take_along_axis(exact, np.maximum(nodes, 0), axis=1), -np.inf)
+        # rounding may move the last of them a little
+        near = (scores >= worst - 1e-9 * np.abs(worst)).sum(axis=1)
+        if np.minimum(near, k).mean() >= wanted * k:
+            break
+        ef *= 2
+    return min(ef, max(n, least))
+
+
 def _load(row: dict):
     n, flat = row["nodes"], [np.frombuffer(b, np.int32).astype(np.int64) for b in row["layers"]]
     layers = [(flat[i], flat[i + 1].reshape(len(flat[i]), -1)) for i in range(0, len(flat), 2)]
@@ -292,7 +319,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, ef: int = SEARC
                 own = np.frombuffer(row["query_ids"], np.int64)
                 asking = np.frombuffer(row["queries"], np.float64).reshape(len(own), -1)
                 flat = np.column_stack([asking, np.zeros(len(asking))]).astype(np.float32)
-                found = search(layers, _augmented(given), flat, ef)
+                found = search(layers, _augmented(given), flat, max(ef, row["ef"]))
                 first = np.searchsorted(owners, np.arange(len(given) + 1))
                 out = []
                 for q, nodes, query in zip(own, found, asking, strict=True):

@@ -147,5 +147,5 @@ def test_run_gives_the_stages_result(spark, corpus):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.ORACLES) <= set(queries.QUERIES)

@@ -66,3 +66,23 @@ def test_every_node_is_reached():
     best = np.argsort(-(vectors @ vectors.T), axis=1)[:, :5]
     found = hnsw.search(layers, flat, own, 64)[:, :5]
     assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(best.tolist(), found.tolist(), strict=True)]) > 0.97
+
+
+@pytest.mark.parametrize("sigma", [0.0, 0.25, 0.5, 1.0, 1.5])
+def test_recall_of_unequal_lengths(spark, sigma):
+    rnd = np.random.default_rng(int(sigma * 100))
+    vectors = rnd.normal(size=(4000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors *= rnd.lognormal(0, sigma, (4000, 1))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)],
+                                  "vec_id bigint, embedding array<double>")
+    rows = hnsw.nearest(table, table.where("vec_id % 40 = 0"), 20, shard_vectors=2048).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    scores = vectors[::40] @ vectors.T
+    hits = 0
+    for q, row in zip(range(0, 4000, 40), scores):
+        row[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-row)[:20].tolist()))
+    assert hits >= 0.9 * 20 * 100
