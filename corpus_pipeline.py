@@ -21,24 +21,31 @@ ORACLE_SQL = None
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the grammar does not call toxic."""
+    """Documents that the grammar does not call toxic; null and empty texts stay."""
     grammar = toxicity.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 4) != 2)
     return toxicity.reject(docs, grammar)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ranking keeps."""
-    ranker = quality.learn(docs, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
-    return quality.keep_good(docs, ranker)
+    """Documents that the ranking keeps; texts without words score as such, ids are not looked at."""
+    features = quality.measured(docs, keep_rows=True)
+    ranker = quality.learn_measured(features, read(spark, sf_dir, "labels"), crc_mod("doc_id", 5) != 0)
+    return quality.good_rows(features, ranker)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates."""
+    """The row of the smallest id, then smallest text digest, of each group of near-duplicates.
+
+    Texts without words are one group; a null id comes after all others.
+    """
     return simhash.keep_one(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; where a passage repeats an earlier one, the words that stay, by one space."""
+    """All documents; where a passage repeats an earlier one, the words that stay, by one space.
+
+    Null ids come last, rows of one id in text order; null texts stay null.
+    """
     cleaned = substring.remove_repeats(docs)
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
@@ -48,7 +55,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packed pieces of every document that is left."""
+    """Packed pieces of every document that is left; a text without words is its end id."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
