@@ -140,21 +140,30 @@ class Fingerprint:
 
 def peel(sketch: Sketch) -> tuple[np.ndarray, np.ndarray] | None:
     """Digests only in the first and only in the second version; None if cells are left over."""
-    count, keys, checks = sketch.count.copy(), sketch.keys.copy(), sketch.checks.copy()
+    count, keys, checks = sketch.count, sketch.keys, sketch.checks
+    # Every digest found empties a cell for good, so no more than cells can be found;
+    # each digest counts one in every third.
+    if np.abs(count).reshape(HASHES, -1).sum(axis=1).max() > len(count):
+        return None
+    count, keys, checks = count.copy(), keys.copy(), checks.copy()
     mine, other = [], []
     while True:
         single = np.flatnonzero(np.abs(count) == 1)
         single = single[_check(keys[single]) == checks[single]]
         if not len(single):
             break
-        found, at = np.unique(keys[single], return_index=True)
-        sign = count[single[at]]
+        order = single[np.argsort(keys[single])]         # a digest may stand alone in several cells
+        found = keys[order]
+        new = np.ones(len(found), bool)
+        np.not_equal(found[1:], found[:-1], out=new[1:])
+        order, found = order[new], found[new]
+        sign, known = count[order], checks[order]
         mine.append(found[sign == 1])
         other.append(found[sign == -1])
         place = _places(found, len(count))
         np.subtract.at(count, place, np.concatenate((sign,) * HASHES))
         np.bitwise_xor.at(keys, place, np.concatenate((found,) * HASHES))
-        np.bitwise_xor.at(checks, place, np.concatenate((_check(found),) * HASHES))
+        np.bitwise_xor.at(checks, place, np.concatenate((known,) * HASHES))
     if count.any() or keys.any():
         return None
     nothing = np.empty(0, np.uint64)
@@ -165,6 +174,9 @@ def difference(a: Fingerprint, b: Fingerprint, cells: int = CELLS):
     """Paragraph digests only in ``a`` and only in ``b``, by growing sketches."""
     if a.whole == b.whole:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    # at least so many digests differ, and a sketch gives no more than it has cells
+    while abs(len(a.digests) - len(b.digests)) > cells:
+        cells *= GROWTH
     while True:
         found = peel(a.sketch(cells) - b.sketch(cells))
         if found is not None:
