@@ -72,6 +72,8 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--source", required=True)
     e.add_argument("--gold", required=True)
     e.add_argument("--eval")
+    e.add_argument("--central-summary", action="store_true", help="summaries by sentence centrality")
+    e.add_argument("--corpus-topics", action="store_true", help="topics by phrases between heavy terms")
 
     r = sub.add_parser("report", help="print a report")
     r.add_argument("kind", choices=["errors", "sentiment", "summary"])
@@ -121,7 +123,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
                            cleanup=args.cleanup)
         print(f"merged into {args.target}")
     elif args.cmd == "enrich":
-        n = pipeline.run_enrich(spark, args.source, args.gold, run_ts=now, eval_table=args.eval)
+        n = pipeline.run_enrich(spark, args.source, args.gold, run_ts=now, eval_table=args.eval,
+                                central_summary=args.central_summary, corpus_topics=args.corpus_topics)
         print("no records to process" if n == 0 else f"enriched {args.gold} from {n} records")
     elif args.cmd == "report":
         df = spark.table(args.table)

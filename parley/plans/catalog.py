@@ -17,7 +17,7 @@ from parley.config import ChunkSpec, SizeLimits
 from parley.functions import json as jfn
 from parley.functions import paths, pcm
 from parley.functions import text as tfn
-from parley.operators import enrich, evaluate, inference, reports, upsert
+from parley.operators import central, enrich, evaluate, inference, reports, topics, upsert
 from parley.plans import pipeline, stand_ins
 from parley.sinks import writers
 from parley.sources import recordings
@@ -730,6 +730,24 @@ def q_safety_vs_labels(spark, root):
     return flagged.groupBy("toxic", "flagged").agg(F.count(F.lit(1)).alias("docs"))
 
 
+@register("central_summary", central.summary_sql("documents", "doc_id", "text"))
+def q_central_summary(spark, root):
+    docs = t(spark, root, "documents").select("doc_id", "text")
+    return central.with_central_summary(docs, "text").select("doc_id", "summary", "lead_weight")
+
+
+@register("heavy_terms", topics.heavy_sql("documents", "doc_id", "text"))
+def q_heavy_terms(spark, root):
+    return topics.heavy_terms(t(spark, root, "documents").select("text"), "text")
+
+
+@register("topic_phrases", topics.topics_sql("documents", "doc_id", "text"))
+def q_topic_phrases(spark, root):
+    docs = t(spark, root, "documents").select("doc_id", "text")
+    heavy = [r.term for r in topics.heavy_terms(docs, "text").collect()]
+    return topics.with_topics(docs, heavy, "text", into="topics").select("doc_id", "topics")
+
+
 # --- audio: embeddings read as 8 kHz recordings -> 16 kHz chunks ---------------
 AUDIO_SPEC = ChunkSpec(max_len=5, overlap=1)     # milliseconds
 

@@ -192,17 +192,25 @@ def run_merge(spark, results_table: str, target_table: str, *, ingestion_ts=None
 
 
 def run_enrich(spark, source_table: str, gold_table: str, *, run_ts=None,
-               eval_table: str | None = None) -> int:
+               eval_table: str | None = None, central_summary: bool = False,
+               corpus_topics: bool = False) -> int:
     """Stage 4: enrich, materialise gold once, score it, append.
 
-    Returns the number of source rows; an empty source exits early.
+    ``central_summary`` takes summaries by sentence centrality,
+    ``corpus_topics`` topics by phrase scores between the heavy terms of the
+    source.  Returns the number of source rows; an empty source exits early.
     """
-    from parley.operators import enrich as en, evaluate as ev
+    from parley.operators import central, enrich as en, evaluate as ev, topics
     from parley.sinks import writers
     source = spark.table(source_table)
     if source.isEmpty():
         return 0
     gold = en.enrich(source, _ts(run_ts))
+    if central_summary:
+        gold = central.with_central_summary(gold).drop("lead_weight")
+    if corpus_topics:
+        heavy = [r.term for r in topics.heavy_terms(source).collect()]
+        gold = topics.with_topics(gold, heavy)
     # Materialise once: previews, scores and the write all read the same
     # rows instead of re-running the enrichment.
     staged = writers.stage_table_name(gold_table, "staging")
