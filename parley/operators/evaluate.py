@@ -40,8 +40,14 @@ def deny_hits(text: Column, terms=DENY_TERMS) -> Column:
 
 
 def score(gold: DataFrame, keys=("parent_folder", "filename"),
-          topics_col: str = "main_topics", output_col: str = "summary") -> DataFrame:
-    """Long format: one row per (record, scorer) with ``score`` and ``passed``."""
+          topics_col: str = "main_topics", output_col: str = "summary",
+          unsafe_col: str | None = None) -> DataFrame:
+    """Long format: one row per (record, scorer) with ``score`` and ``passed``.
+
+    ``unsafe_col``: a count of unsafe terms (``unsafe.with_unsafe_terms``) to
+    take instead of the deny-listed words of the output; null counts as none.
+    """
+    deny = F.coalesce(F.col(unsafe_col), F.lit(0)) if unsafe_col else deny_hits(F.col(output_col))
     # Topic list and summary words become columns first: lambdas below read
     # them without re-tokenising the summary for every topic.
     staged = gold.select(
@@ -49,7 +55,7 @@ def score(gold: DataFrame, keys=("parent_folder", "filename"),
         F.filter(F.split(F.coalesce(F.col(topics_col), F.lit("")), ", "),
                  lambda x: x != F.lit("")).alias("_topics"),
         tfn.tokens(F.coalesce(F.col(output_col), F.lit(""))).alias("_words"),
-        deny_hits(F.col(output_col)).alias("_deny"))
+        deny.alias("_deny"))
     found = F.size(F.filter("_topics", lambda x: F.array_contains(F.col("_words"), F.lower(x))))
     staged = staged.withColumns({"_found": found, "_total": F.size("_topics")})
     cov = F.when(F.col("_total") > 0, F.col("_found") / F.col("_total")).otherwise(F.lit(0.0))

@@ -17,7 +17,7 @@ from parley.config import ChunkSpec, SizeLimits
 from parley.functions import json as jfn
 from parley.functions import paths, pcm
 from parley.functions import text as tfn
-from parley.operators import central, enrich, evaluate, inference, reports, topics, upsert
+from parley.operators import central, enrich, evaluate, inference, reports, topics, unsafe, upsert
 from parley.plans import pipeline, stand_ins
 from parley.sinks import writers
 from parley.sources import recordings
@@ -748,6 +748,26 @@ def q_topic_phrases(spark, root):
     return topics.with_topics(docs, heavy, "text", into="topics").select("doc_id", "topics")
 
 
+_UNSAFE_SQL = unsafe.unsafe_sql("documents", "doc_id", "text")
+
+
+@register("unsafe_terms", _UNSAFE_SQL)
+def q_unsafe_terms(spark, root):
+    docs = t(spark, root, "documents").select("doc_id", "text")
+    return unsafe.with_unsafe_terms(docs, "text").select("doc_id", "n_hits", "terms")
+
+
+@register("unsafe_vs_labels", f"""
+SELECT toxic, n_hits > 0 AS flagged, count(*) AS docs
+FROM labels JOIN ({_UNSAFE_SQL}) USING (doc_id) GROUP BY ALL""")
+def q_unsafe_vs_labels(spark, root):
+    """The labelled documents by label and by whether they hold an unsafe term."""
+    labels = t(spark, root, "labels").select("doc_id", "toxic")
+    found = q_unsafe_terms(spark, root).join(labels, "doc_id")
+    return (found.groupBy("toxic", (F.col("n_hits") > 0).alias("flagged"))
+                 .agg(F.count(F.lit(1)).alias("docs")))
+
+
 # --- audio: embeddings read as 8 kHz recordings -> 16 kHz chunks ---------------
 AUDIO_SPEC = ChunkSpec(max_len=5, overlap=1)     # milliseconds
 
