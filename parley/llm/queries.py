@@ -50,7 +50,21 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
-@register("op5_substring_dedup")
+@register("op5_substring_dedup", r"""
+WITH ws AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM ws WHERE len(ws) >= 20),
+windows AS (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 19], ' ')) AS k FROM starts),
+repeats AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM repeats),
+words AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM ws),
+kept AS (SELECT words.doc_id, string_agg(w, ' ' ORDER BY words.i) AS text, count(*) AS n
+         FROM words LEFT JOIN covered ON covered.doc_id = words.doc_id AND covered.i = words.i
+         WHERE covered.i IS NULL GROUP BY words.doc_id)
+SELECT ws.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM ws LEFT JOIN kept ON kept.doc_id = ws.doc_id
+""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select(
