@@ -8,8 +8,8 @@ so the work is linear in the words of the text.  A sentence's own share is
 taken out on the way, and the cosine removes the bias to long sentences.
 
 All sums are integers (weights are scaled by ``2 ** SCALE_BITS``), so the
-result does not depend on the order of rows, batches or additions.  The
-whole Arrow batch goes through each round at once.
+result does not depend on the order of rows, batches or additions.  All
+texts of a piece of an Arrow batch go through each round at once.
 
 Sentences are picked by centrality, then position.  One that shares more
 than half of the words of the shorter of the two with a picked sentence is
@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.functions.batches import by_pieces
 from parley.operators import enrich
 
 # ---- fixed values ----------------------------------------------------------
@@ -153,7 +154,8 @@ def with_central_summary(df: DataFrame, text_col: str = "transcription_text",
     """
     @F.pandas_udf(_SCHEMA)
     def central(lines: pd.Series) -> pd.DataFrame:
-        return pick_central(lines, k)
+        none = pd.DataFrame({"positions": [], "lead_weight": []})
+        return by_pieces(lines, lambda piece: pick_central(piece, k), none)
 
     # Non-deterministic by mark only: a filter on the summary must not run it twice.
     sents = enrich.sentences(text_col)

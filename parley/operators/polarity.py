@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.batches import batch_pieces
 from parley.operators import topics
 from parley.operators.enrich import NEGATIVE_TERMS, POSITIVE_TERMS, sentiment_label
 from parley.session import ensure_checkpoint_dir
@@ -56,7 +57,7 @@ def _content(names: np.ndarray, seeds: frozenset[str], heavy: frozenset[str]) ->
 
 def _pairs(seeds: frozenset[str], heavy: frozenset[str]):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_pieces(batches):
             row, code, names = _tokens(batch.column(0))
             good = _content(names, seeds, heavy)[code]
             breaks = np.cumsum((names == topics._BREAK)[code])
@@ -112,7 +113,7 @@ def induce(graph: DataFrame, seeds: dict[str, int] = SEEDS, max_rounds: int = MA
 
 def _counts(seeds: frozenset[str], heavy: frozenset[str]):
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batch_pieces(batches):
             row, code, names = _tokens(batch.column(0))
             good = _content(names, seeds, heavy)[code]
             width = max(1, len(names))

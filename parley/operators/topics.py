@@ -21,9 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.batches import by_pieces
 from parley.operators.enrich import TOPIC_COUNT
 
 # ---- fixed values ----------------------------------------------------------
@@ -96,6 +98,17 @@ def _merge(counters: int):
     return merge
 
 
+def _exact(listed: list[str]):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = pa.array(listed, pa.string())
+        n = np.zeros(len(listed), np.int64)
+        for batch in batches:
+            place = pc.index_in(batch.column(0).flatten(), terms).drop_null().to_numpy()
+            n += np.bincount(place, minlength=len(listed))
+        yield pa.RecordBatch.from_arrays([terms, pa.array(n)], names=["term", "n"])
+    return count
+
+
 def candidates(words: DataFrame, counters: int) -> tuple[int, int, list[str]]:
     """Texts, distinct words summed over texts, and every word that more than
     ``words / (counters + 1)`` texts hold (with others).
@@ -124,10 +137,8 @@ def heavy_terms(df: DataFrame, text_col: str = "transcription_text",
     need = -(-100 * total // max(1, percent * texts))
     if need > counters:
         texts, total, found = candidates(words, need)
-    # Only candidates are exploded: partial sums keep at most so many rows a task.
-    listed = F.array_intersect(F.col("words"), F.array(*map(F.lit, found)).cast("array<string>"))
-    return (words.select(F.explode(listed).alias("term")).groupBy("term")
-                 .agg(F.count(F.lit(1)).alias("n_docs"))
+    return (words.mapInArrow(_exact(found), "term string, n long").groupBy("term")
+                 .agg(F.sum("n").alias("n_docs"))
                  .filter(F.col("n_docs") * 100 > F.lit(percent * texts)))
 
 
@@ -202,7 +213,7 @@ def with_topics(df: DataFrame, heavy: list[str], text_col: str = "transcription_
 
     @F.pandas_udf("string")
     def topics(words: pd.Series) -> pd.Series:
-        return best_phrases(words, stop, n_topics)
+        return by_pieces(words, lambda piece: best_phrases(piece, stop, n_topics), pd.Series([], dtype=object))
 
     return df.withColumn(into, topics.asNondeterministic()(word_string(text_col)))
 

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parley.functions.batches import by_pieces
+
 # ---- fixed values ----------------------------------------------------------
 UNSAFE_TERMS = (
     "clown", "clowns", "disgusting", "dumb", "filth", "filthy", "garbage", "hate", "idiot", "idiotic", "idiots",
@@ -189,7 +191,7 @@ def with_unsafe_terms(df: DataFrame, text_col: str = "transcription_text",
 
     @F.pandas_udf(_SCHEMA)
     def scan(texts: pd.Series) -> pd.DataFrame:
-        return automaton(fixed).scan(texts)
+        return by_pieces(texts, automaton(fixed).scan, pd.DataFrame({"n_hits": [], "terms": []}))
 
     found = df.withColumn("_unsafe", scan.asNondeterministic()(F.col(text_col)))
     return found.withColumns({"n_hits": F.col("_unsafe.n_hits"),
