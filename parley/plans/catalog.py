@@ -17,7 +17,7 @@ from parley.config import ChunkSpec, SizeLimits
 from parley.functions import json as jfn
 from parley.functions import paths, pcm
 from parley.functions import text as tfn
-from parley.operators import central, enrich, evaluate, inference, polarity, reports, topics, unsafe, upsert
+from parley.operators import central, enrich, evaluate, inference, reports, unsafe, upsert
 from parley.plans import pipeline, stand_ins
 from parley.sinks import writers
 from parley.sources import recordings
@@ -736,35 +736,6 @@ def q_central_summary(spark, root):
     return central.with_central_summary(docs, "text").select("doc_id", "summary", "lead_weight")
 
 
-@register("heavy_terms", topics.heavy_sql("documents", "doc_id", "text"))
-def q_heavy_terms(spark, root):
-    return topics.heavy_terms(t(spark, root, "documents").select("text"), "text")
-
-
-@register("topic_phrases", topics.topics_sql("documents", "doc_id", "text"))
-def q_topic_phrases(spark, root):
-    docs = t(spark, root, "documents").select("doc_id", "text")
-    heavy = [r.term for r in topics.heavy_terms(docs, "text").collect()]
-    return topics.with_topics(docs, heavy, "text", into="topics").select("doc_id", "topics")
-
-
-def _lexicon(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    heavy = [r.term for r in topics.heavy_terms(docs, "text").collect()]
-    return polarity.induce(polarity.word_graph(docs, heavy, "text")), heavy
-
-
-@register("induced_lexicon", polarity.lexicon_sql("documents", "doc_id", "text"))
-def q_induced_lexicon(spark, root):
-    return _lexicon(t(spark, root, "documents").select("doc_id", "text"))[0]
-
-
-@register("induced_sentiment", polarity.scores_sql("documents", "doc_id", "text"))
-def q_induced_sentiment(spark, root):
-    docs = t(spark, root, "documents").select("doc_id", "text")
-    lexicon, heavy = _lexicon(docs)
-    return polarity.score_texts(docs, lexicon, heavy, ("doc_id",), "text")
-
-
 _UNSAFE_SQL = unsafe.unsafe_sql("documents", "doc_id", "text")
 
 

@@ -2,13 +2,13 @@ import sys, time
 sys.path.insert(0, __import__('os').path.dirname(__import__('os').path.dirname(__import__('os').path.abspath(__file__))))
 from parley.session import build_session
 import compare
-from parley.plans import catalog
+from parley.plans import catalog, corpus_queries
 from parley.sources.tables import TABLES
 sf = sys.argv[1] if len(sys.argv) > 1 else '/root/testdata/sf0.01'
 only = sys.argv[2:] 
 spark = build_session()
 con = compare.duckdb_connection(sf, TABLES)
-qs, os_ = catalog.queries(), catalog.oracle_sql()
+qs, os_ = catalog.queries() | corpus_queries.QUERIES, catalog.oracle_sql() | corpus_queries.ORACLES
 bad = 0
 for name, fn in qs.items():
     if only and name not in only: continue
