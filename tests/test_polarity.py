@@ -4,6 +4,8 @@ import collections
 import random
 import re
 
+import pytest
+
 from parley.operators import polarity, topics
 
 SEEDS = {"good": 1, "bad": -1}
@@ -82,3 +84,48 @@ def test_repeated_and_null_keys_and_no_rows(spark):
     none = df.limit(0).withColumnRenamed("positive", "id")
     assert polarity.score_texts(none, lexicon, [], ("id",), "text", SEEDS).count() == 0
     assert polarity.induce(polarity.word_graph(none, [], "text", SEEDS), SEEDS).count() == len(SEEDS)
+
+
+@pytest.fixture
+def few_rows(spark):
+    """Batches of two rows, so that short texts make several chunks."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    yield
+    spark.conf.set(name, before)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chunks_add_up_and_pairs_are_not_brought_together(spark, few_rows):
+    rng = random.Random(3)
+    words = ["good", "bad", "but", "slow", "kind", "router", "late", "warm", "noise", ". "]
+    texts = [" ".join(rng.choices(words, k=rng.randint(2, 9))) for _ in range(24)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "id long, text string").coalesce(1)
+    graph = polarity.word_graph(df, [], "text", SEEDS, chunk_bytes=1)
+    assert "Exchange" not in plan(graph)
+    chunks = graph.collect()
+    assert len(chunks) > 8 and len({c.chunk for c in chunks}) == len(chunks)
+    found = {(r.a, r.b): r.weight for r in polarity.edges(graph).collect()}
+    whole = polarity.word_graph(df, [], "text", SEEDS)
+    assert whole.count() == 1
+    assert found == {(r.a, r.b): r.weight for r in polarity.edges(whole).collect()}
+    assert found and all(a < b and n for (a, b), n in found.items())
+    got = {r.term: (r.polarity, r.round) for r in polarity.induce(graph, SEEDS).collect()}
+    assert got == brute_lexicon(texts, set())
+
+
+def test_a_word_of_a_chunk_meets_the_lexicon_once(spark, few_rows):
+    df = spark.createDataFrame([(i, "good kind router") for i in range(40)] + [(99, None)],
+                               "id long, text string").coalesce(1)
+    lexicon = spark.createDataFrame([("good", 1, 0), ("kind", 1, 1), ("router", -1, 1)],
+                                    "term string, polarity int, round int")
+    s = polarity.STRENGTH
+    for size in (1, 1 << 20):
+        out = polarity.score_texts(df, lexicon, [], ("id",), "text", SEEDS, size)
+        assert {(r.id, r.positive, r.negative) for r in out.collect()} == {
+            *((i, s + s // 2, s // 2) for i in range(40)), (99, 0, 0)}
+    assert "CoGroups" in plan(out)          # of chunks; rows of texts and words are not joined
