@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from parley import config
 from parley.functions import json as jfn
+from parley.functions.batches import by_pieces
 from parley.functions.time import run_timestamp
 
 # ---- fixed values ----------------------------------------------------------
@@ -181,7 +182,10 @@ def _rank_batch(sent_tokens: pd.Series, k: int, n_topics: int) -> pd.DataFrame:
 def _make_ranker(k: int, n_topics: int):
     @F.pandas_udf(_RANK_SCHEMA)
     def rank(sent_tokens: pd.Series) -> pd.DataFrame:
-        return _rank_batch(sent_tokens, k, n_topics)
+        # A batch is bounded in rows; a piece is in letters too, and counting
+        # takes many times the letters.
+        return by_pieces(sent_tokens, lambda piece: _rank_batch(piece, k, n_topics),
+                         _rank_batch(sent_tokens.iloc[:0], k, n_topics))
     # Marked non-deterministic so Catalyst never copies the call into a
     # pushed-down filter: a filter on summary / topics would otherwise run
     # the Python step twice.  (The function itself is deterministic.)

@@ -234,3 +234,18 @@ def test_block_rows_are_stored_and_give_the_calls(spark):
     assert blocks.count() > spark.table(results).count()
     direct = pipeline.transcribe_calls(conv, stand_ins.EchoClient(), run_ts="2024-01-01 00:00:00")
     assert spark.table(results).drop("error_full").exceptAll(direct).count() == 0
+
+
+def test_ranking_holds_pieces_of_a_batch(spark, monkeypatch):
+    import pandas as pd
+
+    from parley.operators import enrich
+    seen = []
+    rank = enrich._rank_batch
+    monkeypatch.setattr(enrich, "_rank_batch", lambda rows, *a: seen.append(rows.str.len().sum()) or rank(rows, *a))
+    rows = pd.Series(["alpha bravo charlie\nbravo delta"] * 200_000 + [None, ""])
+    out = enrich._make_ranker(2, 3).func(rows)
+    assert len(out) == len(rows) and max(seen) < 2 << 20 and len(seen) > 5
+    assert out.iloc[-3].to_dict() == rank(rows.iloc[:1], 2, 3).iloc[0].to_dict()
+    assert out["top_sentences"].iloc[-2] is None and list(out.index) == list(range(len(rows)))
+    assert list(enrich._make_ranker(2, 3).func(rows.iloc[:0]).columns) == ["top_sentences", "topics", "best_sentence"]
