@@ -60,6 +60,7 @@ PRIOR_STRENGTH = 0.5
 THRESHOLD = 0.3
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 4500
 STEM_LENGTHS = range(3, 11)
+STEM_BATCH = 1 << 20        # bytes of text whose stems are held at once
 LEAST_DOCS, LEAST_RATIO = 4, 20
 FIRST_SUPPORT = 0.025       # of the toxic documents, in the first round only
 LEAST_EVIDENCE = 15.1       # log-likelihood ratio: a chance of about 1 in 10,000
@@ -208,6 +209,21 @@ def _evidence(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return 2 * sum(x * math.log(x * n / (row * column)) for x, row, column in cells if x)
 
 
+def _counted_stems(batches):
+    """(stem, toxic, clean) of pieces of the batches: a text has many times its letters of stems."""
+    for batch in small_batches(batches, "text", STEM_BATCH):
+        seen = Counter()
+        for text, label in zip(batch.column("text").to_pylist(),
+                               batch.column("_label").to_pylist(), strict=True):
+            for stem in stems_of(text):
+                seen[stem, label] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([s for s, _ in seen], pa.string()),
+             pa.array([n if label else 0 for (_, label), n in seen.items()], pa.int64()),
+             pa.array([0 if label else n for (_, label), n in seen.items()], pa.int64())],
+            ["stem", "toxic", "clean"])
+
+
 def _mine(sample: DataFrame, toxic: int, clean: int,
           missing: DataFrame | None = None) -> frozenset[str]:
     """Stems at least ``LEAST_RATIO`` times as frequent in toxic documents.
@@ -218,26 +234,14 @@ def _mine(sample: DataFrame, toxic: int, clean: int,
     ``LEAST_DOCS``, however many toxic documents there are, and
     ``LEAST_EVIDENCE``.
     """
-    def counted(batches):
-        for batch in batches:
-            seen = Counter()
-            for text, label in zip(batch.column("text").to_pylist(),
-                                   batch.column("_label").to_pylist(), strict=True):
-                for stem in stems_of(text):
-                    seen[stem, label] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s for s, _ in seen], pa.string()),
-                 pa.array([n if label else 0 for (_, label), n in seen.items()], pa.int64()),
-                 pa.array([0 if label else n for (_, label), n in seen.items()], pa.int64())],
-                ["stem", "toxic", "clean"])
     least = LEAST_DOCS if missing is not None else max(LEAST_DOCS, FIRST_SUPPORT * toxic)
     ratio = (F.col("toxic") / toxic) / ((F.col("clean") + 0.5) / (clean + 1))
     schema = "stem string, toxic bigint, clean bigint"
-    found = (sample.mapInArrow(counted, schema)
+    found = (sample.mapInArrow(_counted_stems, schema)
              .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
              .where((F.col("toxic") >= least) & (ratio >= LEAST_RATIO)))
     if missing is not None:
-        found = found.join(missing.mapInArrow(counted, schema).select("stem"), "stem", "left_semi")
+        found = found.join(missing.mapInArrow(_counted_stems, schema).select("stem"), "stem", "left_semi")
     return choose_stems([
         (r["stem"], r["toxic"]) for r in found.collect()
         if missing is None or _evidence(r["toxic"], r["clean"], toxic, clean) >= LEAST_EVIDENCE])

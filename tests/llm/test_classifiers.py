@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,23 @@ def test_insults_of_few_toxic_documents_are_learned(spark):
     grammar = toxicity.learn(table.drop("toxic"), table.drop("text"), F.lit(True))
     assert grammar.stems == {"blarg$", "zworf$"}
     assert toxicity.reject(table, grammar).where("toxic = 1").count() == 0
+
+
+def test_stems_are_counted_in_small_pieces():
+    """A sample is in one or two partitions, so all its stems at once fill a worker."""
+    texts = [" ".join(f"w{i:02d}{'abcdefgh'[n % 8]}{n}" for n in range(9000)) for i in range(50)] + ["you moron", None]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()),
+                                        "_label": pa.array([i % 2 for i in range(len(texts))], pa.int32())})
+    out = list(toxicity._counted_stems(iter([batch])))
+    assert len(out) >= sum(len(t or "") for t in texts) // toxicity.STEM_BATCH > 2
+    rows = [r for piece in out for r in piece.to_pylist()]
+    expected = {}
+    for i, text in enumerate(texts):
+        for stem in toxicity.stems_of(text):
+            n = expected.setdefault(stem, [0, 0])
+            n[1 - i % 2] += 1
+    found = {}
+    for r in rows:
+        n = found.setdefault(r["stem"], [0, 0])
+        n[0], n[1] = n[0] + r["toxic"], n[1] + r["clean"]
+    assert found == expected
