@@ -22,10 +22,11 @@ def pieces(sizes: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, i
     yield from zip(starts.tolist(), [*starts[1:].tolist(), len(sizes)], strict=False)
 
 
-def batch_pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Batches cut by the size of their first column, a string."""
+def batch_pieces(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES,
+                 column: int | str = 0) -> Iterator[pa.RecordBatch]:
+    """Batches cut by the size of one column, a string or binary, the first by default."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy().astype(np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
         for start, stop in pieces(sizes, limit):
             yield batch.slice(start, stop - start)
 

@@ -22,6 +22,7 @@ from parley import config
 from parley.config import SizeLimits
 from parley.functions import json as jfn
 from parley.functions import text as tfn
+from parley.functions.batches import batch_pieces
 
 STATUS_EXCEPTION = -1
 # A control character that no JSON text, header or message holds unescaped.
@@ -108,7 +109,9 @@ def _call_partition(client: Client, payload_col: str, guard_col: str, returned:
             from concurrent.futures import ThreadPoolExecutor
             pool = ThreadPoolExecutor(max_workers=concurrency)
         try:
-            for batch in batches:
+            # Requests, answers and their copies take a few times the payloads, so calls that
+            # run one by one hold a piece of a batch; calls in flight together need all its rows.
+            for batch in batches if pool else batch_pieces(batches, column=payload_col):
                 status: list[int | None] = [None] * batch.num_rows
                 body: list[str | None] = [None] * batch.num_rows
                 guards = batch.column(guard_col).to_pylist()
